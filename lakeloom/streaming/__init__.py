@@ -1,0 +1 @@
+"""No streaming operators: every source, load and snapshot of this library is a batch job."""

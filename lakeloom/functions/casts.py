@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 # Bytes that a numeric cast ignores at both ends: ASCII control characters and the space.
 _PAD = r"[\x00-\x20\x7f]*"
 _ONLY_FRACTION = rf"^{_PAD}[+-]?[.][0-9]*{_PAD}$"
-_FRACTION = rf"[.][0-9]*{_PAD}$"
+_FRACTION = rf"(?<=[0-9])[.][0-9]*{_PAD}$"
 
 # A clock time without a date, with optional seconds, fraction and zone.
 _TIME_ONLY = r"^\s*T?[0-9]{1,2}:[0-9]{1,2}(:.*)?$"

@@ -9,7 +9,7 @@ from typing import Literal
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.operators.incremental import _keys, first_per_key, require_unique
+from lakeloom.operators.incremental import first_per_key, has_key, key_list, require_unique
 
 
 def version_columns(prefix: str = "") -> list[str]:
@@ -17,13 +17,9 @@ def version_columns(prefix: str = "") -> list[str]:
     return [f"{prefix}{c}" for c in ("scd_id", "updated_at", "valid_from", "valid_to")]
 
 
-def _has_key(keys: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-
-
 def quarantine(source: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``source`` that :func:`apply_snapshot` leaves out because a key is NULL."""
-    return source.where(~_has_key(_keys(key)))
+    return source.where(~has_key(key_list(key)))
 
 
 def _opened(source: DataFrame, keys: list[str], as_of: str, prefix: str) -> list[Column]:
@@ -40,8 +36,8 @@ def _opened(source: DataFrame, keys: list[str], as_of: str, prefix: str) -> list
     ]
 
 
-def apply_snapshot(
-    current: DataFrame | None,
+def advance(
+    current_open: DataFrame | None,
     source: DataFrame,
     key: str | list[str],
     check_cols: list[str],
@@ -51,39 +47,33 @@ def apply_snapshot(
     order: list[Column | str] | None = None,
     prefix: str = "",
 ) -> DataFrame:
-    """The versioned table after taking in ``source`` as the state at ``as_of``.
+    """The open versions after taking in ``source``, and the versions that this closes.
 
-    A key without open version gets one. A key whose ``check_cols`` differ (NULL equals NULL) has
-    its open version closed and a new one opened. A key missing from the source has its open
-    version closed if ``hard_deletes``. Closed versions are carried over unread by the join.
-
-    ``as_of`` is a datetime or text ``yyyy-MM-dd HH:mm:ss``. Two source rows with one key are an
-    error when the result runs, or the first along ``order`` counts. Rows with a NULL key are left
-    to :func:`quarantine`. The result must not overwrite the table ``current`` is read from.
+    Takes the open versions alone, so the cost does not grow with the history. See
+    :func:`apply_snapshot` for the rules.
     """
-    keys = _keys(key)
+    keys = key_list(key)
     if on_duplicate == "first" and not order:
         raise ValueError("on_duplicate='first' needs an order")
     moment_text = as_of.strftime("%Y-%m-%d %H:%M:%S") if isinstance(as_of, datetime) else as_of
 
-    known = source.where(_has_key(keys))
+    known = source.where(has_key(keys))
     if on_duplicate == "first":
         batch = first_per_key(known, keys, order)
     else:
         batch = require_unique(known, keys)
     fresh = batch.select(*_opened(batch, keys, moment_text, prefix))
-    if current is None:
+    if current_open is None:
         return fresh
 
-    valid_to = version_columns(prefix)[-1]
-    columns = current.columns
-    missing = set(columns) ^ set(fresh.columns)
-    if missing:
-        raise ValueError(f"snapshot and source differ in columns: {sorted(missing)}")
-    types = dict(current.dtypes)
+    columns = current_open.columns
+    differing = set(columns) ^ set(fresh.columns)
+    if differing:
+        raise ValueError(f"snapshot and source differ in columns: {sorted(differing)}")
+    types = dict(current_open.dtypes)
     fresh = fresh.select(*[F.col(c).cast(types[c]).alias(c) for c in columns])
 
-    old = current.where(F.col(valid_to).isNull()).select(*keys, F.struct(*columns).alias("_old"))
+    old = current_open.select(*keys, F.struct(*columns).alias("_old"))
     new = fresh.select(*keys, F.struct(*columns).alias("_new"))
     pairs = old.join(new, keys, "full_outer")
 
@@ -93,9 +83,36 @@ def apply_snapshot(
     )
     closes = is_old & ((is_new & ~same) | (~is_new & F.lit(hard_deletes)))
     closed_at = F.when(closes, F.lit(moment_text).cast("timestamp"))
-    kept = F.when(is_old, F.col("_old").withField(valid_to, closed_at))
+    kept = F.when(is_old, F.col("_old").withField(version_columns(prefix)[-1], closed_at))
     added = F.when(is_new & (~is_old | ~same), F.col("_new"))
-    versions = pairs.select(F.inline(F.array_compact(F.array(kept, added))))
+    return pairs.select(F.inline(F.array_compact(F.array(kept, added)))).select(*columns)
+
+
+def apply_snapshot(
+    current: DataFrame | None,
+    source: DataFrame,
+    key: str | list[str],
+    check_cols: list[str],
+    as_of: datetime | str,
+    hard_deletes: bool = True,
+    on_duplicate: Literal["raise", "first"] = "raise",
+    order: list[Column | str] | None = None,
+    prefix: str = "",
+) -> DataFrame:
+    """The versioned table after taking in ``source`` as the state at ``as_of``.
 
-    history = current.where(F.col(valid_to).isNotNull())
-    return history.unionByName(versions.select(*columns))
+    A key without open version gets one. A key whose ``check_cols`` differ (NULL equals NULL) has
+    its open version closed and a new one opened. A key missing from the source has its open
+    version closed if ``hard_deletes``. Closed versions are carried over and take no part in the
+    join.
+
+    ``as_of`` is a datetime or text ``yyyy-MM-dd HH:mm:ss``. Two source rows with one key are an
+    error when the result runs, or the first along ``order`` counts. Rows with a NULL key are left
+    to :func:`quarantine`. The result must not overwrite the table ``current`` is read from.
+    """
+    rules = (key, check_cols, as_of, hard_deletes, on_duplicate, order, prefix)
+    if current is None:
+        return advance(None, source, *rules)
+    valid_to = F.col(version_columns(prefix)[-1])
+    history = current.where(valid_to.isNotNull())
+    return history.unionByName(advance(current.where(valid_to.isNull()), source, *rules))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeloom.operators import dims, gold, incremental, quality, scd2, silver
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, tables
+from lakeloom.sources.staging import stage
 
 SNAPSHOT_KEY = "aircraft_id"
 SNAPSHOT_CHECKS = ["airport", *dims.PROFILE_COLUMNS]
@@ -49,11 +49,10 @@ class Lake:
         return self.table(SOURCES[name])
 
     def ingest(self, csv_path: str, header: bool = False) -> None:
-        """Raw CSV to bronze; replaces what is there."""
+        """Raw CSV to bronze; replaces what is there. The splits of the scan become the files."""
         raw = ingest.read_raw_csv(self.spark, csv_path, FLIGHT_RAW, header)
-        tables.write_overwrite(
-            layout.sized_repartition(raw), self.name("flight_raw"), self.path("bronze", "flight")
-        )
+        sized = layout.sized_repartition(raw, shuffle=False)
+        tables.write_overwrite(sized, self.name("flight_raw"), self.path("bronze", "flight"))
 
     def refine(self, batch_id: str, files: int = 2) -> None:
         """Bronze to silver as one batch; running a batch again replaces it."""
@@ -85,15 +84,37 @@ class Lake:
             batch, self.name("dim_passenger"), self.path("gold", "dim_passenger")
         )
 
-    def snapshot_aircraft(self, as_of: datetime | str, prefix: str = "dbt_") -> None:
-        """Take the aircraft profiles at ``as_of`` into the versioned table and check it."""
-        present = self.table("scd_dim_aircraft") if self.exists("scd_dim_aircraft") else None
+    def snapshot_aircraft(self, as_of: str, prefix: str = "dbt_") -> None:
+        """Take the aircraft profiles at ``as_of`` into the versioned dimension and check it.
+
+        ``scd_dim_aircraft`` is a view over the open versions, which are replaced, and the closed
+        ones, which only grow: the history is not written again by each run. Closed versions go
+        in first and under the moment of the run, so a run that broke off can be repeated.
+        """
+        opened, closed = "scd_dim_aircraft_open", "scd_dim_aircraft_closed"
+        present = self.table(opened) if self.exists(opened) else None
         profile = dims.dim_aircraft_profile(self.flights(), exact_scale=SNAPSHOT_SCALE)
-        state = scd2.apply_snapshot(
-            present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix
+        versions = stage(
+            scd2.advance(present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix),
+            "scd-dim-aircraft",
+        )
+        valid_to = scd2.version_columns(prefix)[-1]
+        tables.write_append(
+            versions.where(f"{valid_to} is not null"),
+            self.name(closed),
+            self.path("gold", closed),
+            batch_id=as_of,
+        )
+        still_open = versions.where(f"{valid_to} is null")
+        tables.swap(still_open, self.name(opened), self.path("gold", opened))
+
+        columns = ", ".join(versions.columns)
+        self.spark.sql(
+            f"create or replace view {self.name('scd_dim_aircraft')} as "
+            f"select {columns} from {self.name(opened)} "
+            f"union all select {columns} from {self.name(closed)}"
         )
-        tables.swap(state, self.name("scd_dim_aircraft"), self.path("gold", "scd_dim_aircraft"))
-        quality.assert_not_null(self.table("scd_dim_aircraft"), [f"{prefix}valid_to"])
+        quality.assert_not_null(self.table("scd_dim_aircraft"), [valid_to])
 
     def top_cost(self, k: int = 5) -> DataFrame:
         return gold.top_cost(self.flights(), k)

@@ -36,14 +36,21 @@ def partitions_for(size_bytes: int, target_mb: int = 200, floor: int = 3) -> int
 
 
 def sized_repartition(
-    df: DataFrame, target_mb: int = 200, floor: int = 3, size_bytes: int | None = None
+    df: DataFrame,
+    target_mb: int = 200,
+    floor: int = 3,
+    size_bytes: int | None = None,
+    shuffle: bool = True,
 ) -> DataFrame:
-    """Even partitions of about ``target_mb``.
+    """Partitions of about ``target_mb``.
 
-    Pass ``size_bytes`` when ``df`` has joins, where the plan's own estimate is of no use.
+    Pass ``size_bytes`` when ``df`` has joins, where the plan's own estimate is of no use. A scan
+    of splittable files already has many more, smaller partitions; ``shuffle=False`` joins those
+    in place instead of moving every row.
     """
     size = estimated_bytes(df) if size_bytes is None else size_bytes
-    return df.repartition(partitions_for(size, target_mb, floor))
+    count = partitions_for(size, target_mb, floor)
+    return df.repartition(count) if shuffle else df.coalesce(count)
 
 
 def compact(

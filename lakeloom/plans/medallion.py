@@ -58,7 +58,7 @@ class Lake:
         """Bronze to silver as one batch; running a batch again replaces it."""
         raw = self.source("raw_flight")
         typed = silver.conform(silver.dedupe(raw))
-        sized = layout.compact(typed, files, size_bytes=layout.estimated_bytes(raw))
+        sized = layout.compact(typed, files, size_bytes=layout.input_bytes(raw))
         tables.write_append(
             sized, self.name("flight"), self.path("silver", "stage_flight"), batch_id=batch_id
         )
@@ -72,7 +72,7 @@ class Lake:
     def build_aircraft(self, files: int = 4) -> None:
         flights = self.flights()
         static = dims.dim_aircraft_static(flights, self.table("dim_airport"))
-        sized = layout.compact(static, files, size_bytes=layout.estimated_bytes(flights))
+        sized = layout.compact(static, files, size_bytes=layout.input_bytes(self.table("flight")))
         tables.write_overwrite(sized, self.name("dim_aircraft"))
 
     def load_passengers(self) -> None:

@@ -10,11 +10,15 @@ from pyspark.sql import functions as F
 
 _MB = 1024 * 1024
 
+# More than this is no size but Spark's placeholder for an unknown one.
+_MOST_PARTITIONS = 10_000_000
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Spark's own size estimate of the optimized plan; no job runs.
 
-    Exact for a scan of files. Far too large above joins, where Spark multiplies the sides.
+    Exact for files read by path. Far too large above joins, where Spark multiplies the sides, and
+    for a partitioned catalog table without statistics; see :func:`input_bytes` for that.
     """
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
@@ -25,14 +29,17 @@ def estimated_mb(df: DataFrame) -> float:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files behind a file scan, from file metadata; runs a small job."""
+    """Bytes of the files behind a table scan, by a job over file metadata without any column."""
     files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
     return files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes")).first()["bytes"]
 
 
 def partitions_for(size_bytes: int, target_mb: int = 200, floor: int = 3) -> int:
     """Whole partitions of about ``target_mb`` that hold ``size_bytes``, at least ``floor``."""
-    return max(floor, math.ceil(math.ceil(size_bytes / _MB) / target_mb))
+    count = max(floor, math.ceil(math.ceil(size_bytes / _MB) / target_mb))
+    if count > _MOST_PARTITIONS:
+        raise ValueError(f"no usable size estimate ({size_bytes} bytes), pass size_bytes")
+    return count
 
 
 def sized_repartition(

@@ -4,14 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakeloom.operators.silver import conform
 from lakeloom.schemas import FLIGHT_RAW_COLUMNS
 
 
+# Schemas by path: finding one out takes a job, and every query reads the same few tables.
+_schemas: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
 
 
 def flight_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,8 +30,8 @@ def flight_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     join is sort-merge by hint: both sides grow with the data, so neither is ever broadcast.
     """
     nations = table(spark, sf_dir, "nation")
-    home = nations.select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("c_nation"))
-    base = nations.select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("s_nation"))
+    home = nations.selectExpr("n_nationkey as c_nationkey", "n_name as c_nation")
+    base = nations.selectExpr("n_nationkey as s_nationkey", "n_name as s_nation")
 
     passengers = table(spark, sf_dir, "customer").join(home, "c_nationkey")
     bookings = table(spark, sf_dir, "orders").join(
@@ -35,13 +43,17 @@ def flight_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(bookings.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(carriers, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .withColumn("ship_date", F.expr("cast(l_shipdate as date)"))
-        .withColumn("sec", F.expr("(l_orderkey * 97 + l_linenumber * 61) % 86400"))
-        .withColumn("hh", F.expr("lpad(cast(cast(floor(sec / 3600) as int) as string), 2, '0')"))
-        .withColumn(
-            "mm", F.expr("lpad(cast(cast(floor(sec / 60) as int) % 60 as string), 2, '0')")
+        .selectExpr(
+            "*",
+            "cast(l_shipdate as date) as ship_date",
+            "(l_orderkey * 97 + l_linenumber * 61) % 86400 as sec",
+        )
+        .selectExpr(
+            "*",
+            "lpad(cast(cast(floor(sec / 3600) as int) as string), 2, '0') as hh",
+            "lpad(cast(cast(floor(sec / 60) as int) % 60 as string), 2, '0') as mm",
+            "lpad(cast(sec % 60 as string), 2, '0') as ss",
         )
-        .withColumn("ss", F.expr("lpad(cast(sec % 60 as string), 2, '0')"))
     )
     text = {
         "departure_time": "concat(hh, ':', mm, ':', ss)",
@@ -70,7 +82,7 @@ def flight_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "passenger_dob": "cast(date '1950-01-01' + cast(c_custkey % 18000 as int) as string)",
         "passenger_flight_class": "o_orderpriority",
     }
-    return legs.select(*[F.expr(text[name]).alias(name) for name in FLIGHT_RAW_COLUMNS])
+    return legs.selectExpr(*[f"{text[name]} as {name}" for name in FLIGHT_RAW_COLUMNS])
 
 
 def flight(spark: SparkSession, sf_dir: str) -> DataFrame:

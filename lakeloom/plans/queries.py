@@ -101,6 +101,11 @@ def key_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- dimensions ----------------------------------------------------------------------------------
 
 
+def _stored(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """Flights written once, for plans that read them more than once, as the silver table is."""
+    return stage(flight(spark, sf_dir).select(*columns), "flight")
+
+
 def dim_airport(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_airport(flight(spark, sf_dir))
 
@@ -110,21 +115,31 @@ def dim_airport_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airport_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = flight(spark, sf_dir)
-    rows = dims.with_airport_ids(flights, dims.dim_airport(flights))
-    return rows.select(
+    flights = _stored(
+        spark,
+        sf_dir,
         "flight_id",
         "ticket_no",
         "aircraft_id",
         "origin_airport",
         "destination_airport",
-        "origin_airport_id",
-        "destination_airport_id",
     )
+    return dims.with_airport_ids(flights, dims.dim_airport(flights))
 
 
 def dim_aircraft_static(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = flight(spark, sf_dir)
+    flights = _stored(
+        spark,
+        sf_dir,
+        "aircraft_id",
+        "flight_cost",
+        "origin_airport",
+        "destination_airport",
+        "airplane_model",
+        "distance",
+        "fuel_consumed_litre",
+        "engine_performance",
+    )
     return dims.dim_aircraft_static(flights, dims.dim_airport(flights))
 
 
@@ -171,9 +186,9 @@ def dim_passenger_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _passenger_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """The flights before and after the cut. They are used several times, so they are staged."""
+    """The flights before and after the cut."""
     columns = [*dims.PASSENGER_COLUMNS, "travel_date"]
-    flights = stage(flight(spark, sf_dir).select(*columns), "passenger-flights")
+    flights = _stored(spark, sf_dir, *columns)
     return (
         flights.where(f"travel_date < date '{PASSENGER_CUT}'"),
         flights.where(f"travel_date >= date '{PASSENGER_CUT}'"),
@@ -204,7 +219,9 @@ def passenger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aircraft_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three snapshots in a row; the table is written after each, as in separate runs."""
-    columns = [
+    flights = _stored(
+        spark,
+        sf_dir,
         "aircraft_id",
         "airplane_model",
         "origin_airport",
@@ -215,8 +232,7 @@ def aircraft_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fuel_consumed_litre",
         "avg_flight_speed_kmps",
         "engine_performance",
-    ]
-    flights = stage(flight(spark, sf_dir).select(*columns), "snapshot-flights")
+    )
     state = None
     for as_of, window in SNAPSHOTS:
         profile = dims.dim_aircraft_profile(flights.where(window), exact_scale=SNAPSHOT_SCALE)

@@ -50,11 +50,12 @@ def dim_airport(flights: DataFrame, how: Union = "stack") -> DataFrame:
     return dense_id(airports(flights, how), "airport").selectExpr("id", "airport")
 
 
-def with_airport_ids(flights: DataFrame, dim: DataFrame, limit_mb: int = 64) -> DataFrame:
+def with_airport_ids(flights: DataFrame, dim: DataFrame, limit_mb: int = 32) -> DataFrame:
     """Add ``origin_airport_id`` and ``destination_airport_id``; one dimension in two roles.
 
     Flights without a known airport at both ends drop out. The dimension is broadcast if its size
-    is within the limit, so the flights are not shuffled.
+    is within the limit, so the flights are not shuffled. Pass it as read from where it was
+    written: that tells its size.
     """
     small = broadcast_within(dim, limit_mb)
     origin, destination = small.alias("origin"), small.alias("destination")

@@ -37,7 +37,9 @@ class Lake:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def create(self) -> None:
-        self.spark.sql(f"create database if not exists {self.database}")
+        """The database, with its managed tables under the root as well."""
+        home = self.path("warehouse", self.database)
+        self.spark.sql(f"create database if not exists {self.database} location '{home}'")
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -116,8 +118,8 @@ class Lake:
         )
         quality.assert_not_null(self.table("scd_dim_aircraft"), [valid_to])
 
-    def top_cost(self, k: int = 5) -> DataFrame:
-        return gold.top_cost(self.flights(), k)
+    def top_cost(self, k: int = 5, exclude: str | None = "economy") -> DataFrame:
+        return gold.top_cost(self.flights(), k, exclude)
 
 
 def main() -> None:

@@ -221,6 +221,34 @@ def _nth(partition: str, n: int) -> str:
       from orders) where rn = {n}"""
 
 
+def _first_versions(prefix: str, as_of: str, key: str) -> str:
+    moment = f"timestamp '{as_of}'"
+    return (
+        f"md5(cast({key} as varchar) || '|' || '{as_of}') as {prefix}scd_id, "
+        f"{moment} as {prefix}updated_at, {moment} as {prefix}valid_from, "
+        f"cast(null as timestamp) as {prefix}valid_to"
+    )
+
+
+_STATIC = f"""
+select *, row_number() over (order by aircraft_id, airplane_model) as id
+from (
+  select aircraft_id, airplane_model,
+    cast(floor({_COST4}) as int) as avg_cost,
+    cast(sum(distance) as bigint) as total_distance_flown,
+    avg(cast(fuel_consumed_litre as double)) as avg_fuel_consumed_litre,
+    min(engine_performance) as min_engine_performance,
+    max(engine_performance) as max_engine_performance,
+    quantile_disc(origin_airport_id, 0.7) as origin_airport_id,
+    quantile_disc(destination_airport_id, 0.7) as destination_airport_id
+  from roles group by aircraft_id, airplane_model
+)"""
+
+_TOP_COST = (
+    f"select * from ({_GOLD}) order by avg_cost desc, aircraft_id, passenger_flight_class limit 5"
+)
+
+
 ORACLES: dict[str, str] = {
     "bronze_head": _raw(f"select * from raw order by {', '.join(FLIGHT_RAW_COLUMNS)} limit 3"),
     "silver_conform": _flight(
@@ -253,23 +281,7 @@ ORACLES: dict[str, str] = {
         _AIRPORTS,
         _ROLES,
     ),
-    "dim_aircraft_static": _flight(
-        f"""
-        select *, row_number() over (order by aircraft_id, airplane_model) as id
-        from (
-          select aircraft_id, airplane_model,
-            cast(floor({_COST4}) as int) as avg_cost,
-            cast(sum(distance) as bigint) as total_distance_flown,
-            avg(cast(fuel_consumed_litre as double)) as avg_fuel_consumed_litre,
-            min(engine_performance) as min_engine_performance,
-            max(engine_performance) as max_engine_performance,
-            quantile_disc(origin_airport_id, 0.7) as origin_airport_id,
-            quantile_disc(destination_airport_id, 0.7) as destination_airport_id
-          from roles group by aircraft_id, airplane_model
-        )""",
-        _AIRPORTS,
-        _ROLES,
-    ),
+    "dim_aircraft_static": _flight(_STATIC, _AIRPORTS, _ROLES),
     "home_airport": _flight(_home()),
     "home_airport_union": _flight(_home()),
     "home_airport_union_all": _flight(_home()),
@@ -302,10 +314,19 @@ ORACLES: dict[str, str] = {
         f"second as ({_one_passenger(f"travel_date >= date '{PASSENGER_CUT}'")})",
     ),
     "aircraft_scd2": _scd2(),
+    "snapshot_quarantine": """
+        select * replace (nullif(c_mktsegment, 'BUILDING') as c_mktsegment)
+        from customer where c_mktsegment = 'BUILDING'""",
+    "snapshot_first_of_duplicates": f"""
+        select o_custkey, o_orderkey, o_totalprice,
+          {_first_versions("", SNAPSHOTS[0][0], "o_custkey")}
+        from (
+          select *, row_number() over (
+            partition by o_custkey order by o_totalprice desc, o_orderkey) as nth
+          from orders
+        ) where nth = 1""",
     "gold_cost_by_class": _flight(_GOLD),
-    "gold_top_cost": _flight(
-        f"select * from ({_GOLD}) order by avg_cost desc, aircraft_id, passenger_flight_class limit 5"
-    ),
+    "gold_top_cost": _flight(_TOP_COST),
     "flight_classes_view": _flight("select distinct passenger_flight_class from flight"),
     "nth_row": _nth("", 4),
     "nth_row_deep": _nth("", 5000),
@@ -338,4 +359,10 @@ ORACLES: dict[str, str] = {
     "append_idempotent": "select * from orders",
     "sized_repartition": "select * from lineitem",
     "compacted_write": "select * from lineitem",
+    "lake_top_cost": _flight(_TOP_COST),
+    "lake_aircraft": _flight(_STATIC, _AIRPORTS, _ROLES),
+    "lake_passengers": _flight(_passengers()),
+    "lake_snapshot": _flight(
+        f"select *, {_first_versions('dbt_', SNAPSHOTS[0][0], 'aircraft_id')} from ({_profile()})"
+    ),
 }

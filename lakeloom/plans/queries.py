@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import casts, keys, structures
 from lakeloom.operators import dims, gold, incremental, numbering, quality, scd2, silver
 from lakeloom.plans.flights import flight, flight_raw, table
-from lakeloom.plans.medallion import SNAPSHOT_CHECKS, SNAPSHOT_KEY, SNAPSHOT_SCALE
+from lakeloom.plans.medallion import SNAPSHOT_CHECKS, SNAPSHOT_KEY, SNAPSHOT_SCALE, Lake
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, tables
 from lakeloom.sources.staging import fresh_path, stage
@@ -124,7 +124,7 @@ def airport_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
         "origin_airport",
         "destination_airport",
     )
-    return dims.with_airport_ids(flights, dims.dim_airport(flights))
+    return dims.with_airport_ids(flights, stage(dims.dim_airport(flights), "airport"))
 
 
 def dim_aircraft_static(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -140,7 +140,7 @@ def dim_aircraft_static(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fuel_consumed_litre",
         "engine_performance",
     )
-    return dims.dim_aircraft_static(flights, dims.dim_airport(flights))
+    return dims.dim_aircraft_static(flights, stage(dims.dim_airport(flights), "airport"))
 
 
 def home_airport(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -242,6 +242,27 @@ def aircraft_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(state)
 
 
+def snapshot_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers whose key is lost, as a snapshot by that key sets them aside."""
+    segment = F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))
+    customers = table(spark, sf_dir, "customer").withColumn("c_mktsegment", segment)
+    return scd2.quarantine(customers, "c_mktsegment")
+
+
+def snapshot_first_of_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first snapshot by customer, where the dearest of a customer's orders counts."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    return scd2.apply_snapshot(
+        None,
+        orders,
+        "o_custkey",
+        ["o_totalprice"],
+        SNAPSHOTS[0][0],
+        on_duplicate="first",
+        order=[F.desc("o_totalprice"), F.col("o_orderkey")],
+    )
+
+
 # -- gold ----------------------------------------------------------------------------------------
 
 
@@ -427,6 +448,47 @@ def compacted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stage(layout.compact(lineitem, 2), "lineitem")
 
 
+# -- the whole lake ------------------------------------------------------------------------------
+
+
+def _lake(spark: SparkSession, sf_dir: str) -> Lake:
+    """A new lake with every flight taken in from CSV as one batch."""
+    path = fresh_path(spark, "csv")
+    flight_raw(spark, sf_dir).write.csv(path)
+    lake = Lake(spark, fresh_path(spark, "lake"), f"lakeloom_{uuid.uuid4().hex}")
+    lake.create()
+    lake.ingest(path)
+    lake.refine("first")
+    return lake
+
+
+def lake_top_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _plain(_lake(spark, sf_dir).top_cost(5, LEFT_OUT))
+
+
+def lake_aircraft(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = _lake(spark, sf_dir)
+    lake.build_airports()
+    lake.build_aircraft()
+    return lake.table("dim_aircraft")
+
+
+def lake_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second load finds nothing new."""
+    lake = _lake(spark, sf_dir)
+    for _ in range(2):
+        lake.load_passengers()
+    return lake.table("dim_passenger")
+
+
+def lake_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second snapshot finds nothing changed."""
+    lake = _lake(spark, sf_dir)
+    for as_of, _ in SNAPSHOTS[:2]:
+        lake.snapshot_aircraft(as_of)
+    return _plain(lake.table("scd_dim_aircraft"))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -451,6 +513,8 @@ QUERIES: dict[str, Query] = {
         dim_passenger_increment,
         passenger_upsert,
         aircraft_scd2,
+        snapshot_quarantine,
+        snapshot_first_of_duplicates,
         gold_cost_by_class,
         gold_top_cost,
         flight_classes_view,
@@ -474,5 +538,9 @@ QUERIES: dict[str, Query] = {
         append_idempotent,
         sized_repartition,
         compacted_write,
+        lake_top_cost,
+        lake_aircraft,
+        lake_passengers,
+        lake_snapshot,
     )
 }

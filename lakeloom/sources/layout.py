@@ -72,7 +72,7 @@ def compact(
     return df.coalesce(partitions_for(size, max_file_mb, files))
 
 
-def broadcast_within(df: DataFrame, limit_mb: int = 64) -> DataFrame:
+def broadcast_within(df: DataFrame, limit_mb: int = 32) -> DataFrame:
     """Mark ``df`` for broadcast if its estimated size is within the limit.
 
     Beyond it the join is left to Spark: adaptive execution still broadcasts a side that turns

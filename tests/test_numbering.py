@@ -16,6 +16,19 @@ def test_dense_id_equals_a_global_row_number(spark, count):
     assert rows(numbered) == rows(expected)
 
 
+def test_dense_id_over_many_partitions(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(5000).select(F.md5(F.col("id").cast("string")).alias("name"))
+        numbered = numbering.dense_id(df.repartition(7), "name")
+        files = numbered.inputFiles()
+        expected = df.withColumn("id", F.row_number().over(Window.orderBy("name")).cast("bigint"))
+        assert len(set(files)) > 1
+        assert rows(numbered) == rows(expected)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_dense_id_over_two_columns_and_nulls(spark):
     df = spark.createDataFrame([("b", 1), ("a", 2), (None, 3), ("a", 1)], "x string, y int")
     assert rows(numbering.dense_id(df, "x", "y")) == [

@@ -156,15 +156,22 @@ def with_home_airport(figures: DataFrame, home: DataFrame) -> DataFrame:
     return figures.join(home, "aircraft_id").select("aircraft_id", "airport", *rest)
 
 
-def dim_aircraft_profile(flights: DataFrame, exact_scale: int | None = None) -> DataFrame:
+def dim_aircraft_profile(
+    flights: DataFrame, exact_scale: int | None = None, one_pass: bool = True
+) -> DataFrame:
     """One row per aircraft and model: home airport and figures. Aircraft without id drop out.
 
-    Equal to :func:`with_home_airport` over :func:`aircraft_figures` and :func:`home_airport`, but
-    reads the flights once: one aggregation by three grouping sets counts both ends and sums the
-    figures, and a window over its rows (airports and models of one aircraft) picks the home
-    airport. ``exact_scale`` makes the means of the floating-point columns independent of row
-    order (see :func:`exact_mean`).
+    With ``one_pass`` the flights are computed or read once: one aggregation by three grouping
+    sets counts both ends and sums the figures, and a window over its rows (airports and models of
+    one aircraft) picks the home airport. Without it, figures and home airport are aggregated
+    apart and joined, which suits a stored table: either scan reads few columns, and no figure is
+    summed up for the airports. The result is the same.
+
+    ``exact_scale`` makes the means of the floating-point columns independent of row order (see
+    :func:`exact_mean`).
     """
+    if not one_pass:
+        return with_home_airport(aircraft_figures(flights, exact_scale), home_airport(flights))
     sets = [["aircraft_id", end] for end in (ORIGIN, DESTINATION, "airplane_model")]
     grouped = (
         flights.where(F.col("aircraft_id").isNotNull())

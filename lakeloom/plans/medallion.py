@@ -95,7 +95,7 @@ class Lake:
         """
         opened, closed = "scd_dim_aircraft_open", "scd_dim_aircraft_closed"
         present = self.table(opened) if self.exists(opened) else None
-        profile = dims.dim_aircraft_profile(self.flights(), exact_scale=SNAPSHOT_SCALE)
+        profile = dims.dim_aircraft_profile(self.flights(), SNAPSHOT_SCALE, one_pass=False)
         versions = stage(
             scd2.advance(present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix),
             "scd-dim-aircraft",

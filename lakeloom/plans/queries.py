@@ -164,10 +164,7 @@ def dim_aircraft_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dim_aircraft_profile_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = flight(spark, sf_dir)
-    return _plain(
-        dims.with_home_airport(dims.aircraft_figures(flights), dims.home_airport(flights))
-    )
+    return _plain(dims.dim_aircraft_profile(flight(spark, sf_dir), one_pass=False))
 
 
 def surrogate_key_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,7 +232,7 @@ def aircraft_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     state = None
     for as_of, window in SNAPSHOTS:
-        profile = dims.dim_aircraft_profile(flights.where(window), exact_scale=SNAPSHOT_SCALE)
+        profile = dims.dim_aircraft_profile(flights.where(window), SNAPSHOT_SCALE, one_pass=False)
         state = scd2.apply_snapshot(state, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of)
         if as_of != SNAPSHOTS[-1][0]:
             state = stage(state, "snapshot")

@@ -81,7 +81,7 @@ def test_home_airport_compares_sides_or_adds_them_up(spark):
 
 
 def test_profile_equals_the_join_of_its_parts(spark, sample):
-    joined = dims.with_home_airport(dims.aircraft_figures(sample), dims.home_airport(sample))
+    joined = dims.dim_aircraft_profile(sample, one_pass=False)
     profile = dims.dim_aircraft_profile(sample)
     assert profile.dtypes == joined.dtypes
     assert dict(profile.dtypes)["avg_flight_cost"] == "decimal(14,4)"

@@ -101,12 +101,13 @@ def test_snapshot_of_profiles_adds_no_shuffle_for_the_source(spark, no_broadcast
         "destination_airport string, flight_cost int, distance int, fuel_consumed_litre float, "
         "avg_flight_speed_kmps double, engine_performance int",
     )
-    profile = dims.dim_aircraft_profile(flights)
-    snapshot = scd2.apply_snapshot(
-        None, profile, "aircraft_id", SNAPSHOT_CHECKS, "2020-01-01 00:00:00"
-    )
     count = "Exchange hashpartitioning"
-    assert initial(snapshot).count(count) == initial(profile).count(count) == 2
+    for one_pass, shuffles in ((True, 2), (False, 4)):
+        profile = dims.dim_aircraft_profile(flights, one_pass=one_pass)
+        snapshot = scd2.apply_snapshot(
+            None, profile, "aircraft_id", SNAPSHOT_CHECKS, "2020-01-01 00:00:00"
+        )
+        assert initial(snapshot).count(count) == initial(profile).count(count) == shuffles
 
 
 def test_nth_row_keeps_n_rows_per_task(spark):

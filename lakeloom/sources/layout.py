@@ -61,7 +61,7 @@ def sized_repartition(
 
 
 def compact(
-    df: DataFrame, files: int, max_file_mb: int = 1024, size_bytes: int | None = None
+    df: DataFrame, files: int, max_file_mb: int = 256, size_bytes: int | None = None
 ) -> DataFrame:
     """About ``files`` output files without a shuffle.
 

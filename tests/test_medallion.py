@@ -79,3 +79,16 @@ def test_a_lake_from_raw_files_to_gold(spark, tmp_path, lake):
         lake.ingest(three)
         lake.refine("three")
         lake.snapshot_aircraft("2020-01-04 00:00:00")
+
+
+def test_the_job(spark, tmp_path, monkeypatch):
+    from lakeloom.plans import medallion
+
+    first = {"passenger_flight_class": "first", "turbulance": "1", "taxi_duration_mins": "2"}
+    path = write(tmp_path / "one.csv", first, {**first, "aircraft_id": "A2"})
+    args = ["--root", str(tmp_path / "lake"), "--csv", path, "--batch", "one",
+            "--as-of", "2020-01-01 00:00:00", "--database", "job"]
+    monkeypatch.setattr("sys.argv", ["medallion.py", *args])
+    medallion.main()
+    assert spark.table("job.flight").count() == 2
+    assert spark.table("job.scd_dim_aircraft").count() == 2

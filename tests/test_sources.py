@@ -98,7 +98,7 @@ def test_layout_of_a_scan(spark, tmp_path):
     assert layout.sized_repartition(df, shuffle=False).rdd.getNumPartitions() <= 3
     wide = spark.range(0, 1000, 1, 8)
     assert layout.compact(wide, 2).rdd.getNumPartitions() == 2
-    assert layout.compact(wide, 2, size_bytes=5000 * MB).rdd.getNumPartitions() == 5
+    assert layout.compact(wide, 2, size_bytes=1200 * MB).rdd.getNumPartitions() == 5
     assert rows(layout.sized_repartition(df)) == rows(df)
 
 

@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from decimal import Decimal
 
 import pytest
 from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from lakeloom.operators import dims, gold
 
@@ -58,6 +61,44 @@ def test_home_airport_is_the_same_in_every_form(spark, sample):
         assert rows(dims.home_airport(sample, how)) == expected
 
 
+legs = st.lists(
+    st.tuples(
+        st.sampled_from(["1", "2", None]),
+        st.sampled_from(["A", "B", "C", None]),
+        st.sampled_from(["A", "B", "C", None]),
+    ),
+    max_size=12,
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(legs)
+def test_home_airport_equals_brute_force(spark, data):
+    df = flights(spark, *[(craft, "m", here, there, 1, "x") for craft, here, there in data])
+
+    def best(counts):
+        return max(counts.items(), key=lambda c: (c[1], c[0][-1] is not None, c[0][-1] or ""))[0][-1]
+
+    for combine in ("max", "sum"):
+        expected = []
+        for craft in {leg[0] for leg in data}:
+            counts = Counter()
+            for _, here, there in (leg for leg in data if leg[0] == craft):
+                for side, airport in (("o", here), ("d", there)):
+                    counts[(side, airport) if combine == "max" else (airport,)] += 1
+            expected.append((craft, best(counts)))
+        for how in ("stack", "union", "union_all"):
+            assert sorted(map(str, rows(dims.home_airport(df, how, combine)))) == sorted(
+                map(str, expected)
+            )
+    homes = {r["aircraft_id"]: r["airport"] for r in dims.home_airport(df).collect()}
+    profile = dims.dim_aircraft_profile(df)
+    assert {r["aircraft_id"]: r["airport"] for r in profile.collect()} == {
+        craft: airport for craft, airport in homes.items() if craft is not None
+    }
+    assert rows(profile) == rows(dims.dim_aircraft_profile(df, one_pass=False))
+
+
 def test_home_airport_compares_sides_or_adds_them_up(spark):
     df = flights(
         spark,

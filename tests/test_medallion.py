@@ -73,12 +73,16 @@ def test_a_lake_from_raw_files_to_gold(spark, tmp_path, lake):
         ) == [("A1", 100, 1, 2), ("A1", 150, 2, 0), ("A2", 100, 1, 0)]
 
     assert [r.aircraft_id for r in lake.top_cost().collect()] == ["A1", "A2"]
+
+    # A flight without airports: the snapshot refuses it and the dimension stays as it was.
+    no_airports = {"aircraft_id": "A9", "origin_airport": "", "destination_airport": ""}
+    lake.ingest(write(tmp_path / "three.csv", {**first, **no_airports}))
+    lake.refine("three")
     with pytest.raises(AssertionError, match="airport"):
-        three = write(tmp_path / "three.csv", {**first, "aircraft_id": "A9", "origin_airport": "",
-                                               "destination_airport": ""})
-        lake.ingest(three)
-        lake.refine("three")
         lake.snapshot_aircraft("2020-01-04 00:00:00")
+    assert lake.table("scd_dim_aircraft").count() == 3
+    lake.snapshot_aircraft("2020-01-04 00:00:00", check=False)
+    assert lake.table("scd_dim_aircraft").count() == 4
 
 
 def test_the_job(spark, tmp_path, monkeypatch):

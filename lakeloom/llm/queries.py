@@ -2,16 +2,42 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import licenses, shards
+from lakeloom.llm import bpe, licenses, packing, shards, token_index
+from lakeloom.sources.staging import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bpe.encode_bpe(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode_bpe(encoded, ranks)
+    return decoded.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.encode("text", "UTF-8"), 256).alias("decoded_sha256"),
+    )
+
+
+def op3_token_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-blocks")
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    token_index.write_tokens(table(spark, sf_dir, "documents"), path, tokenizer, end_id=2)
+    return token_index.read_tokens(spark, path).select(
+        "doc_id",
+        "start",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op4_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = shards.shuffle_into_shards(table(spark, sf_dir, "documents"), shards=40)
     return dealt.select(
@@ -25,11 +51,25 @@ def op4_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def packed_digests(packed: DataFrame) -> DataFrame:
+    return packed.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
+    )
+
+
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    return packed_digests(packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer))
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_bpe_transducer": op2_bpe_transducer,
+    "op3_token_index": op3_token_index,
     "op4_external_shuffle": op4_external_shuffle,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
 }

@@ -120,25 +120,32 @@ class MergeTransducer:
         return True
 
     def _step(self, state: State, byte: int) -> tuple[State, bytes]:
+        trie, token_of, pairs, last = self.trie, self.token, self.pairs, state.last
         ways = []
         for undecided, node in state.ways:
-            node = self.trie[node].get(byte)
+            node = trie[node].get(byte)
             if node is None:
                 continue
-            if self.trie[node]:
+            if trie[node]:
                 ways.append((undecided, node))
-            token = self.token[node]
-            if token >= 0 and self.pairs[undecided[-1] if undecided else state.last, token]:
+            token = token_of[node]
+            if token >= 0 and pairs[undecided[-1] if undecided else last, token]:
                 ways.append(((*undecided, token), 0))
-        agreed = 0
-        shortest = min(ways, key=lambda way: len(way[0]))[0]
-        while agreed < len(shortest) and all(w[0][agreed] == shortest[agreed] for w in ways):
+        # What the least and the greatest way agree on, all between them do.
+        low, high, agreed = min(ways)[0], max(ways)[0], 0
+        for a, b in zip(low, high):
+            if a != b:
+                break
             agreed += 1
+        emitted = b""
+        if agreed:
+            last = low[agreed - 1]
+            emitted = b"".join([self.packed[t] for t in low[:agreed]])
+            ways = [(undecided[agreed:], node) for undecided, node in ways]
         # The last decided token only matters where nothing undecided follows it.
-        last = shortest[agreed - 1] if agreed else state.last
-        last = last if len(shortest) == agreed else None
-        reached = self._state(last, frozenset((u[agreed:], node) for u, node in ways))
-        state[byte] = step = (reached, b"".join(self.packed[t] for t in shortest[:agreed]))
+        if len(low) > agreed:
+            last = None
+        state[byte] = step = (self._state(last, frozenset(ways)), emitted)
         return step
 
     def __call__(self, word: bytes) -> bytes:

@@ -7,6 +7,7 @@ bounded table in each worker; what is encoded again after the table was emptied
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Callable, Iterator
@@ -25,7 +26,7 @@ _RARE_WHITE = re.compile("[\x85\xa0  -     　]")
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
 #: Entries of a worker's tables; about 200 bytes each.
-CHUNKS_KEPT, PIECES_KEPT = 400_000, 150_000
+CHUNKS_KEPT, PIECES_KEPT = 400_000, 200_000
 
 #: Characters of text that are turned into ids between two answers of a worker.
 ANSWER_CHARS = 4_000_000
@@ -45,15 +46,19 @@ def words(text: str) -> list[str]:
 
 
 class Kept(dict):
-    """A table that makes missing values and starts anew when it is full."""
+    """A table that makes missing values, in two generations: when it is full, what was used since
+    the last time is kept for another round and the rest is forgotten."""
 
     def __init__(self, make: Callable, most: int):
         super().__init__()
-        self.make, self.most = make, most
+        self.make, self.most, self.older = make, most // 2, {}
 
     def __missing__(self, key):
-        value = self.make(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
         self[key] = value
         return value
@@ -69,13 +74,13 @@ class PieceEncoder:
     def __init__(self, cut: Callable, split: Callable, ids: Callable, whole: Callable | None = None):
         self.pieces = Kept(ids, PIECES_KEPT)
         self.chunks = Kept(self._chunk, CHUNKS_KEPT)
-        self.cut, self.split, self.ids, self.whole = cut, split, ids, whole
+        self.cut, self.split, self.whole = cut, split, whole
 
     def _chunk(self, chunk: str) -> bytes:
         split = self.split(chunk)
         if split is None:
             return self.whole(chunk)
-        return self.ids(split[0]) if len(split) == 1 else b"".join(map(self.pieces.__getitem__, split))
+        return b"".join(map(self.pieces.__getitem__, split))
 
     def __call__(self, text: str | None) -> bytes:
         return b"".join(map(self.chunks.__getitem__, self.cut(text))) if text else b""
@@ -158,8 +163,16 @@ def encode(docs: DataFrame, encoder: Callable[[], PieceEncoder], end: bytes = b"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = encoder()
-        for part in answers(batches):
-            packed = [of(text) + end for text in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"])
+        # The tables hold millions of small objects and no cycles; looking for some takes longer
+        # than the work.
+        gc.disable()
+        try:
+            for part in answers(batches):
+                packed = [of(text) + end for text in part.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"]
+                )
+        finally:
+            gc.enable()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")

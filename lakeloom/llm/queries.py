@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, licenses, packing, shards, token_index
+from lakeloom.llm import bpe, jaccard, licenses, packing, shards, token_index
 from lakeloom.sources.staging import fresh_path
 
 
@@ -66,10 +66,15 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_bpe_transducer": op2_bpe_transducer,
     "op3_token_index": op3_token_index,
     "op4_external_shuffle": op4_external_shuffle,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
+    "op10_ngram_jaccard": op10_ngram_jaccard,
 }

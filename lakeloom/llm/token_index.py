@@ -26,12 +26,12 @@ BLOCK_SCHEMA = (
     "keys binary, ends binary, levels binary, bits binary, prints binary, places binary, ids binary"
 )
 
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_GOLDEN = 0x9E3779B97F4A7C15
 
 
 def mixed(keys: np.ndarray, salt: int) -> np.ndarray:
     """64 well-mixed bits of each integer key; different salts are independent."""
-    x = keys.astype(np.uint64) + np.uint64(salt + 1) * _GOLDEN
+    x = keys.astype(np.uint64) + np.uint64((salt + 1) * _GOLDEN & 0xFFFFFFFFFFFFFFFF)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return x ^ (x >> np.uint64(31))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, jaccard, licenses, packing, shards, token_index
+from lakeloom.llm import bpe, jaccard, licenses, multi_index, packing, shards, token_index
 from lakeloom.sources.staging import fresh_path
 
 
@@ -14,6 +14,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     encoded = bpe.encode_bpe(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
@@ -71,6 +75,7 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_multi_index": op1_multi_index,
     "op2_bpe_transducer": op2_bpe_transducer,
     "op3_token_index": op3_token_index,
     "op4_external_shuffle": op4_external_shuffle,

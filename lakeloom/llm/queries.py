@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, jaccard, licenses, multi_index, packing, shards, token_index
+from lakeloom.llm import bpe, jaccard, language, licenses, multi_index, neighbours, packing, shards, token_index
 from lakeloom.sources.staging import fresh_path
 
 
@@ -55,6 +55,12 @@ def op4_external_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    named = language.identify(documents.select("doc_id", "text"), language.fit_languages(documents))
+    return named.select("record.doc_id", language.held_out("record.doc_id").alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def packed_digests(packed: DataFrame) -> DataFrame:
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
@@ -70,6 +76,18 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op9_neighbour_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    fitted = neighbours.fit_quality(documents, table(spark, sf_dir, "labels"))
+    scored = neighbours.score_quality(documents.select("doc_id", "text"), fitted)
+    return scored.select(
+        "record.doc_id",
+        language.held_out("record.doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
@@ -79,7 +97,9 @@ QUERIES = {
     "op2_bpe_transducer": op2_bpe_transducer,
     "op3_token_index": op3_token_index,
     "op4_external_shuffle": op4_external_shuffle,
+    "op5_language_centroids": op5_language_centroids,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
+    "op9_neighbour_quality": op9_neighbour_quality,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }

@@ -14,11 +14,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.pieces import answers, encode, library_encoder
+from lakeloom.llm.pieces import encode, library_encoder
 
 #: Characters of text for each group that is packed on its own. More in a group leave fewer
 #: sequences that no document fits any more, at most one or so a group.
-GROUP_CHARS = 12_000_000
+GROUP_CHARS = 32_000_000
 
 # What a document weighs besides its text when groups are sized.
 _DOCUMENT_CHARS = 200
@@ -34,8 +34,10 @@ class Bins:
         self.sizes, self.capacity = sizes, capacity
         self.items: list[set[int]] = []
         self.fill: list[int] = []
-        # By size, the bins that hold an item of it, with how many; only for underfull bins.
-        self.holders: dict[int, dict[int, int]] = defaultdict(dict)
+        # Underfull bins by the sizes of their items, and by the sums of two of them.
+        self.singles: dict[int, set[int]] = defaultdict(set)
+        self.pairs: dict[int, set[int]] = defaultdict(set)
+        self.entered: dict[int, list] = {}
 
     def best_fit(self) -> None:
         """Each item, the longest first, into the fullest bin that it fits."""
@@ -73,80 +75,70 @@ class Bins:
     def used(self) -> int:
         return sum(1 for f in self.fill if f)
 
-    def _count(self, bin_: int, by: int) -> None:
-        for item in self.items[bin_]:
-            holders = self.holders[self.sizes[item]]
-            holders[bin_] = holders.get(bin_, 0) + by
-            if not holders[bin_]:
-                del holders[bin_]
+    def _list(self, bin_: int) -> None:
+        """Enter an underfull bin under its sizes and the sums of two of them, or take it out."""
+        entered = self.entered.pop(bin_, ())
+        for sums, size in entered:
+            sums[size].discard(bin_)
+        if 0 < self.fill[bin_] < self.capacity:
+            sizes = sorted(self.sizes[i] for i in self.items[bin_])
+            entries = [(self.singles, size) for size in set(sizes)]
+            entries += [(self.pairs, total) for total in {a + b for a, b in combinations(sizes, 2)}]
+            for sums, size in entries:
+                sums[size].add(bin_)
+            self.entered[bin_] = entries
 
     def _exchange(self, a: int, out: list[int], b: int, back: list[int]) -> None:
         """``out`` goes from ``a`` to ``b`` and ``back`` the other way."""
         moved = sum(self.sizes[i] for i in out) - sum(self.sizes[i] for i in back)
-        for bin_ in (a, b):
-            self._count(bin_, -1)
         self.items[a].difference_update(out)
         self.items[a].update(back)
         self.items[b].difference_update(back)
         self.items[b].update(out)
         self.fill[a] -= moved
         self.fill[b] += moved
-        for bin_ in (a, b):
-            if self.fill[bin_] < self.capacity:
-                self._count(bin_, 1)
-
-    def _of_size(self, bin_: int, *sizes: int) -> list[int] | None:
-        chosen: list[int] = []
-        for size in sizes:
-            item = next((i for i in self.items[bin_] if self.sizes[i] == size and i not in chosen), None)
-            if item is None:
-                return None
-            chosen.append(item)
-        return chosen
-
-    def _giver(self, size: int, taker: int, gain: int) -> int | None:
-        """A bin with an item of ``size`` that may lose ``gain`` to ``taker``: the squared fill
-        grows exactly if the taker ends fuller than the giver was."""
+        self._list(a)
+        self._list(b)
+
+    def _one(self, bin_: int, size: int) -> list[int]:
+        return [next(i for i in self.items[bin_] if self.sizes[i] == size)]
+
+    def _two(self, bin_: int, total: int) -> list[int]:
+        first: dict[int, int] = {}
+        for item in self.items[bin_]:
+            if total - self.sizes[item] in first:
+                return [first[total - self.sizes[item]], item]
+            first[self.sizes[item]] = item
+        raise ValueError(f"no two items of {total} in bin {bin_}")
+
+    def _giver(self, sums: dict[int, set[int]], size: int, taker: int, gain: int) -> int | None:
+        """A bin with an item (or two) of ``size`` that may lose ``gain`` to ``taker``: the squared
+        fill grows exactly if the taker ends fuller than the giver was."""
         most = self.fill[taker] + gain
-        return next((b for b in self.holders.get(size, ()) if b != taker and self.fill[b] < most), None)
+        return next((b for b in sums.get(size, ()) if b != taker and self.fill[b] < most), None)
 
     def _improve(self, taker: int) -> bool:
-        """One exchange that fills ``taker`` as far as any of its kind does."""
-        gap = self.capacity - self.fill[taker]
-        own = sorted({self.sizes[i] for i in self.items[taker]})
-        pairs = sorted({a + b: (a, b) for a, b in combinations(sorted(self.sizes[i] for i in self.items[taker]), 2)}.items())
-        for gain in range(gap, 0, -1):
-            # Move: a document of this size comes in.
-            giver = self._giver(gain, taker, gain)
+        """The first exchange that gains ``taker`` most: a move, one for one, two for one."""
+        sizes = sorted(self.sizes[i] for i in self.items[taker])
+        own, doubles = sorted(set(sizes)), sorted({a + b for a, b in combinations(sizes, 2)})
+        for gain in range(self.capacity - self.fill[taker], 0, -1):
+            giver = self._giver(self.singles, gain, taker, gain)
             if giver is not None:
-                self._exchange(giver, self._of_size(giver, gain), taker, [])
+                self._exchange(giver, self._one(giver, gain), taker, [])
                 return True
-            # One for one: a document comes in for one that is shorter by the gain.
             for size in own:
-                giver = self._giver(size + gain, taker, gain)
+                giver = self._giver(self.singles, size + gain, taker, gain)
                 if giver is not None:
-                    self._exchange(giver, self._of_size(giver, size + gain), taker, self._of_size(taker, size))
+                    self._exchange(giver, self._one(giver, size + gain), taker, self._one(taker, size))
                     return True
-            # Two for one: one comes in for two, or two come in for one.
-            for both, (a, b) in pairs:
-                giver = self._giver(both + gain, taker, gain)
+                giver = self._giver(self.pairs, size + gain, taker, gain)
                 if giver is not None:
-                    self._exchange(giver, self._of_size(giver, both + gain), taker, self._of_size(taker, a, b))
+                    self._exchange(giver, self._two(giver, size + gain), taker, self._one(taker, size))
                     return True
-            for size in own:
-                if self._two_in(taker, size, gain):
-                    return True
-        return False
-
-    def _two_in(self, taker: int, size: int, gain: int) -> bool:
-        wanted = size + gain
-        for first in [s for s, holders in self.holders.items() if holders and 2 * s <= wanted]:
-            for giver in self.holders[first]:
-                if giver == taker or self.fill[giver] >= self.fill[taker] + gain:
-                    continue
-                out = self._of_size(giver, first, wanted - first)
-                if out:
-                    self._exchange(giver, out, taker, self._of_size(taker, size))
+            for both in doubles:
+                giver = self._giver(self.singles, both + gain, taker, gain)
+                if giver is not None:
+                    self._exchange(giver, self._one(giver, both + gain), taker, self._two(taker, both))
                     return True
         return False
 
@@ -157,10 +149,8 @@ class Bins:
         exchange makes the sum of squares larger, so the search ends.
         """
         least = self.least()
-        self.holders.clear()
-        for bin_, fill in enumerate(self.fill):
-            if 0 < fill < self.capacity:
-                self._count(bin_, 1)
+        for bin_ in range(len(self.fill)):
+            self._list(bin_)
         moved = True
         while moved and self.used() > least:
             moved = False
@@ -191,24 +181,23 @@ def pack(sizes: list[int], capacity: int) -> tuple[list[int], list[int]]:
 def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> DataFrame:
     """``doc_id, piece, start, length, ids``: every text's ids and ``end_id``, in pieces.
 
-    Documents up to ``capacity`` are one piece. Longer ones are cut into full pieces, and what is
-    left over is the first piece, so that it ends where a full piece begins.
+    Ids are packed 16-bit integers, so the vocabulary must be below 65,536. Documents up to
+    ``capacity`` are one piece. Longer ones are cut into full pieces, and what is left over is the
+    first piece, so that it ends where a full piece begins.
     """
-    encoded = encode(docs, lambda: library_encoder(tokenizer, "I"), end_id.to_bytes(4, "little"))
-    kind = dict(docs.dtypes)["doc_id"]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in answers(batches):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
             places, pieces, starts, lengths, ids = [], [], [], [], []
             for row, packed in enumerate(part.column(1).to_pylist()):
-                total = len(packed) // 4
+                total = len(packed) // 2
                 cuts = [0, *range(total % capacity or capacity, total, capacity), total]
                 for nth, (start, stop) in enumerate(zip(cuts, cuts[1:])):
                     places.append(row)
                     pieces.append(nth)
                     starts.append(start)
                     lengths.append(stop - start)
-                    ids.append(packed[4 * start : 4 * stop])
+                    ids.append(packed[2 * start : 2 * stop])
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0).take(pa.array(places, pa.int64())), pa.array(pieces, pa.int32()),
@@ -217,7 +206,9 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> D
                 ["doc_id", "piece", "start", "length", "ids"],
             )
 
-    return encoded.mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids binary")
+    encoder = lambda: library_encoder(tokenizer, "H")
+    schema = "piece int, start long, length long, ids binary"
+    return encode(docs, encoder, end_id.to_bytes(2, "little"), cut, schema)
 
 
 def pack_documents(
@@ -228,7 +219,7 @@ def pack_documents(
     NULL texts are empty, so they are the end id alone; rows with a NULL or repeated ``doc_id`` are
     documents of their own. Other columns are ignored; an empty table gives no rows.
 
-    Pieces are dealt evenly to groups of about ``group_chars``, by row and not by key, so that no
+    ``ids`` are packed 32-bit integers. Pieces are dealt evenly to groups of about ``group_chars``, by row and not by key, so that no
     value can make a group large. Each group is packed in one task: full pieces are sequences,
     the rest go by best fit and the local search of :class:`Bins`. Groups cost at most a few
     underfull sequences each, and their number follows the size of the table.
@@ -254,8 +245,12 @@ def pack_documents(
         at = 0
         for batch in held:
             stop = at + batch.num_rows
+            wide = [np.frombuffer(ids, "<u2").astype("<u4").tobytes() for ids in batch.column(4).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(base + sequence[at:stop]), pa.array(offset[at:stop])],
+                [
+                    *batch.columns[:4], pa.array(wide, pa.binary()),
+                    pa.array(base + sequence[at:stop]), pa.array(offset[at:stop]),
+                ],
                 [*batch.schema.names, "sequence_id", "offset"],
             )
             at = stop

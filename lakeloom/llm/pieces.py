@@ -71,9 +71,16 @@ class PieceEncoder:
     ``whole``), and ``ids`` gives the packed ids of one piece.
     """
 
-    def __init__(self, cut: Callable, split: Callable, ids: Callable, whole: Callable | None = None):
-        self.pieces = Kept(ids, PIECES_KEPT)
-        self.chunks = Kept(self._chunk, CHUNKS_KEPT)
+    def __init__(
+        self,
+        cut: Callable,
+        split: Callable,
+        ids: Callable,
+        whole: Callable | None = None,
+        kept: tuple[int, int] = (CHUNKS_KEPT, PIECES_KEPT),
+    ):
+        self.chunks = Kept(self._chunk, kept[0])
+        self.pieces = Kept(ids, kept[1])
         self.cut, self.split, self.whole = cut, split, whole
 
     def _chunk(self, chunk: str) -> bytes:
@@ -154,12 +161,8 @@ def answers(batches: Iterator[pa.RecordBatch], chars: int = ANSWER_CHARS) -> Ite
             yield batch.slice(start, rows)
 
 
-def encode(docs: DataFrame, encoder: Callable[[], PieceEncoder], end: bytes = b"") -> DataFrame:
-    """``doc_id, ids``: the packed ids of every whole text followed by ``end``; NULL is empty.
-
-    ``encoder`` is called in the worker, so that tokenizers are loaded there once and not sent.
-    """
-    kind = dict(docs.dtypes)["doc_id"]
+def encoding(encoder: Callable[[], PieceEncoder], end: bytes = b"") -> Callable:
+    """Batches of (key, text) to batches of (``doc_id``, ``ids``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = encoder()
@@ -175,4 +178,18 @@ def encode(docs: DataFrame, encoder: Callable[[], PieceEncoder], end: bytes = b"
         finally:
             gc.enable()
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, ids binary")
+    return run
+
+
+def encode(
+    docs: DataFrame, encoder: Callable[[], PieceEncoder], end: bytes = b"", then: Callable | None = None, schema: str = ""
+) -> DataFrame:
+    """``doc_id, ids``: the packed ids of every whole text followed by ``end``; NULL is empty.
+
+    ``encoder`` is called in the worker, so that tokenizers are loaded there once and not sent.
+    ``then`` goes on with the batches in the same worker and makes ``schema`` after ``doc_id``.
+    """
+    kind = dict(docs.dtypes)["doc_id"]
+    first = encoding(encoder, end)
+    run = (lambda batches: then(first(batches))) if then else first
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {schema or 'ids binary'}")

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakeloom.llm import stages
 from lakeloom.sources.staging import stage
 
-STAGES: list = []
+STAGES = [
+    ("language", stages.identify_languages),
+    ("quality", stages.keep_quality),
+    ("near-copies", stages.drop_near_copies),
+    ("packing", stages.pack),
+]
 
 #: SQL cannot express the trained stages and the packing; the tests hold a brute-force version.
 ORACLE_SQL = None

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, jaccard, language, licenses, multi_index, neighbours, packing, shards, token_index
+from lakeloom.llm import bpe, jaccard, language, licenses, multi_index, neighbours, packing, repetition, shards, token_index
 from lakeloom.sources.staging import fresh_path
 
 
@@ -61,6 +61,10 @@ def op5_language_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("record.doc_id", language.held_out("record.doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op6_suffix_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.measure_repetition(table(spark, sf_dir, "documents"))
+
+
 def packed_digests(packed: DataFrame) -> DataFrame:
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
@@ -98,6 +102,7 @@ QUERIES = {
     "op3_token_index": op3_token_index,
     "op4_external_shuffle": op4_external_shuffle,
     "op5_language_centroids": op5_language_centroids,
+    "op6_suffix_repetition": op6_suffix_repetition,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_license_scan": op8_license_scan,
     "op9_neighbour_quality": op9_neighbour_quality,

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import jaccard, language, neighbours, packing
+from lakeloom.llm.workers import importable
 
 #: Documents that score less are rejected by the quality stage.
 LEAST_QUALITY = 0.3
@@ -14,12 +15,14 @@ LEAST_QUALITY = 0.3
 
 def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the language centroids accept."""
+    importable(spark)
     named = language.identify(docs, language.fit_languages(docs))
     return named.where("not rejected").select("record.*")
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents that the labelled neighbours score at least :data:`LEAST_QUALITY`."""
+    importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     scored = neighbours.score_quality(docs, neighbours.fit_quality(docs, labels))
     return scored.where(F.col("score") >= LEAST_QUALITY).select("record.*")
@@ -31,6 +34,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Documents of five-word shingles link from a similarity of 0.8 on. Rows without a ``doc_id`` or
     without words are in no group and stay; rows with one ``doc_id`` stay or go together.
     """
+    importable(spark)
     similar = jaccard.Similar(words=5, percent=80)
     groups = jaccard.similar_documents(docs, similar)
     copies = groups.where("component_id <> doc_id").select("doc_id").distinct()
@@ -39,6 +43,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into sequences of 1024 tokens; a row for each piece, with its ids' crc32."""
+    importable(spark)
     packed = packing.pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"

@@ -24,6 +24,9 @@ from lakeloom.llm.pieces import PIECES_KEPT, Kept, PieceEncoder, answers, chunks
 #: States and pairs that a worker keeps; beyond that it starts anew.
 STATES_KEPT, PAIRS_KEPT = 60_000, 150_000
 
+#: Chunks and pieces that a worker keeps; a piece costs more here than with a compiled library.
+ENCODED_KEPT = (300_000, 1_200_000)
+
 _NEVER = float("inf")
 
 
@@ -172,7 +175,7 @@ def transducer_encoder(ranks_path: str, pattern: str) -> PieceEncoder:
         plain = chunk[:1] == " " and chunk.isascii() and chunk[1:].isalpha()
         return [chunk] if plain else findall(chunk)
 
-    return PieceEncoder(chunks, split, lambda piece: transduce(piece.encode()))
+    return PieceEncoder(chunks, split, lambda piece: transduce(piece.encode()), kept=ENCODED_KEPT)
 
 
 def encode_bpe(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -270,13 +273,8 @@ def stream_decoder(ranks_path: str) -> StreamDecoder:
     return StreamDecoder(tokens)
 
 
-def decode_bpe(encoded: DataFrame, ranks_path: str, chunk_ids: int = 65_536) -> DataFrame:
-    """``doc_id, ids, text`` from ``doc_id, ids``: the text that the packed ids spell.
-
-    A document's ids go through the machine in chunks of ``chunk_ids``. NULL ids give a NULL text.
-    Ids that do not spell UTF-8, which :func:`encode_bpe` never makes, are an error.
-    """
-    kind = dict(encoded.dtypes)["doc_id"]
+def decoding(ranks_path: str, chunk_ids: int = 65_536):
+    """Batches of (``doc_id``, ``ids``) to batches of (``doc_id``, ``ids``, ``text``)."""
 
     def one(decoder: StreamDecoder, packed: bytes | None) -> str | None:
         if packed is None:
@@ -294,4 +292,26 @@ def decode_bpe(encoded: DataFrame, ranks_path: str, chunk_ids: int = 65_536) ->
                 [part.column(0), part.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
             )
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, ids binary, text string")
+    return run
+
+
+def decode_bpe(encoded: DataFrame, ranks_path: str) -> DataFrame:
+    """``doc_id, ids, text`` from ``doc_id, ids``: the text that the packed ids spell.
+
+    A document's ids go through the machine in chunks. NULL ids give a NULL text. Ids that do not
+    spell UTF-8, which :func:`encode_bpe` never makes, are an error.
+    """
+    kind = dict(encoded.dtypes)["doc_id"]
+    return encoded.select("doc_id", "ids").mapInArrow(
+        decoding(ranks_path), f"doc_id {kind}, ids binary, text string"
+    )
+
+
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """:func:`encode_bpe` and :func:`decode_bpe` in one worker: ``doc_id, ids, text``."""
+    return encode(
+        docs,
+        lambda: transducer_encoder(ranks_path, pattern),
+        then=decoding(ranks_path),
+        schema="ids binary, text string",
+    )

@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.llm import bpe, jaccard, language, licenses, multi_index, neighbours, packing, repetition, shards, token_index
+from lakeloom.llm.workers import importable
 from lakeloom.sources.staging import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -20,8 +22,7 @@ def op1_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bpe.encode_bpe(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
-    decoded = bpe.decode_bpe(encoded, ranks)
+    decoded = bpe.round_trip(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id",
         F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

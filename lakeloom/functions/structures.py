@@ -20,11 +20,13 @@ def most_frequent(count: Column | str, value: Column | str) -> Column:
 
 
 def exact_mean(c: Column | str, scale: int) -> Column:
-    """Aggregate: mean as double over values rounded to ``scale`` digits.
+    """Aggregate: mean as double over values kept to ``scale`` digits.
 
     Unlike ``avg`` over floating point, the sum does not depend on the order of the rows, so two
-    runs over the same rows agree to the last bit.
+    runs over the same rows agree to the last bit. A group that holds a value too large for it, or
+    one that is no number, gets ``avg`` instead, so no value is left out.
     """
     value = F.col(c) if isinstance(c, str) else c
-    exact = value.cast(f"decimal(20,{scale})")
-    return F.sum(exact).cast("double") / F.count(exact)
+    exact = value.try_cast(f"decimal(28,{scale})")
+    mean = F.try_sum(exact).cast("double") / F.count(exact)
+    return F.when(F.count(value) == F.count(exact), F.coalesce(mean, F.avg(value))).otherwise(F.avg(value))

@@ -75,18 +75,39 @@ def dim_aircraft_static(flights: DataFrame, dim: DataFrame, number: bool = True)
 
     The airport ids are 70th percentiles of the alphabetical ids; :func:`home_airport` is the
     meaningful form. ``number`` adds a dense ``id``.
+
+    One hash aggregation by grouping sets gives the figures and counts each airport of each side;
+    the percentile is the first id at which the running count reaches its share, so only a row for
+    each aircraft and airport is sorted.
     """
+    keys = ["aircraft_id", "airplane_model"]
+    ends = ["origin_airport_id", "destination_airport_id"]
+    figures = {
+        "avg_cost": F.avg("flight_cost").try_cast("int"),
+        "total_distance_flown": F.sum("distance"),
+        "avg_fuel_consumed_litre": F.avg("fuel_consumed_litre"),
+        "min_engine_performance": F.min("engine_performance"),
+        "max_engine_performance": F.max("engine_performance"),
+    }
     facts = with_airport_ids(flights, dim)
-    aircraft = facts.groupBy("aircraft_id", "airplane_model").agg(
-        F.avg("flight_cost").try_cast("int").alias("avg_cost"),
-        F.sum("distance").alias("total_distance_flown"),
-        F.avg("fuel_consumed_litre").alias("avg_fuel_consumed_litre"),
-        F.min("engine_performance").alias("min_engine_performance"),
-        F.max("engine_performance").alias("max_engine_performance"),
-        F.percentile_approx("origin_airport_id", 0.7).alias("origin_airport_id"),
-        F.percentile_approx("destination_airport_id", 0.7).alias("destination_airport_id"),
+    counted = facts.groupingSets([keys, *[[*keys, end] for end in ends]], *keys, *ends).agg(
+        *[figure.alias(name) for name, figure in figures.items()],
+        F.count("*").alias("_rows"),
+        *[(1 - F.grouping(end)).alias(f"_by_{end}") for end in ends],
+    )
+    side = [*keys, *[f"_by_{end}" for end in ends]]
+    along = Window.partitionBy(*side).orderBy(*ends)
+    running = F.sum("_rows").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    share = F.ceil(F.sum("_rows").over(Window.partitionBy(*side)) * F.lit(0.7))
+    reached = counted.withColumn("_reached", running >= share)
+    whole = F.lit(True)
+    for end in ends:
+        whole = whole & (F.col(f"_by_{end}") == 0)
+    aircraft = reached.groupBy(*keys).agg(
+        *[F.max(F.when(whole, F.col(name))).alias(name) for name in figures],
+        *[F.min(F.when(F.col("_reached") & (F.col(f"_by_{end}") == 1), F.col(end))).alias(end) for end in ends],
     )
-    return dense_id(aircraft, "aircraft_id", "airplane_model") if number else aircraft
+    return dense_id(aircraft, *keys) if number else aircraft
 
 
 def airport_counts(flights: DataFrame, how: Union = "stack") -> DataFrame:

@@ -10,8 +10,14 @@ from lakeloom.sources.staging import stage
 # monotonically_increasing_id() holds the partition above this bit and the row position below.
 _POSITION_BITS = 33
 
-# Up to this n Spark keeps only the first n rows of each partition ahead of the window.
-_WINDOW_LIMIT = 1000
+# Up to this n of the whole table the first n rows are found by a top-n of each task.
+_TOP_ROWS = 1000
+
+# Spark's setting: up to this n a window drops the rows past the n-th in each task.
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+# Types without an order.
+_UNORDERED = ("map<", "variant", "interval")
 
 
 def _cols(names: tuple[Column | str, ...] | list[Column | str]) -> list[Column]:
@@ -58,21 +64,26 @@ def nth_row(
 ) -> DataFrame:
     """Row ``n`` (from 1) along ``order``, of the table or of each group of ``partition``.
 
-    A struct may be ordered by; it compares field by field, NULL first. Rows past the n-th are
-    dropped in each task before the window, so neither a large table nor a large group meets in
-    one task. For an ``n`` too great for that, the rows are numbered by :func:`dense_id` and the
-    n-th of each group is looked up by number.
+    A struct may be ordered by; it compares field by field, NULL first. For any ``n`` the remaining
+    columns that have an order settle ties, so the result does not depend on how the rows lie.
+
+    Neither a large table nor a large group meets in one task: a small ``n`` is found by a top-n of
+    each task, and a greater one by the numbers of :func:`dense_id`. Where the line lies only
+    changes the plan; for groups it is the session's own limit.
     """
     keys = _cols(order if isinstance(order, list) else [order])
     groups = partition or []
-    if n <= _WINDOW_LIMIT:
-        window = Window.partitionBy(*groups).orderBy(*keys)
-        numbered = df.withColumn(rank_col, F.row_number().over(window))
+    rest = [c for c, kind in df.dtypes if c not in groups and not any(u in kind for u in _UNORDERED)]
+    along = [*keys, *map(F.col, rest)]
+    if not groups and n <= _TOP_ROWS:
+        first = df.orderBy(*along).limit(n)
+        numbered = first.withColumn(rank_col, F.row_number().over(Window.orderBy(*along)))
         return numbered.where(F.col(rank_col) == n)
+    if groups and n <= int(df.sparkSession.conf.get(_GROUP_LIMIT, "1000")):
+        window = Window.partitionBy(*groups).orderBy(*along)
+        return df.withColumn(rank_col, F.row_number().over(window)).where(F.col(rank_col) == n)
 
-    # The remaining columns settle ties, which also spreads a value that many rows share.
-    rest = [c for c, dtype in df.dtypes if c not in groups and "map<" not in dtype]
-    numbered = dense_id(df, *groups, *keys, *rest, id_col="_id")
+    numbered = dense_id(df, *groups, *along, id_col="_id")
     wanted = numbered.groupBy(*groups).agg((F.min("_id") + (n - 1)).alias("_id"))
     wanted = wanted.select("_id", *[F.col(g).alias(f"_group_{g}") for g in groups])
     found = numbered.join(wanted, "_id")

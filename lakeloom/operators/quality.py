@@ -34,16 +34,25 @@ def key_profile(df: DataFrame, key: str) -> DataFrame:
 def file_stats(df: DataFrame, cols: list[str]) -> DataFrame:
     """Rows of each data file, and per column its least and greatest value and its NULLs.
 
-    ``df`` must read files directly. Each task sums up its part of a file before the shuffle.
+    ``df`` must read files directly. Each task sums up its part of a file by hash before the
+    shuffle. Extremes of text have no place in a hash aggregation, so a text column is first reduced
+    to its distinct values of each file, by a scan of that column alone.
     """
+    path = F.col("_metadata.file_path").alias("file_path")
+    text = [c for c, kind in df.select(*cols).dtypes if kind in ("string", "binary")]
     stats = [F.count("*").alias("num_records")]
     for c in cols:
-        stats += [
-            F.min(c).alias(f"min_{c}"),
-            F.max(c).alias(f"max_{c}"),
-            F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"),
-        ]
-    return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(*stats)
+        if c not in text:
+            stats += [F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}")]
+        stats.append(F.count_if(F.col(c).isNull()).alias(f"nulls_{c}"))
+    found = df.groupBy(path).agg(*stats)
+    for c in text:
+        values = df.where(F.col(c).isNotNull()).select(path, c).distinct()
+        ends = values.groupBy("file_path").agg(F.min(c).alias(f"min_{c}"), F.max(c).alias(f"max_{c}"))
+        found = found.join(ends, "file_path", "left")
+    return found.select(
+        "file_path", "num_records", *[f"{stat}_{c}" for c in cols for stat in ("min", "max", "nulls")]
+    )
 
 
 def files(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 from typing import Literal
 
@@ -22,14 +22,23 @@ def quarantine(source: DataFrame, key: str | list[str]) -> DataFrame:
     return source.where(~has_key(key_list(key)))
 
 
-def _opened(source: DataFrame, keys: list[str], as_of: str, prefix: str) -> list[Column]:
-    moment = F.lit(as_of).cast("timestamp")
+def moment_of(as_of: datetime | str) -> Column:
+    """``as_of`` as a timestamp: a datetime with a zone by its instant, one without and text in the
+    session's zone, all to the microsecond."""
+    if isinstance(as_of, datetime) and as_of.tzinfo is not None:
+        since = as_of - datetime(1970, 1, 1, tzinfo=timezone.utc)
+        return F.timestamp_micros(F.lit(since // timedelta(microseconds=1)).cast("long"))
+    text = as_of.isoformat(sep=" ") if isinstance(as_of, datetime) else as_of
+    return F.lit(text).cast("timestamp")
+
+
+def _opened(source: DataFrame, keys: list[str], moment: Column, prefix: str) -> list[Column]:
     scd_id, updated_at, valid_from, valid_to = version_columns(prefix)
     return [
         *[F.col(c) for c in source.columns],
-        F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(as_of))).alias(
-            scd_id
-        ),
+        F.md5(
+            F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.unix_micros(moment).cast("string"))
+        ).alias(scd_id),
         moment.alias(updated_at),
         moment.alias(valid_from),
         F.lit(None).cast("timestamp").alias(valid_to),
@@ -50,19 +59,20 @@ def advance(
     """The open versions after taking in ``source``, and the versions that this closes.
 
     Takes the open versions alone, so the cost does not grow with the history. See
-    :func:`apply_snapshot` for the rules.
+    :func:`apply_snapshot` for the rules. An open version that does not begin before ``as_of`` is an
+    error when the result runs.
     """
     keys = key_list(key)
     if on_duplicate == "first" and not order:
         raise ValueError("on_duplicate='first' needs an order")
-    moment_text = as_of.strftime("%Y-%m-%d %H:%M:%S") if isinstance(as_of, datetime) else as_of
+    moment = moment_of(as_of)
 
     known = source.where(has_key(keys))
     if on_duplicate == "first":
         batch = first_per_key(known, keys, order)
     else:
         batch = require_unique(known, keys)
-    fresh = batch.select(*_opened(batch, keys, moment_text, prefix))
+    fresh = batch.select(*_opened(batch, keys, moment, prefix))
     if current_open is None:
         return fresh
 
@@ -82,8 +92,10 @@ def advance(
         lambda a, c: a & F.col("_old")[c].eqNullSafe(F.col("_new")[c]), check_cols, F.lit(True)
     )
     closes = is_old & ((is_new & ~same) | (~is_new & F.lit(hard_deletes)))
-    closed_at = F.when(closes, F.lit(moment_text).cast("timestamp"))
-    kept = F.when(is_old, F.col("_old").withField(version_columns(prefix)[-1], closed_at))
+    valid_from, valid_to = version_columns(prefix)[2:]
+    early = F.raise_error(F.lit("the snapshot must be later than every open version")).cast("timestamp")
+    closed_at = F.when(F.col("_old")[valid_from] >= moment, early).when(closes, moment)
+    kept = F.when(is_old, F.col("_old").withField(valid_to, closed_at))
     added = F.when(is_new & (~is_old | ~same), F.col("_new"))
     return pairs.select(F.inline(F.array_compact(F.array(kept, added)))).select(*columns)
 
@@ -106,7 +118,7 @@ def apply_snapshot(
     version closed if ``hard_deletes``. Closed versions are carried over and take no part in the
     join.
 
-    ``as_of`` is a datetime or text ``yyyy-MM-dd HH:mm:ss``. Two source rows with one key are an
+    ``as_of`` is a datetime or text, see :func:`moment_of`, and later than every open version. Two source rows with one key are an
     error when the result runs, or the first along ``order`` counts. Rows with a NULL key are left
     to :func:`quarantine`. The result must not overwrite the table ``current`` is read from.
     """

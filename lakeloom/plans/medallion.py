@@ -4,21 +4,23 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakeloom.operators import dims, gold, incremental, quality, scd2, silver
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, tables
-from lakeloom.sources.staging import stage
+from lakeloom.sources.staging import remove, scope, stage
 
 SNAPSHOT_KEY = "aircraft_id"
 SNAPSHOT_CHECKS = ["airport", *dims.PROFILE_COLUMNS]
 
 # Digits kept of each reading in the snapshot's means, so that an unchanged aircraft compares equal.
-SNAPSHOT_SCALE = 6
+SNAPSHOT_SCALE = 10
 
-# Logical name to table, for code that names its sources.
+# Logical name to table, for code that names its sources.
 SOURCES = {"raw_flight": "flight_raw", "stage_flight": "flight"}
 
 
@@ -39,7 +41,8 @@ class Lake:
     def create(self) -> None:
         """The database, with its managed tables under the root as well."""
         home = self.path("warehouse", self.database)
-        self.spark.sql(f"create database if not exists {self.database} location '{home}'")
+        quoted = home.replace("\\", "\\\\").replace("'", "\\'")
+        self.spark.sql(f"create database if not exists {self.database} location '{quoted}'")
 
     def exists(self, table: str) -> bool:
         return self.spark.catalog.tableExists(self.name(table))
@@ -51,16 +54,25 @@ class Lake:
         return self.table(SOURCES[name])
 
     def ingest(self, csv_path: str, header: bool = False) -> None:
-        """Raw CSV to bronze; replaces what is there. The splits of the scan become the files."""
+        """Raw CSV to bronze; replaces what is there.
+
+        The splits of the scan become the files. Where the scan has fewer splits than its size asks
+        for, as over compressed files, which cannot be split, the rows are dealt out evenly.
+        """
         raw = ingest.read_raw_csv(self.spark, csv_path, FLIGHT_RAW, header)
-        sized = layout.sized_repartition(raw, shuffle=False)
+        wanted = layout.partitions_for(layout.estimated_bytes(raw))
+        few = raw.rdd.getNumPartitions() < wanted
+        sized = layout.sized_repartition(raw, shuffle=few)
         tables.write_overwrite(sized, self.name("flight_raw"), self.path("bronze", "flight"))
 
+    def stored(self, layer: str, table: str) -> int:
+        return layout.stored_bytes(self.spark, self.path(layer, table))
+
     def refine(self, batch_id: str, files: int = 2) -> None:
         """Bronze to silver as one batch; running a batch again replaces it."""
         raw = self.source("raw_flight")
         typed = silver.conform(silver.dedupe(raw))
-        sized = layout.compact(typed, files, size_bytes=layout.input_bytes(raw))
+        sized = layout.compact(typed, files, size_bytes=self.stored("bronze", "flight"))
         tables.write_append(
             sized, self.name("flight"), self.path("silver", "stage_flight"), batch_id=batch_id
         )
@@ -69,58 +81,88 @@ class Lake:
         return self.source("stage_flight").drop("batch_id")
 
     def build_airports(self) -> None:
-        tables.write_overwrite(dims.dim_airport(self.flights()), self.name("dim_airport"))
+        with scope(self.spark):
+            tables.write_overwrite(dims.dim_airport(self.flights()), self.name("dim_airport"))
 
     def build_aircraft(self, files: int = 4) -> None:
-        flights = self.flights()
-        static = dims.dim_aircraft_static(flights, self.table("dim_airport"))
-        sized = layout.compact(static, files, size_bytes=layout.input_bytes(self.table("flight")))
-        tables.write_overwrite(sized, self.name("dim_aircraft"))
-
-    def load_passengers(self) -> None:
-        """Append the passengers whose key is not there yet."""
-        batch = dims.dim_passenger(self.flights())
+        with scope(self.spark):
+            static = dims.dim_aircraft_static(self.flights(), self.table("dim_airport"))
+            sized = layout.compact(static, files, size_bytes=self.stored("silver", "stage_flight"))
+            tables.write_overwrite(sized, self.name("dim_aircraft"))
+
+    def load_passengers(self, batch_id: str | None = None) -> None:
+        """Append the passengers whose key is not there yet, of all flights or of one batch, of
+        which then only the partition is read."""
+        flights = self.source("stage_flight")
+        if batch_id is not None:
+            flights = flights.where(F.col("batch_id") == batch_id)
+        batch = dims.dim_passenger(flights.drop("batch_id"))
         if self.exists("dim_passenger"):
             batch = incremental.new_rows(self.table("dim_passenger"), batch, "passenger_key")
         tables.write_append(
             batch, self.name("dim_passenger"), self.path("gold", "dim_passenger")
         )
 
-    def snapshot_aircraft(self, as_of: str, prefix: str = "dbt_", check: bool = True) -> None:
+    def _published(self) -> dict[str, str]:
+        """What the view of the snapshots shows: its last moment and the folder of open versions."""
+        if not self.exists("scd_dim_aircraft"):
+            return {}
+        shown = self.spark.sql(f"show tblproperties {self.name('scd_dim_aircraft')}").collect()
+        return {row["key"]: row["value"] for row in shown if row["key"] in ("moment", "open_versions")}
+
+    def snapshot_aircraft(
+        self, as_of: datetime | str, prefix: str = "dbt_", check: bool = True, flights: DataFrame | None = None
+    ) -> None:
         """Take the aircraft profiles at ``as_of`` into the versioned dimension.
 
-        With ``check`` a NULL in an open version or one just closed, but for the open end, is an
-        error and nothing is written; older versions passed when they were written.
+        ``as_of`` must be later than the last snapshot. With ``check`` a NULL in an open version or
+        one just closed, but for the open end, is an error and nothing is published; older versions
+        passed when they were written. ``flights`` stands for all of the silver table if given.
 
-        ``scd_dim_aircraft`` is a view over the open versions, which are replaced, and the closed
-        ones, which only grow: the history is not written again by each run. Closed versions go
-        in first and under the moment of the run, so a run that broke off can be repeated.
+        ``scd_dim_aircraft`` is a view over a folder of open versions, a new one for each run, and
+        the closed ones of the moments published so far, which only grow. Replacing the view is the
+        one step that publishes a run: before it readers see the last run, and what a run that broke
+        off has written is not seen and is removed by the next one. The last two folders of open
+        versions stay for readers.
         """
-        opened, closed = "scd_dim_aircraft_open", "scd_dim_aircraft_closed"
-        present = self.table(opened) if self.exists(opened) else None
-        profile = dims.dim_aircraft_profile(self.flights(), SNAPSHOT_SCALE, one_pass=False)
-        versions = stage(
-            scd2.advance(present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix),
-            "scd-dim-aircraft",
-        )
-        valid_to = scd2.version_columns(prefix)[-1]
-        if check:
-            quality.assert_not_null(versions, [valid_to])
-        tables.write_append(
-            versions.where(f"{valid_to} is not null"),
-            self.name(closed),
-            self.path("gold", closed),
-            batch_id=as_of,
-        )
-        still_open = versions.where(f"{valid_to} is null")
-        tables.swap(still_open, self.name(opened), self.path("gold", opened))
-
-        columns = ", ".join(versions.columns)
+        published = self._published()
+        moment = self.spark.range(1).select(
+            F.date_format(scd2.moment_of(as_of), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")
+        ).first()["m"]
+        if moment is None:
+            raise ValueError(f"no moment: {as_of}")
+        if published and moment <= published["moment"]:
+            raise ValueError(f"a snapshot at {moment} must be later than the last, {published['moment']}")
+
+        home, closed = self.path("gold", "scd_dim_aircraft"), self.path("gold", "scd_dim_aircraft_closed")
+        reader = self.spark.read
+        present = reader.parquet(published["open_versions"]) if published else None
+        source = self.flights() if flights is None else flights
+        with scope(self.spark):
+            profile = dims.dim_aircraft_profile(source, SNAPSHOT_SCALE, one_pass=False)
+            versions = stage(
+                scd2.advance(present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix),
+                "scd-dim-aircraft",
+            )
+            valid_to = scd2.version_columns(prefix)[-1]
+            if check:
+                quality.assert_not_null(versions, [valid_to])
+            number = int(published["open_versions"].rsplit("-", 1)[1]) + 1 if published else 1
+            opened = f"{home}/v-{number}"
+            for left in (opened, f"{closed}/run={number}"):
+                remove(self.spark, left)
+            versions.where(f"{valid_to} is not null").write.parquet(f"{closed}/run={number}")
+            versions.where(f"{valid_to} is null").write.parquet(opened)
+            columns = ", ".join(versions.columns)
+        quoted = [path.replace("`", "``") for path in (opened, closed)]
         self.spark.sql(
-            f"create or replace view {self.name('scd_dim_aircraft')} as "
-            f"select {columns} from {self.name(opened)} "
-            f"union all select {columns} from {self.name(closed)}"
+            f"create or replace view {self.name('scd_dim_aircraft')} "
+            f"tblproperties ('moment' = '{moment}', 'open_versions' = {tables.sql_text(opened)}) as "
+            f"select {columns} from parquet.`{quoted[0]}` "
+            f"union all select {columns} from parquet.`{quoted[1]}` where run <= {number}"
         )
+        remove(self.spark, f"{home}/v-{number - 2}")
+
     def top_cost(self, k: int = 5, exclude: str | None = "economy") -> DataFrame:
         return gold.top_cost(self.flights(), k, exclude)
 

@@ -166,7 +166,7 @@ def _one_passenger(where: str) -> str:
     from ({_passengers(where)}) group by all"""
 
 
-def _scd2() -> str:
+def _scd2(prefix: str = "") -> str:
     columns = ["aircraft_id", "airport", *PROFILE_COLUMNS]
     data = ", ".join(columns)
     changed = " or ".join(f"o.{c} is distinct from n.{c}" for c in columns[1:])
@@ -175,7 +175,7 @@ def _scd2() -> str:
         moment = f"timestamp '{as_of}'"
         own = ", ".join(f"{alias}.{c}" for c in columns)
         return (
-            f"{own}, md5({alias}.aircraft_id || '|' || '{as_of}') as scd_id, "
+            f"{own}, md5({alias}.aircraft_id || '|' || epoch_us({moment})) as scd_id, "
             f"{moment} as updated_at, {moment} as valid_from, cast(null as timestamp) as valid_to"
         )
 
@@ -199,7 +199,10 @@ def _scd2() -> str:
         )""")
     last = len(SNAPSHOTS) - 1
     return _flight(
-        f"select {data}, scd_id, updated_at, valid_from, valid_to from t{last}", *ctes
+        f"select {data}, "
+        + ", ".join(f"{c} as {prefix}{c}" for c in ("scd_id", "updated_at", "valid_from", "valid_to"))
+        + f" from t{last}",
+        *ctes,
     )
 
 
@@ -224,7 +227,7 @@ def _nth(partition: str, n: int) -> str:
 def _first_versions(prefix: str, as_of: str, key: str) -> str:
     moment = f"timestamp '{as_of}'"
     return (
-        f"md5(cast({key} as varchar) || '|' || '{as_of}') as {prefix}scd_id, "
+        f"md5(cast({key} as varchar) || '|' || epoch_us({moment})) as {prefix}scd_id, "
         f"{moment} as {prefix}updated_at, {moment} as {prefix}valid_from, "
         f"cast(null as timestamp) as {prefix}valid_to"
     )
@@ -281,6 +284,12 @@ ORACLES: dict[str, str] = {
         _AIRPORTS,
         _ROLES,
     ),
+    "airport_roles_kept": _flight(
+        "select flight_id, ticket_no, aircraft_id, origin_airport, destination_airport, "
+        "origin_airport_id, destination_airport_id from roles",
+        _AIRPORTS,
+        _ROLES,
+    ),
     "dim_aircraft_static": _flight(_STATIC, _AIRPORTS, _ROLES),
     "home_airport": _flight(_home()),
     "home_airport_union": _flight(_home()),
@@ -336,16 +345,17 @@ ORACLES: dict[str, str] = {
         f"select * from (select {_LOST_CLASS} from raw) where "
         + " or ".join(f"{c} is null" for c in FLIGHT_RAW_COLUMNS)
     ),
-    "file_stats": "select 'lineitem.parquet' as file_path, count(*) as num_records, "
+    # Files are not seen in SQL, so the statistics are compared summed up over all files.
+    "file_stats": "select count(*) as num_records, "
     + ", ".join(
         f"min({c}) as min_{c}, max({c}) as max_{c}, count(*) - count({c}) as nulls_{c}"
         for c in ("l_orderkey", "l_quantity", "l_returnflag", "l_shipdate")
     )
     + " from lineitem",
     "log_file_stats": """
-        select 'lineitem.parquet' as path, count(*) as num_records,
+        select count(*) as num_records,
           min(l_orderkey) as min_orderkey, max(l_orderkey) as max_orderkey,
-          count(*) - count(l_orderkey) as null_orderkey
+          count(*) - count(l_orderkey) as null_orderkey, true as fourth_line_is_first_file
         from lineitem""",
     "json_props": """
         select event_id, cast(json_extract(props, '$.k') as int) as k from events""",
@@ -362,6 +372,7 @@ ORACLES: dict[str, str] = {
     "lake_top_cost": _flight(_TOP_COST),
     "lake_aircraft": _flight(_STATIC, _AIRPORTS, _ROLES),
     "lake_passengers": _flight(_passengers()),
+    "lake_snapshot_changes": _scd2("dbt_"),
     "lake_snapshot": _flight(
         f"select *, {_first_versions('dbt_', SNAPSHOTS[0][0], 'aircraft_id')} from ({_profile()})"
     ),

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from lakeloom.plans.flights import flight, flight_raw, table
 from lakeloom.plans.medallion import SNAPSHOT_CHECKS, SNAPSHOT_KEY, SNAPSHOT_SCALE, Lake
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, tables
-from lakeloom.sources.staging import fresh_path, stage
+from lakeloom.sources.staging import fresh_path, scope, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -114,19 +115,26 @@ def dim_airport_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dims.dim_airport(flight(spark, sf_dir), how="union")
 
 
+_ROLE_COLUMNS = ["flight_id", "ticket_no", "aircraft_id", "origin_airport", "destination_airport"]
+
+
 def airport_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flights = _stored(
-        spark,
-        sf_dir,
-        "flight_id",
-        "ticket_no",
-        "aircraft_id",
-        "origin_airport",
-        "destination_airport",
-    )
+    flights = _stored(spark, sf_dir, *_ROLE_COLUMNS)
     return dims.with_airport_ids(flights, stage(dims.dim_airport(flights), "airport"))
 
 
+def airport_roles_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both roles of a dimension that is kept in memory before its first use and let go after."""
+    flights = _stored(spark, sf_dir, *_ROLE_COLUMNS)
+    airports = layout.keep(dims.dim_airport(flights))
+    try:
+        airports.count()
+        joined = dims.with_airport_ids(flights, airports)
+        return stage(joined.select(*_ROLE_COLUMNS, "origin_airport_id", "destination_airport_id"), "roles")
+    finally:
+        airports.unpersist(blocking=True)
+
+
 def dim_aircraft_static(spark: SparkSession, sf_dir: str) -> DataFrame:
     flights = _stored(
         spark,
@@ -203,7 +211,9 @@ def passenger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per passenger with the greatest class; later flights replace earlier ones."""
 
     def one_row(flights: DataFrame) -> DataFrame:
-        grouped = flights.groupBy(*dims.PASSENGER_KEY).agg(
+        # Distinct by hash first: the greatest text is found by sorting, then over few rows.
+        seen = flights.select(*dims.PASSENGER_KEY, "passenger_flight_class").distinct()
+        grouped = seen.groupBy(*dims.PASSENGER_KEY).agg(
             F.max("passenger_flight_class").alias("passenger_flight_class")
         )
         return grouped.select(
@@ -216,9 +226,8 @@ def passenger_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def aircraft_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three snapshots in a row; the table is written after each, as in separate runs."""
-    flights = _stored(
-        spark,
-        sf_dir,
+    path = fresh_path(spark, "flight")
+    columns = [
         "aircraft_id",
         "airplane_model",
         "origin_airport",
@@ -229,10 +238,17 @@ def aircraft_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fuel_consumed_litre",
         "avg_flight_speed_kmps",
         "engine_performance",
-    )
+    ]
+    # By month, so that a window of dates reads its months only.
+    month = F.trunc("travel_date", "month").alias("travel_month")
+    dated = flight(spark, sf_dir).select(*columns, month)
+    dated.repartition("travel_month").write.partitionBy("travel_month").parquet(path)
+    flights = spark.read.schema(dated.schema).parquet(path)
     state = None
     for as_of, window in SNAPSHOTS:
-        profile = dims.dim_aircraft_profile(flights.where(window), SNAPSHOT_SCALE, one_pass=False)
+        months = window.replace("travel_date >= ", "travel_month >= ").replace("travel_date < ", "travel_month < ")
+        taken = flights.where(window).where(months).drop("travel_month")
+        profile = dims.dim_aircraft_profile(taken, SNAPSHOT_SCALE, one_pass=False)
         state = scd2.apply_snapshot(state, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of)
         if as_of != SNAPSHOTS[-1][0]:
             state = stage(state, "snapshot")
@@ -275,7 +291,9 @@ def flight_classes_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct classes in SQL over a session view."""
     view = f"flight_{uuid.uuid4().hex}"
     tables.as_view(flight(spark, sf_dir), view)
-    return spark.sql(f"select distinct passenger_flight_class from {view}")
+    classes = spark.sql(f"select distinct passenger_flight_class from {view}")
+    spark.catalog.dropTempView(view)
+    return classes
 
 
 # -- windows -------------------------------------------------------------------------------------
@@ -316,16 +334,25 @@ def not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = quality.file_stats(
-        table(spark, sf_dir, "lineitem"),
-        ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"],
-    )
-    return stats.withColumn("file_path", F.regexp_extract("file_path", "[^/]*$", 0))
+    """Statistics of every file of line items, summed up over all files."""
+    cols = ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"]
+    stats = quality.file_stats(table(spark, sf_dir, "lineitem"), cols)
+    summed = [F.sum("num_records").alias("num_records")]
+    for c in cols:
+        summed += [
+            F.min(f"min_{c}").alias(f"min_{c}"),
+            F.max(f"max_{c}").alias(f"max_{c}"),
+            F.sum(f"nulls_{c}").alias(f"nulls_{c}"),
+        ]
+    return stats.agg(*summed)
 
 
 def log_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics kept as JSON text in a log of JSON lines: the fourth line is the first file."""
-    stats = quality.file_stats(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_quantity"])
+    """Statistics kept as JSON text in a log of JSON lines, of every file of the log.
+
+    The fourth line in order is the first file, since three lines of other kinds come before.
+    """
+    stats = quality.file_stats(table(spark, sf_dir, "lineitem"), ["l_orderkey"])
     added = stats.select(
         F.struct(
             F.regexp_extract("file_path", "[^/]*$", 0).alias("path"),
@@ -339,7 +366,6 @@ def log_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
             ).alias("stats"),
         ).alias("add")
     )
-    # Three lines of other kinds come first in such a log.
     other = spark.range(3).select(F.col("id").alias("line"))
     path = fresh_path(spark, "log")
     added.unionByName(other, allowMissingColumns=True).write.json(path)
@@ -348,14 +374,17 @@ def log_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "numRecords bigint, minValues struct<l_orderkey: bigint>, "
         "maxValues struct<l_orderkey: bigint>, nullCount struct<l_orderkey: bigint>"
     )
-    row = numbering.nth_row(ingest.read_json(spark, path), "add", 4)
-    parsed = row.withColumn("stats", structures.parse_json("add.stats", schema))
-    return parsed.select(
-        F.col("add.path").alias("path"),
-        F.col("stats.numRecords").alias("num_records"),
-        F.col("stats.minValues.l_orderkey").alias("min_orderkey"),
-        F.col("stats.maxValues.l_orderkey").alias("max_orderkey"),
-        F.col("stats.nullCount.l_orderkey").alias("null_orderkey"),
+    log = ingest.read_json(spark, path)
+    parsed = log.where("add is not null").select(
+        F.col("add.path").alias("path"), structures.parse_json("add.stats", schema).alias("stats")
+    )
+    fourth = numbering.nth_row(log, "add", 4).select(F.col("add.path").alias("fourth"))
+    return parsed.crossJoin(F.broadcast(fourth)).agg(
+        F.sum("stats.numRecords").alias("num_records"),
+        F.min("stats.minValues.l_orderkey").alias("min_orderkey"),
+        F.max("stats.maxValues.l_orderkey").alias("max_orderkey"),
+        F.sum("stats.nullCount.l_orderkey").alias("null_orderkey"),
+        (F.min("path") == F.min("fourth")).alias("fourth_line_is_first_file"),
     )
 
 
@@ -364,14 +393,6 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"))
 
 
-def file_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.file_inventory(spark, sf_dir, "*.parquet")
-
-
-def tree_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.tree_inventory(spark, sf_dir, "*.parquet")
-
-
 # -- sources and sinks ---------------------------------------------------------------------------
 
 
@@ -398,6 +419,13 @@ def path_scan_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_sql(spark, f"{sf_dir}/orders.parquet")
 
 
+def _dropped(spark: SparkSession, name: str) -> DataFrame:
+    """The rows of an external table, whose catalog entry goes."""
+    rows = tables.read(spark, name)
+    spark.sql(f"drop table {name}")
+    return rows
+
+
 def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writing an external table twice leaves one copy."""
     name = f"lakeloom_{uuid.uuid4().hex}"
@@ -405,7 +433,7 @@ def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     tables.write_overwrite(orders, name, path)
     tables.write_overwrite(orders, name, path)
-    return tables.read(spark, name)
+    return _dropped(spark, name)
 
 
 def table_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -415,7 +443,7 @@ def table_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables.swap(table(spark, sf_dir, "orders"), name, root)
     priced = tables.read(spark, name).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     tables.swap(priced, name, root)
-    return tables.read(spark, name)
+    return _dropped(spark, name)
 
 
 def append_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -448,42 +476,67 @@ def compacted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- the whole lake ------------------------------------------------------------------------------
 
 
-def _lake(spark: SparkSession, sf_dir: str) -> Lake:
-    """A new lake with every flight taken in from CSV as one batch."""
-    path = fresh_path(spark, "csv")
-    flight_raw(spark, sf_dir).write.csv(path)
-    lake = Lake(spark, fresh_path(spark, "lake"), f"lakeloom_{uuid.uuid4().hex}")
-    lake.create()
-    lake.ingest(path)
-    lake.refine("first")
-    return lake
+@contextmanager
+def _lake(spark: SparkSession, sf_dir: str) -> Iterator[Lake]:
+    """A new lake with every flight taken in from CSV as one batch; it is gone afterwards."""
+    with scope(spark):
+        path = fresh_path(spark, "csv")
+        flight_raw(spark, sf_dir).write.csv(path)
+        lake = Lake(spark, fresh_path(spark, "lake"), f"lakeloom_{uuid.uuid4().hex}")
+        lake.create()
+        try:
+            lake.ingest(path)
+            lake.refine("first")
+            yield lake
+        finally:
+            spark.sql(f"drop database if exists {lake.database} cascade")
+
+
+def _copied(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """A copy of rows that outlives the lake."""
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def lake_top_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_lake(spark, sf_dir).top_cost(5, LEFT_OUT))
+    kept = fresh_path(spark, "top-cost")
+    with _lake(spark, sf_dir) as lake:
+        return _copied(spark, _plain(lake.top_cost(5, LEFT_OUT)), kept)
 
 
 def lake_aircraft(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = _lake(spark, sf_dir)
-    lake.build_airports()
-    lake.build_aircraft()
-    return lake.table("dim_aircraft")
+    kept = fresh_path(spark, "aircraft")
+    with _lake(spark, sf_dir) as lake:
+        lake.build_airports()
+        lake.build_aircraft()
+        return _copied(spark, lake.table("dim_aircraft"), kept)
 
 
 def lake_passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second load finds nothing new."""
-    lake = _lake(spark, sf_dir)
-    for _ in range(2):
+    """The second load, of the one batch, finds nothing new."""
+    kept = fresh_path(spark, "passengers")
+    with _lake(spark, sf_dir) as lake:
         lake.load_passengers()
-    return lake.table("dim_passenger")
+        lake.load_passengers("first")
+        return _copied(spark, lake.table("dim_passenger"), kept)
 
 
 def lake_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second snapshot finds nothing changed."""
-    lake = _lake(spark, sf_dir)
-    for as_of, _ in SNAPSHOTS[:2]:
-        lake.snapshot_aircraft(as_of)
-    return _plain(lake.table("scd_dim_aircraft"))
+    kept = fresh_path(spark, "snapshot")
+    with _lake(spark, sf_dir) as lake:
+        for as_of, _ in SNAPSHOTS[:2]:
+            lake.snapshot_aircraft(as_of)
+        return _copied(spark, _plain(lake.table("scd_dim_aircraft")), kept)
+
+
+def lake_snapshot_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three snapshots of changing flights, published one after the other."""
+    kept = fresh_path(spark, "snapshot")
+    with _lake(spark, sf_dir) as lake:
+        for as_of, window in SNAPSHOTS:
+            lake.snapshot_aircraft(as_of, flights=lake.flights().where(window))
+        return _copied(spark, _plain(lake.table("scd_dim_aircraft")), kept)
 
 
 QUERIES: dict[str, Query] = {
@@ -498,6 +551,7 @@ QUERIES: dict[str, Query] = {
         dim_airport,
         dim_airport_union,
         airport_roles,
+        airport_roles_kept,
         dim_aircraft_static,
         home_airport,
         home_airport_union,
@@ -523,8 +577,6 @@ QUERIES: dict[str, Query] = {
         file_stats,
         log_file_stats,
         json_props,
-        file_inventory,
-        tree_inventory,
         csv_roundtrip,
         json_roundtrip,
         path_scan,
@@ -539,5 +591,6 @@ QUERIES: dict[str, Query] = {
         lake_aircraft,
         lake_passengers,
         lake_snapshot,
+        lake_snapshot_changes,
     )
 }

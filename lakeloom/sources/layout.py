@@ -5,22 +5,38 @@ from __future__ import annotations
 import math
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _MB = 1024 * 1024
 
-# More than this is no size but Spark's placeholder for an unknown one.
-_MOST_PARTITIONS = 10_000_000
+# At least this is no size but Spark's placeholder for an unknown one.
+_UNKNOWN = 1 << 60
+
+# Plan nodes whose output says nothing about the size of the result.
+_UNSIZED = {"Join", "Generate", "Aggregate", "Expand", "Window", "Intersect", "Except"}
+
+
+def _nodes(plan) -> list:
+    children = plan.children()
+    return [plan, *[n for i in range(children.size()) for n in _nodes(children.apply(i))]]
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate of the optimized plan; no job runs.
+    """Bytes of what ``df`` scans, by the file listing or the catalog; no job runs.
 
-    Exact for files read by path. Far too large above joins, where Spark multiplies the sides, and
-    for a partitioned catalog table without statistics; see :func:`input_bytes` for that.
+    For plans of scans, filters, projections and unions. Over a join, explode or aggregate the
+    input says little about the result and Spark's own estimate multiplies the sides, so that is an
+    error, as is a scan of unknown size, such as a partitioned catalog table without statistics.
     """
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    nodes = _nodes(df._jdf.queryExecution().optimizedPlan())
+    unsized = sorted({n.nodeName() for n in nodes} & _UNSIZED)
+    if unsized:
+        raise ValueError(f"no size can be told over {unsized}: pass size_bytes")
+    sizes = [int(n.stats().sizeInBytes()) for n in nodes if not n.children().size()]
+    if any(size >= _UNKNOWN for size in sizes):
+        raise ValueError("a scanned table has no known size: pass size_bytes")
+    return sum(sizes)
 
 
 def estimated_mb(df: DataFrame) -> float:
@@ -28,18 +44,14 @@ def estimated_mb(df: DataFrame) -> float:
     return estimated_bytes(df) / _MB
 
 
-def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files behind a table scan, by a job over file metadata without any column."""
-    files = df.select("_metadata.file_path", "_metadata.file_size").distinct()
-    return files.agg(F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes")).first()["bytes"]
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the data files under a folder, by its listing; no job runs."""
+    return estimated_bytes(spark.read.schema("unread int").parquet(path))
 
 
 def partitions_for(size_bytes: int, target_mb: int = 200, floor: int = 3) -> int:
     """Whole partitions of about ``target_mb`` that hold ``size_bytes``, at least ``floor``."""
-    count = max(floor, math.ceil(math.ceil(size_bytes / _MB) / target_mb))
-    if count > _MOST_PARTITIONS:
-        raise ValueError(f"no usable size estimate ({size_bytes} bytes), pass size_bytes")
-    return count
+    return max(floor, math.ceil(math.ceil(size_bytes / _MB) / target_mb))
 
 
 def sized_repartition(
@@ -51,7 +63,7 @@ def sized_repartition(
 ) -> DataFrame:
     """Partitions of about ``target_mb``.
 
-    Pass ``size_bytes`` when ``df`` has joins, where the plan's own estimate is of no use. A scan
+    ``size_bytes`` is needed where ``df`` has joins, see :func:`estimated_bytes`. A scan
     of splittable files already has many more, smaller partitions; ``shuffle=False`` joins those
     in place instead of moving every row.
     """
@@ -78,7 +90,11 @@ def broadcast_within(df: DataFrame, limit_mb: int = 32) -> DataFrame:
     Beyond it the join is left to Spark: adaptive execution still broadcasts a side that turns
     out small and splits skewed partitions of one that does not.
     """
-    return F.broadcast(df) if estimated_bytes(df) <= limit_mb * _MB else df
+    try:
+        size = estimated_bytes(df)
+    except ValueError:
+        return df
+    return F.broadcast(df) if size <= limit_mb * _MB else df
 
 
 def keep(df: DataFrame) -> DataFrame:

@@ -4,9 +4,37 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Paths made within each open scope, the innermost last.
+_scopes: list[list[str]] = []
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system and path object of ``path``; for renaming and removing on the driver."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder with all it holds, if it is there."""
+    files, where = file_system(spark, path)
+    files.delete(where, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Remove what was staged within it at its end. Results must be written by then."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            remove(spark, path)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
@@ -24,8 +52,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark).rstrip('/')}/lakeloom/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; removed at the end of a scope."""
+    path = f"{shared_folder(spark).rstrip('/')}/lakeloom/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

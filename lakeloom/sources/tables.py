@@ -11,6 +11,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeloom.sources.staging import file_system, remove, stage
+
 FORMAT = "parquet"
 
 
@@ -26,7 +28,8 @@ def read(spark: SparkSession, table: str, fmt: str = FORMAT) -> DataFrame:
 
 def read_sql(spark: SparkSession, path: str, fmt: str = FORMAT) -> DataFrame:
     """Scan a path table through SQL."""
-    return spark.sql(f"select * from {fmt}.`{path}`")
+    quoted = path.replace("`", "``")
+    return spark.sql(f"select * from {fmt}.`{quoted}`")
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
@@ -35,6 +38,28 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     return df
 
 
+def sql_text(value: str) -> str:
+    """``value`` as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _replace_folder(spark: SparkSession, fresh: str, folder: str) -> None:
+    """Put ``fresh`` in the place of ``folder``, which is removed only once that has succeeded."""
+    files, new = file_system(spark, fresh)
+    _, present = file_system(spark, folder)
+    _, aside = file_system(spark, f"{folder.rstrip('/')}__old-{uuid.uuid4().hex}")
+    had = files.exists(present)
+    if had and not files.rename(present, aside):
+        raise OSError(f"cannot move {folder}")
+    files.mkdirs(present.getParent())
+    if not files.rename(new, present):
+        if had:
+            files.rename(aside, present)
+        raise OSError(f"cannot move {fresh} to {folder}")
+    if had:
+        files.delete(aside, True)
+
+
 def write_overwrite(
     df: DataFrame,
     table: str,
@@ -44,17 +69,43 @@ def write_overwrite(
 ) -> None:
     """Replace a table's content. ``path`` makes a named table external.
 
-    ``df`` must not read the table it replaces; see :func:`swap` for that.
+    The rows are first written beside the table and then put in its place by renaming, so a failed
+    write leaves the old content. Renaming folders is not atomic in every store: a reader in that
+    moment may find no table, and a driver lost in it leaves the old content under a name with
+    ``__old``. ``df`` may read the table it replaces.
     """
-    writer = df.write.format(fmt).mode("overwrite")
+    spark = df.sparkSession
+    writer = df.write.format(fmt)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if _is_path(table):
-        writer.save(table)
-    elif path:
-        writer.option("path", path).saveAsTable(table)
-    else:
-        writer.saveAsTable(table)
+    folder = table if _is_path(table) else path
+    mark = uuid.uuid4().hex
+    if folder is None:
+        fresh, aside = f"{table}__new_{mark}", f"{table}__old_{mark}"
+        try:
+            writer.saveAsTable(fresh)
+            had = spark.catalog.tableExists(table)
+            if had:
+                spark.sql(f"alter table {table} rename to {aside}")
+            spark.sql(f"alter table {fresh} rename to {table}")
+            if had:
+                spark.sql(f"drop table {aside}")
+        finally:
+            spark.sql(f"drop table if exists {fresh}")
+        return
+    fresh = f"{folder.rstrip('/')}__new-{mark}"
+    try:
+        writer.save(fresh)
+        _replace_folder(spark, fresh, folder)
+    finally:
+        remove(spark, fresh)
+    if not _is_path(table):
+        spark.sql(f"drop table if exists {table}")
+        spark.sql(f"create table {table} using {fmt} location {sql_text(folder)}")
+        if partition_by:
+            spark.sql(f"msck repair table {table}")
+        spark.catalog.refreshTable(table)
+    spark.catalog.refreshByPath(folder)
 
 
 def write_append(
@@ -67,7 +118,8 @@ def write_append(
     """Append rows.
 
     Without ``batch_id`` every call adds its rows again. With it the rows go to the partition
-    ``batch_id=<value>``, and a second run of the same batch replaces that partition.
+    ``batch_id=<value>``, and a second run of the same batch replaces that partition, also by no
+    rows at all.
     """
     if batch_id is None:
         writer = df.write.format(fmt).mode("append")
@@ -77,34 +129,50 @@ def write_append(
             (writer.option("path", path) if path else writer).saveAsTable(table)
         return
 
-    batch = df.withColumn("batch_id", F.lit(batch_id))
-    dynamic = batch.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    if _is_path(table):
-        dynamic.partitionBy("batch_id").save(table)
-    elif df.sparkSession.catalog.tableExists(table):
-        # insertInto goes by position and takes the partition column last.
-        order = df.sparkSession.table(table).columns
-        batch.select(*order).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).insertInto(table)
+    spark = df.sparkSession
+    if not _is_path(table) and not spark.catalog.tableExists(table):
+        first = df.withColumn("batch_id", F.lit(batch_id)).write.format(fmt).partitionBy("batch_id")
+        (first.option("path", path) if path else first).saveAsTable(table)
+    elif _is_path(table):
+        name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
+        fresh = f"{table.rstrip('/')}__new-{uuid.uuid4().hex}"
+        try:
+            df.write.format(fmt).save(fresh)
+            _replace_folder(spark, fresh, f"{table.rstrip('/')}/batch_id={name}")
+        finally:
+            remove(spark, fresh)
     else:
-        dynamic = dynamic.partitionBy("batch_id")
-        (dynamic.option("path", path) if path else dynamic).saveAsTable(table)
-
-
-def swap(df: DataFrame, table: str, root: str, fmt: str = FORMAT) -> str:
+        # Written first, so that a failure in computing the rows leaves the batch as it was.
+        rows = stage(df, "batch")
+        view = f"batch_{uuid.uuid4().hex}"
+        order = ", ".join(f"`{c}`" for c in spark.table(table).columns if c != "batch_id")
+        rows.createOrReplaceTempView(view)
+        try:
+            spark.sql(
+                f"insert overwrite table {table} partition (batch_id = {sql_text(batch_id)}) select {order} from {view}"
+            )
+        finally:
+            spark.catalog.dropTempView(view)
+
+
+def swap(df: DataFrame, table: str, root: str, fmt: str = FORMAT, keep: int = 1) -> str:
     """Replace a named table by a result that may read its present content.
 
     The rows are written to a fresh folder under ``root`` and the catalog entry is then pointed
     at it, so readers see the old or the new content and a failed write changes nothing. Returns
-    the new folder. Older folders stay until they are removed by hand.
+    the new folder. The last ``keep`` folders before it stay, for readers that still use them.
     """
     spark = df.sparkSession
     location = f"{root.rstrip('/')}/v-{uuid.uuid4().hex}"
     df.write.format(fmt).save(location)
     if spark.catalog.tableExists(table):
-        spark.sql(f"alter table {table} set location '{location}'")
+        spark.sql(f"alter table {table} set location {sql_text(location)}")
         spark.catalog.refreshTable(table)
     else:
         spark.catalog.createTable(table, path=location, source=fmt, schema=df.schema)
+    files, where = file_system(spark, root)
+    older = [f for f in files.listStatus(where) if f.getPath().getName().startswith("v-")]
+    older.sort(key=lambda f: (f.getPath().getName() == location.rsplit("/", 1)[1], f.getModificationTime()))
+    for folder in older[: max(0, len(older) - 1 - keep)]:
+        files.delete(folder.getPath(), True)
     return location

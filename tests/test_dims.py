@@ -5,6 +5,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -184,3 +185,18 @@ def test_top_cost_decides_ties_by_key(spark):
     for order in (data, data[::-1]):
         top = gold.top_cost(flights(spark, *order), 5).collect()
         assert [r.aircraft_id for r in top] == ["0", "1", "2", "3", "4"]
+
+
+def test_exact_mean_leaves_nothing_out(spark):
+    from lakeloom.functions.structures import exact_mean
+
+    def mean(*values):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return df.agg(exact_mean("v", 10).alias("ours"), F.avg("v").alias("avg")).first()
+
+    nan, inf = float("nan"), float("inf")
+    for values in ((nan, 2.0), (inf, 1.0), (1e20, 1.0), (-1e25,), (1e14, 1e14)):
+        found = mean(*values)
+        assert str(found.ours) == str(found.avg)
+    assert mean(3e-7, 5e-7).ours == pytest.approx(4e-7, rel=1e-3)
+    assert mean(None).ours is None

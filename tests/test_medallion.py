@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
 
 import pytest
 from conftest import rows
@@ -57,8 +58,12 @@ def test_a_lake_from_raw_files_to_gold(spark, tmp_path, lake):
     lake.load_passengers()
     assert lake.table("dim_passenger").count() == 3
 
-    for _ in range(2):
-        lake.snapshot_aircraft("2020-01-03 00:00:00")
+    for repeat in range(2):
+        if repeat:
+            with pytest.raises(ValueError, match="later"):
+                lake.snapshot_aircraft("2020-01-03 00:00:00")
+        else:
+            lake.snapshot_aircraft("2020-01-03 00:00:00")
         versions = lake.table("scd_dim_aircraft")
         assert versions.columns[-4:] == [
             "dbt_scd_id",
@@ -96,3 +101,93 @@ def test_the_job(spark, tmp_path, monkeypatch):
     medallion.main()
     assert spark.table("job.flight").count() == 2
     assert spark.table("job.scd_dim_aircraft").count() == 2
+
+
+def profiles(spark, *rows):
+    schema = ("aircraft_id string, airplane_model string, origin_airport string, destination_airport string, "
+              "flight_cost decimal(10,0), distance int, fuel_consumed_litre float, avg_flight_speed_kmps double, "
+              "engine_performance int")
+    return spark.createDataFrame([(a, "M", "AAA", "BBB", Decimal(5), d, 1.0, 2.0, 3) for a, d in rows], schema)
+
+
+def history(lake):
+    rows = lake.table("scd_dim_aircraft").collect()
+    return {(r.aircraft_id, r.total_distance, str(r.dbt_valid_from), r.dbt_valid_to and str(r.dbt_valid_to)) for r in rows}
+
+
+def test_a_moment_is_taken_once_and_history_stays(spark, lake):
+    lake.snapshot_aircraft("2020-01-01 00:00:00", flights=profiles(spark, ("A1", 1), ("A2", 1)))
+    lake.snapshot_aircraft("2020-01-02 00:00:00", flights=profiles(spark, ("A1", 2), ("A2", 1)))
+    before = history(lake)
+    for moment in ("2020-01-02 00:00:00", "2019-01-01 00:00:00", "2020-01-01 12:00:00"):
+        with pytest.raises(ValueError, match="later"):
+            lake.snapshot_aircraft(moment, flights=profiles(spark, ("A1", 2), ("A2", 9)))
+    assert history(lake) == before
+    zone = dt.timezone(dt.timedelta(hours=5))
+    lake.snapshot_aircraft(dt.datetime(2020, 1, 3, 5, 0, 0, 123456, zone), flights=profiles(spark, ("A1", 2), ("A2", 9)))
+    assert ("A2", 9, "2020-01-03 00:00:00.123456", None) in history(lake)
+    assert len({r.dbt_scd_id for r in lake.table("scd_dim_aircraft").collect()}) == 4
+
+
+@pytest.mark.parametrize("step", [1, 2, 3])
+def test_a_snapshot_that_breaks_off_shows_nothing(spark, lake, monkeypatch, step):
+    """The run breaks off before its closed versions, its open ones or the view are written."""
+    from pyspark.sql import DataFrameWriter, SparkSession
+
+    lake.snapshot_aircraft("2020-01-01 00:00:00", flights=profiles(spark, ("A1", 1), ("A2", 1)))
+    lake.snapshot_aircraft("2020-01-02 00:00:00", flights=profiles(spark, ("A1", 2), ("A2", 1)))
+    before = history(lake)
+    changed = profiles(spark, ("A1", 2), ("A2", 5))
+
+    with monkeypatch.context() as patch:
+        parquet, sql = DataFrameWriter.parquet, SparkSession.sql
+
+        def breaking(self, path, *args, **kwargs):
+            if (step == 1 and "/run=" in path) or (step == 2 and "/v-" in path):
+                raise RuntimeError("broke off")
+            return parquet(self, path, *args, **kwargs)
+
+        def silent(self, text, *args, **kwargs):
+            if step == 3 and "create or replace view" in text:
+                raise RuntimeError("broke off")
+            return sql(self, text, *args, **kwargs)
+
+        patch.setattr(DataFrameWriter, "parquet", breaking)
+        patch.setattr(SparkSession, "sql", silent)
+        with pytest.raises(RuntimeError, match="broke off"):
+            lake.snapshot_aircraft("2020-01-03 00:00:00", flights=changed)
+    assert history(lake) == before
+    # The next run may take another moment; nothing of the broken one is seen.
+    lake.snapshot_aircraft("2020-01-05 00:00:00", flights=profiles(spark, ("A1", 2), ("A2", 7)))
+    after = history(lake)
+    assert {h for h in before if h[3]} <= after
+    assert ("A2", 1, "2020-01-01 00:00:00", "2020-01-05 00:00:00") in after
+    assert ("A2", 7, "2020-01-05 00:00:00", None) in after
+    assert len(after) == 4
+
+
+def test_ingest_deals_out_what_cannot_be_split(spark, tmp_path, lake, monkeypatch):
+    import gzip
+
+    from lakeloom.sources import layout
+
+    path = tmp_path / "one.csv.gz"
+    line = ",".join(FLIGHT[name] for name in FLIGHT_RAW_COLUMNS)
+    path.write_bytes(gzip.compress(("\n".join([line] * 100) + "\n").encode()))
+    monkeypatch.setattr(layout, "estimated_bytes", lambda df: 2000 << 20)
+    lake.ingest(str(path))
+    raw = lake.source("raw_flight")
+    assert raw.count() == 100
+    assert len(raw.inputFiles()) == 10
+
+
+def test_passengers_of_one_batch_read_its_partition(spark, tmp_path, lake):
+    lake.ingest(write(tmp_path / "one.csv", FLIGHT))
+    lake.refine("one")
+    flights = lake.source("stage_flight").where("batch_id = 'one'")
+    plan = flights._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(batch_id" in plan
+    lake.load_passengers("other")
+    assert lake.table("dim_passenger").count() == 0
+    lake.load_passengers("one")
+    assert lake.table("dim_passenger").count() == 1

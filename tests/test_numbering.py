@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 from pyspark.sql import Row, Window
 from pyspark.sql import functions as F
 
@@ -68,3 +68,28 @@ def test_deep_nth_row_equals_a_window(spark):
     assert numbering.nth_row(df, "v", 5000).first()["v"] == sorted(
         r.v for r in df.collect()
     )[4999]
+
+
+@pytest.mark.parametrize("n", [999, 1000, 1001])
+@pytest.mark.parametrize("threshold", ["1000", "100", "-1"])
+@pytest.mark.parametrize("groups", [None, ["g"]])
+def test_ties_are_settled_alike_for_any_n(spark, n, threshold, groups):
+    rows_ = spark.range(3000).select(F.lit(1).alias("tied"), (5000 - F.col("id")).alias("x"), F.lit(7).alias("g"))
+    name = "spark.sql.optimizer.windowGroupLimitThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, threshold)
+    try:
+        for df in (rows_, rows_.repartition(3)):
+            found = numbering.nth_row(df, "tied", n, groups)
+            plan = plan_of(found)
+            assert [r.x for r in found.collect()] == [2000 + n]
+            if groups is None:
+                assert "Exchange SinglePartition" not in plan or "TakeOrderedAndProject" in plan or n > 1000
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_a_column_without_an_order_does_not_matter(spark):
+    df = spark.range(2000).select("id", F.parse_json(F.lit("{}")).alias("v"), F.create_map(F.lit(1), F.lit(2)).alias("m"))
+    for n in (5, 1001):
+        assert numbering.nth_row(df, "id", n).first()["id"] == n - 1

@@ -6,6 +6,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from check import compare
+from lakeloom.plans.oracles import ORACLES
+from lakeloom.plans.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -16,12 +18,26 @@ def test_entry(spark):
     assert entry(spark).count() == 200
 
 
-def test_only_file_listings_have_no_sql():
-    assert set(queries()) - set(oracle_sql()) == {"file_inventory", "tree_inventory"}
-    assert set(oracle_sql()) <= set(queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+def test_queries_leave_nothing_in_the_catalog(spark):
+    def catalog():
+        return (
+            [d.name for d in spark.catalog.listDatabases()],
+            sorted(t.name for t in spark.catalog.listTables()),
+            spark.sparkContext._jsc.sc().getPersistentRDDs().size(),
+        )
+
+    before = catalog()
+    for name in ("catalog_overwrite", "table_swap", "flight_classes_view", "airport_roles_kept", "lake_passengers"):
+        assert QUERIES[name](spark, SMALL).count() > 0
+    assert catalog() == before
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, name):
     verdict = compare(spark, SMALL, [name])[name]
     assert verdict.split()[0] in ("ok", "rows"), verdict

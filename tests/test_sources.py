@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import os
 import pytest
+from pyspark.sql import functions as F
 from conftest import rows
 
 from lakeloom.schemas import FLIGHT_RAW
@@ -82,15 +84,13 @@ def test_partition_counts():
     assert layout.partitions_for(800 * MB) == 4
     assert layout.partitions_for(800 * MB + 1) == 5
     assert layout.partitions_for(100 * 1024 * 1024 * MB) == 524288
-    with pytest.raises(ValueError, match="size_bytes"):
-        layout.partitions_for(2**63 - 1)
 
 
 def test_layout_of_a_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(0, 1000, 1, 8).write.parquet(path)
     df = spark.read.parquet(path)
-    size = layout.input_bytes(df)
+    size = layout.stored_bytes(spark, path)
     assert layout.estimated_bytes(df) == size > 0
     assert layout.estimated_mb(df) == size / MB
     assert layout.sized_repartition(df).rdd.getNumPartitions() == 3
@@ -102,10 +102,66 @@ def test_layout_of_a_scan(spark, tmp_path):
     assert rows(layout.sized_repartition(df)) == rows(df)
 
 
-def test_size_of_a_partitioned_catalog_table(spark):
-    tables.write_append(spark.range(10), "sized", batch_id="1")
-    df = spark.table("sized")
-    assert 0 < layout.input_bytes(df) == layout.input_bytes(df.drop("batch_id")) < MB
+def test_sizes_that_cannot_be_told(spark, tmp_path):
+    path = str(tmp_path / "sized")
+    tables.write_append(spark.range(10), "sized", path, batch_id="1")
+    with pytest.raises(ValueError, match="size_bytes"):
+        layout.estimated_bytes(spark.table("sized"))
+    assert 0 < layout.stored_bytes(spark, path) < MB
+    stored = spark.read.parquet(path)
+    for unsized in (stored.join(stored, "id"), stored.groupBy("id").count()):
+        with pytest.raises(ValueError, match="size_bytes"):
+            layout.sized_repartition(unsized)
+        assert layout.sized_repartition(unsized, size_bytes=1).rdd.getNumPartitions() == 3
+
+
+def failing(df):
+    """``df`` whose job fails in its last row."""
+    last = F.when(F.col("id") == 9, F.raise_error(F.lit("midway")).cast("long")).otherwise(F.col("id"))
+    return df.withColumn("id", last)
+
+
+@pytest.mark.parametrize("kind", ["path", "managed", "external"])
+def test_a_failed_overwrite_leaves_the_old_rows(spark, tmp_path, kind):
+    path = str(tmp_path / "t")
+    name, outside = (path, None) if kind == "path" else (f"kept_{kind}", path if kind == "external" else None)
+    tables.write_overwrite(spark.range(5), name, outside)
+    with pytest.raises(Exception, match="midway"):
+        tables.write_overwrite(failing(spark.range(10)), name, outside)
+    assert rows(tables.read(spark, name)) == [(n,) for n in range(5)]
+    tables.write_overwrite(tables.read(spark, name).where("id > 2"), name, outside)
+    assert rows(tables.read(spark, name)) == [(3,), (4,)]
+    assert [f.name for f in tmp_path.iterdir()] == ([] if kind == "managed" else ["t"])
+    assert [t.name for t in spark.catalog.listTables() if "__" in t.name] == []
+
+
+@pytest.mark.parametrize("named", [True, False])
+def test_a_batch_can_become_empty(spark, tmp_path, named):
+    path = str(tmp_path / "it's")
+    name = "emptied" if named else path
+    tables.write_append(spark.range(5), name, path, batch_id="2020-01-01 00:00:00")
+    tables.write_append(spark.range(2), name, path, batch_id="b")
+    with pytest.raises(Exception, match="midway"):
+        tables.write_append(failing(spark.range(10)), name, path, batch_id="b")
+    assert tables.read(spark, name).count() == 7
+    tables.write_append(spark.range(0), name, path, batch_id="2020-01-01 00:00:00")
+    assert rows(tables.read(spark, name).select("id")) == [(0,), (1,)]
+
+
+def test_swap_keeps_a_stated_number_of_folders(spark, tmp_path):
+    root = str(tmp_path / "it's")
+    for n in range(4):
+        tables.swap(spark.range(n + 1), "swapped_often", root, keep=1)
+    assert spark.table("swapped_often").count() == 4
+    assert len([f for f in (tmp_path / "it's").iterdir() if f.name.startswith("v-")]) == 2
+
+
+def test_a_scope_removes_what_it_staged(spark):
+    with staging.scope(spark):
+        inside = staging.stage(spark.range(3), "scoped")
+        folder = inside.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert os.path.isdir(folder)
+    assert not os.path.exists(folder)
 
 
 def test_broadcast_only_within_the_limit(spark, tmp_path):

@@ -22,7 +22,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 
 _CHUNK = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _WORD = re.compile(f"[^{WHITE}]+")
-_RARE_WHITE = re.compile("[\x85\xa0  -     　]")
+_RARE_WHITE = [c for c in map(chr, range(0x85, 0x3001)) if re.match(f"[{WHITE}]", c)]
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
 #: Entries of a worker's tables; about 200 bytes each.
@@ -35,14 +35,15 @@ ANSWER_CHARS = 4_000_000
 def chunks(text: str) -> list[str]:
     """``text`` cut ahead of each run of white space that follows another character."""
     plain = not any(c in text for c in "\0\t\r\x0b\x0c") and not any(d in text for d in _DOUBLE)
-    if plain and (text.isascii() or not _RARE_WHITE.search(text)):
+    if plain and (text.isascii() or not any(c in text for c in _RARE_WHITE)):
         return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
     return _CHUNK.findall(text)
 
 
 def words(text: str) -> list[str]:
     """``text`` without its white space, for tokenizers that drop it."""
-    return text.split() if text.isascii() and not re.search("[\x1c-\x1f]", text) else _WORD.findall(text)
+    # Python splits at these separators as well, which are not white space here.
+    return _WORD.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
 
 
 class Kept(dict):
@@ -150,7 +151,7 @@ def library_encoder(path: str, kind: str = "I") -> PieceEncoder:
         lowered = chunk.lower()
         return [lowered] if lowered.isalpha() else pattern.findall(lowered)
 
-    return PieceEncoder(words, split_lower, ids, whole)
+    return PieceEncoder(words, split_lower, ids, whole, (600_000, PIECES_KEPT))
 
 
 def answers(batches: Iterator[pa.RecordBatch], chars: int = ANSWER_CHARS) -> Iterator[pa.RecordBatch]:

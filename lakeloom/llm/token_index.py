@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.pieces import encode, library_encoder
+from lakeloom.llm.pieces import encoding, library_encoder
 
 #: Ids after which a block ends (a longer document is a block of its own).
 BLOCK_IDS = 256 * 1024
@@ -128,12 +128,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     Ids take two bytes, so the vocabulary must be below 65,536. NULL texts are empty. Documents
     are in ascending ``doc_id`` order over the files; those with a NULL ``doc_id`` come first and
     are not in the index, and rows with one ``doc_id`` stand together, the first being the one that
-    a lookup finds. The one shuffle moves ids and ranges over key and content, so that a repeated
-    key is split over tasks; a task holds one block at a time. An empty table gives no blocks.
+    a lookup finds. The one shuffle ranges over key and content, so that a repeated key is split over
+    tasks; a task holds one block at a time. An empty table gives no blocks.
     """
     end = end_id.to_bytes(2, "little")
-    encoded = encode(docs, lambda: library_encoder(tokenizer, "H"), end)
-
+    # Ranges are sampled, which runs what is below them: texts are dealt first and encoded after.
+    ranged = (
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+        .repartitionByRange("doc_id", "tie")
+        .sortWithinPartitions("doc_id", "tie", "text")
+    )
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, first, held = TaskContext.get().partitionId(), 0, 0
         keys: list = []
@@ -158,15 +162,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
         if texts:
             yield block()
 
-    tie = F.xxhash64("ids")
-    (
-        encoded.withColumn("tie", tie)
-        .repartitionByRange("doc_id", "tie")
-        .sortWithinPartitions("doc_id", "tie", "ids")
-        .select(F.col("doc_id").cast("long").alias("doc_id"), "ids")
-        .mapInArrow(run, BLOCK_SCHEMA)
-        .write.parquet(path)
-    )
+    first = encoding(lambda: library_encoder(tokenizer, "H"), end)
+    blocks = ranged.select("doc_id", "text").mapInArrow(lambda batches: run(first(batches)), BLOCK_SCHEMA)
+    blocks.write.parquet(path)
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

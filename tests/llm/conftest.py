@@ -1,0 +1,36 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
+from llm_rows import ODD  # noqa: E402
+
+from lakeloom.llm.workers import importable
+
+# Extra columns whose names the operators use themselves.
+CLASHING = "ids string, size string, bucket string, score string, component string, record string, place string"
+SCHEMA = f"doc_id long, text string, lang string, source string, {CLASHING}"
+
+
+@pytest.fixture(autouse=True)
+def workers(spark):
+    importable(spark)
+
+
+@pytest.fixture
+def documents(spark):
+    """Makes documents of (doc_id, text) rows, with extra columns."""
+
+    def make(*rows):
+        return spark.createDataFrame([(i, t, "en", None, *"abcdefg") for i, t in rows], SCHEMA)
+
+    return make
+
+
+@pytest.fixture
+def odd(documents):
+    return documents(*ODD)

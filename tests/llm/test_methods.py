@@ -14,6 +14,7 @@ import pytest
 import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from llm_rows import documents, workers  # noqa: F401
 from tokenizers import Tokenizer
 
 from check import compare

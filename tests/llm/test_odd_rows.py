@@ -6,7 +6,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
-from llm_rows import ODD
+from llm_rows import ODD, documents, odd, workers  # noqa: F401
 
 from lakeloom.llm import bpe, jaccard, language, licenses, multi_index, neighbours, packing, repetition, shards, stages, token_index
 from lakeloom.sources.staging import fresh_path

@@ -7,12 +7,12 @@ much further from it than the texts it was made of is rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +21,7 @@ from lakeloom.llm.pieces import answers
 
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 
 
 @dataclass(frozen=True)
@@ -30,7 +30,7 @@ class LanguageFit:
     by the languages; everything else is counted over all rows. A text is rejected if its cosine is
     below ``slack`` times that of the ``outliers`` share of its centroid's own texts."""
 
-    sample: int = 4000
+    sample: int = 2000
     centroids: int = 4
     bits: int = 12
     outliers: float = 0.01

@@ -27,7 +27,7 @@ class NeighbourFit:
     ``nearest`` of them vote, with the similarity to the power ``sharpness`` as weight; ``shapes``
     is the weight of the shape rates against the n-grams."""
 
-    sample: int = 4000
+    sample: int = 2000
     nearest: int = 15
     sharpness: int = 4
     dimensions: int = 64

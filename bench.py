@@ -1,13 +1,15 @@
 """Time the headline queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the folder of the tables, ``BENCH_CPUS`` the local cores. Every query is
-planned and run to its last row, without collecting it, ``BENCH_RUNS`` times; the best run counts.
+planned and run to its last row, without collecting it, ``BENCH_RUNS`` times; the best run counts and
+the median is given beside it.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import statistics
 import sys
 import time
 
@@ -34,12 +36,15 @@ HEADLINE = [
     "gold_cost_by_class",
     "gold_top_cost",
     "nth_row",
+    "nth_row_deep",
     "nth_row_per_group",
     "not_null_violations",
     "file_stats",
     "json_props",
     "csv_roundtrip",
     "append_idempotent",
+    "lake_aircraft",
+    "lake_snapshot",
 ]
 
 
@@ -59,7 +64,7 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
 
-    seconds = {}
+    seconds, medians = {}, {}
     for name in HEADLINE:
         times = []
         for _ in range(runs):
@@ -67,6 +72,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times.append(time.perf_counter() - start)
         seconds[name] = round(min(times), 3)
+        medians[name] = round(statistics.median(times), 3)
         print(f"{name}: {' '.join(f'{t:.2f}' for t in times)}", file=sys.stderr, flush=True)
     spark.stop()
 
@@ -78,6 +84,7 @@ def main() -> None:
                 "value": round(sum(seconds.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
+                "medians": medians,
                 "sf": float(scale) if scale.replace(".", "", 1).isdigit() else scale,
             }
         )

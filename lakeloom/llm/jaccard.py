@@ -4,7 +4,7 @@ Sets are in one global order, that of their n-grams' hashes. The sets of a bound
 in a prefix tree and the sets of another block walk it together, sharing the overlap counted along
 common paths; a subtree ends for a set when even its longest set could not reach the overlap that is
 needed. Which sets must meet in a block is found first: similar sets differ in a bounded number of
-n-grams, so of one segment more than that, into which a hash cuts all n-grams, they agree on one.
+n-grams. A hash cuts all n-grams into more segments than that, so on one of them they agree.
 """
 
 from __future__ import annotations
@@ -14,10 +14,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.llm.graphs import components, forest
+from lakeloom.llm.hashing import STEP, WordHashes, finish, windows
 from lakeloom.llm.pieces import answers
 from lakeloom.sources.staging import stage
 
@@ -44,77 +45,34 @@ class Similar:
 #: A block of gathered sets has about so many n-grams and sets.
 BLOCK_GRAMS, BLOCK_SETS = 150_000, 256
 
+#: The bit map of shared keys has two to this power bits (8 MB).
+MAP_BITS = 26
+
 #: Gathered sets up to this many are sent to every task; beyond it they are joined by a shuffle.
 BROADCAST_SETS = 2_000_000
 
 # -- sets ----------------------------------------------------------------------------------------
 
-_BYTE = (np.random.default_rng(7).integers(1, 2**63, 256, np.uint64) << np.uint64(1)) | np.uint64(1)
-_STEP = 0x9E3779B97F4A7C15 | 1
-_UNSTEP = pow(_STEP, -1, 1 << 64)
-
-
-def _finish(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def _powers(base: int, count: int) -> np.ndarray:
-    powers = np.empty(count, np.uint64)
-    powers[0] = 1
-    done = 1
-    while done < count:
-        more = min(done, count - done)
-        powers[done : done + more] = powers[:more] * np.uint64(pow(base, done, 1 << 64))
-        done += more
-    return powers
-
-
-class WordHashes:
-    """64-bit hashes of the words of a text, from sums over its bytes."""
-
-    def __init__(self, most: int = 1 << 17):
-        self._grow(most)
-
-    def _grow(self, most: int) -> None:
-        self.most = most
-        self.up, self.down = _powers(_STEP, most + 1), _powers(_UNSTEP, most + 1)
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        data = np.frombuffer(text, np.uint8)
-        white = (data == 32) | ((data >= 9) & (data <= 13))
-        edge = np.flatnonzero(np.diff(white, prepend=True, append=True))
-        starts, stops = edge[::2], edge[1::2]
-        if len(data) > self.most:
-            self._grow(2 * len(data))
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTE[data] * self.up[: len(data)], out=sums[1:])
-        return _finish((sums[stops] - sums[starts]) * self.down[starts] + (stops - starts).astype(np.uint64))
-
-
 def gram_set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
-    """Distinct hashes of a text's word n-grams, ascending; of all words if it has fewer than n."""
+    """Distinct hashes of a text's word n-grams, ascending; of all words if it has fewer than n.
+
+    A-Z count as a-z; two different n-grams agree with a chance of about one in 2**64.
+    """
     found = hashes(text.encode().lower()) if text else np.zeros(0, np.uint64)
-    if not len(found):
-        return found
-    count = max(1, len(found) - words + 1)
-    width = min(words, len(found))
-    grams = np.full(count, width, np.uint64)
-    for nth in range(width):
-        grams = _finish(grams * np.uint64(_STEP) + found[nth : nth + count])
-    return np.unique(grams)
+    return np.unique(windows(found, min(words, len(found)))) if len(found) else found
 
 
-def segment_keys(grams: np.ndarray, similar: Similar) -> np.ndarray:
-    """Keys of a set of which it shares one with every similar, different set.
+def segment_keys(grams: np.ndarray, similar: Similar) -> list[tuple[int, int, np.ndarray]]:
+    """(class, spare, keys) of a set for each class of sizes that it may be similar to a set of.
 
     Sizes are classed by powers of two. A set is cut for its own class, and for the next one if a
     set of that could be similar. Similar sets disagree in at most as many segments as they differ
-    in n-grams; if one holds n-grams in more segments than that, they agree on one that is not
-    empty. A set with fewer has keys for its empty segments as well.
+    in n-grams, so if one holds n-grams in more segments than that, they agree on as many as it has
+    more; of its keys in any order that all sets share, it then needs only the first ones, one more
+    than the differing n-grams. ``spare`` is that number less the number of its keys. A set with
+    fewer keys needs all and has keys for its empty segments as well.
     """
-    size, keys = len(grams), []
+    size, found = len(grams), []
     own = 1 << max(size - 1, 0).bit_length()
     classes = [own, 2 * own] if 100 * size > similar.percent * own else [own]
     for most in classes if size else []:
@@ -124,13 +82,15 @@ def segment_keys(grams: np.ndarray, similar: Similar) -> np.ndarray:
         segment = (grams >> np.uint64(33)) % np.uint64(count)
         order = np.argsort(segment, kind="stable")
         held, starts = np.unique(segment[order], return_index=True)
-        sums = np.add.reduceat(_finish(grams ^ np.uint64(most))[order], starts)
-        if len(held) <= differing:
+        sums = np.add.reduceat(finish(grams ^ np.uint64(most))[order], starts)
+        spare = differing + 1 - len(held)
+        if spare > 0:
             empty = np.setdiff1d(np.arange(count, dtype=np.uint64), held)
             held = np.concatenate([held, empty])
             sums = np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-        keys.append(_finish(sums + (held + np.uint64(1)) * np.uint64(_STEP) + np.uint64(most)))
-    return np.concatenate([np.zeros(0, np.uint64), *keys])
+            spare = 0
+        found.append((most, spare, finish(sums + (held + np.uint64(1)) * np.uint64(STEP) + np.uint64(most))))
+    return found
 
 
 def _mapped(docs: DataFrame, schema: str, answer) -> DataFrame:
@@ -151,7 +111,7 @@ def digests(docs: DataFrame, similar: Similar) -> DataFrame:
     def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
         sets = [gram_set(hashes, text, similar.words) for text in part.column(1).to_pylist()]
         high = [g.sum(dtype=np.uint64) for g in sets]
-        low = [_finish(g ^ np.uint64(_STEP)).sum(dtype=np.uint64) for g in sets]
+        low = [finish(g ^ np.uint64(STEP)).sum(dtype=np.uint64) for g in sets]
         return [
             part.column(0), pa.array([len(g) for g in sets], pa.int64()),
             pa.array(np.array(high, np.uint64).view(np.int64)), pa.array(np.array(low, np.uint64).view(np.int64)),
@@ -160,19 +120,58 @@ def digests(docs: DataFrame, similar: Similar) -> DataFrame:
     return _mapped(docs.select("doc_id", "text"), "doc_id long, size long, high long, low long", answer)
 
 
+def key_bits(keys: DataFrame) -> np.ndarray:
+    """A bit map of ``keys.key`` by their lowest bits; its size does not depend on the keys."""
+    low = F.col("key").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
+    words = keys.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, int(key & 63))").alias("bit"))
+    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
+    bits[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return bits.view(np.uint64)
+
+
 def keyed(docs: DataFrame, similar: Similar) -> DataFrame:
     """``doc_id, key``: a row for each segment key of each document."""
 
     def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
-        keys = [segment_keys(gram_set(hashes, t, similar.words), similar) for t in part.column(1).to_pylist()]
-        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
-        flat = np.concatenate([np.zeros(0, np.uint64), *keys]).view(np.int64)
+        sets = [gram_set(hashes, text, similar.words) for text in part.column(1).to_pylist()]
+        keys = [[k for _, _, k in segment_keys(grams, similar)] for grams in sets]
+        offsets = np.concatenate([[0], np.cumsum([sum(map(len, own)) for own in keys])]).astype(np.int32)
+        flat = np.concatenate([np.zeros(0, np.uint64), *[k for own in keys for k in own]]).view(np.int64)
         return [part.column(0), pa.ListArray.from_arrays(offsets, flat)]
 
     found = _mapped(docs.select("doc_id", "text"), "doc_id long, keys array<long>", answer)
     return found.select("doc_id", F.explode("keys").alias("key"))
 
 
+def shared_keys(docs: DataFrame, similar: Similar, wanted) -> DataFrame:
+    """``doc_id, class, spare, key``: the keys that may be shared, by the bit map ``wanted``."""
+
+    def sought(keys: np.ndarray) -> np.ndarray:
+        low = keys & np.uint64((1 << MAP_BITS) - 1)
+        return keys[(wanted.value[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)]
+
+    def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
+        rows, classes, spares, keys = [], [], [], [np.zeros(0, np.uint64)]
+        for row, text in enumerate(part.column(1).to_pylist()):
+            for most, spare, own in segment_keys(gram_set(hashes, text, similar.words), similar):
+                own = sought(own)
+                # Fewer shared keys than must be shared: no similar set.
+                if len(own) + spare > 0:
+                    rows.append(row)
+                    classes.append(most)
+                    spares.append(spare)
+                    keys.append(own)
+        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys[1:]])]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(offsets, np.concatenate(keys).view(np.int64))
+        ids = part.column(0).take(pa.array(rows, pa.int64()))
+        return [ids, pa.array(classes, pa.int64()), pa.array(spares, pa.int64()), lists]
+
+    schema = "doc_id long, class long, spare long, keys array<long>"
+    found = _mapped(docs.select("doc_id", "text"), schema, answer)
+    return found.select("doc_id", "class", "spare", F.explode("keys").alias("key"))
+
+
 # -- the join of gathered sets -------------------------------------------------------------------
 
 
@@ -245,7 +244,7 @@ def join_sets(ids: list, sets: list[np.ndarray], sides: list[int], similar: Simi
 
 
 def _block_links(placed: DataFrame, similar: Similar) -> DataFrame:
-    """``a, b`` from ``component, i, j, side, doc_id, grams``, sorted by the first three."""
+    """``a, b`` from ``unit, i, j, side, doc_id, grams``, sorted by the first three."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, ids, sets, sides = None, [], [], []
@@ -284,10 +283,10 @@ def similar_documents(docs: DataFrame, similar: Similar = Similar()) -> DataFram
     rows.
 
     Equal sets are a class, represented by its smallest ``doc_id``. Representatives with a common
-    segment key are linked to the smallest that has it, and the components of these links hold every
-    similar pair. Large ones are cut at random into blocks of a bounded size, and every two blocks
-    are joined by a task of their own, which returns a spanning forest of the links and not the
-    links themselves.
+    segment key are linked to the smallest that has it, and these links gather every similar pair in
+    a unit. Large units are cut at random into blocks of a bounded size, and every two blocks are
+    joined by a task of their own, which returns a spanning forest of the links and not the links
+    themselves.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stage(digests(known, similar), "jaccard-sets")
@@ -314,46 +313,91 @@ def similar_documents(docs: DataFrame, similar: Similar = Similar()) -> DataFram
 
 def gathered_links(docs: DataFrame, classes: DataFrame, similar: Similar) -> DataFrame:
     """``a, b``: links that join all similar representatives, by blocks of gathered sets."""
-    keys = keyed(docs, similar)
     # The smallest document with a key is the representative of its class.
     hubs = stage(
-        keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("last > hub").select("key", "hub"),
+        keyed(docs, similar)
+        .groupBy("key")
+        .agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
+        .where("last > hub")
+        .select("key", "hub", "n"),
         "jaccard-hubs",
     )
-    near = keys.join(hubs, "key").where("doc_id <> hub").select("hub", "doc_id").distinct()
+    # Most keys belong to one document; those that do not are told by a bit map of a fixed size
+    # before they are shuffled once more.
+    wanted = docs.sparkSession.sparkContext.broadcast(key_bits(hubs))
+    shared = shared_keys(docs, similar, wanted).join(hubs, "key")
+    # Of each document's keys, rarest first, only those are needed that force an agreement. Keys of
+    # one document alone come before all that are shared.
+    own = Window.partitionBy("doc_id", "class")
+    needed = shared.select(
+        "doc_id",
+        "hub",
+        (F.count("*").over(own) + F.col("spare")).alias("most"),
+        F.row_number().over(own.orderBy("n", "key")).alias("nth"),
+    ).where("nth <= most")
+    near = needed.where("doc_id <> hub").select("hub", "doc_id").distinct()
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     edges = near.join(reps, "doc_id", "left_semi").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    gathered = stage(components(edges), "jaccard-gathered")
-
-    sizes = classes.groupBy(F.col("rep").alias("node")).agg(F.max("size").alias("size"))
-    members = stage(gathered.join(sizes, "node"), "jaccard-members")
-    blocks = stage(
-        members.groupBy("component").agg(
-            F.greatest(F.ceil(F.sum("size") / BLOCK_GRAMS), F.ceil(F.count("*") / BLOCK_SETS)).alias("blocks")
-        ),
-        "jaccard-blocks",
-    )
-    placed = members.join(blocks, "component").select(
-        F.col("node").alias("doc_id"), "component", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("block")
+    edges = stage(edges, "jaccard-edges")
+    units = stage(_units(edges, classes), "jaccard-units")
+    placed = stage(
+        units.groupBy("doc_id").agg(F.collect_list(F.struct("unit", "blocks", "block")).alias("places")), "jaccard-placed"
     )
-    placed = stage(placed, "jaccard-placed")
     chosen = docs.join(F.broadcast(placed) if placed.count() <= BROADCAST_SETS else placed, "doc_id")
 
     def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
-        sets = [gram_set(hashes, text, similar.words).tobytes() for text in part.column(4).to_pylist()]
-        return [*part.columns[:4], pa.array(sets, pa.binary())]
+        sets = [gram_set(hashes, text, similar.words).tobytes() for text in part.column(2).to_pylist()]
+        return [part.column(0), part.column(1), pa.array(sets, pa.binary())]
 
-    columns = ["component", "blocks", "block", "doc_id"]
-    schema = "component long, blocks long, block long, doc_id long, grams binary"
-    stored = _mapped(chosen.select(*columns, "text"), schema, answer)
+    schema = "doc_id long, places array<struct<unit:long,blocks:long,block:long>>, grams binary"
+    stored = _mapped(chosen.select("doc_id", "places", "text"), schema, answer)
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    pairs = stored.withColumn("other", other).select(
-        "component",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
-        "doc_id",
-        "grams",
+    pairs = (
+        stored.select("doc_id", "grams", F.inline("places"))
+        .withColumn("other", other)
+        .select(
+            "unit",
+            F.least("block", "other").alias("i"),
+            F.greatest("block", "other").alias("j"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"),
+            "doc_id",
+            "grams",
+        )
     )
-    group = ["component", "i", "j"]
+    group = ["unit", "i", "j"]
     return _block_links(pairs.repartition(*group).sortWithinPartitions(*group), similar)
+
+
+def _units(edges: DataFrame, classes: DataFrame) -> DataFrame:
+    """``doc_id, unit, blocks, block``: where the ends of ``edges(a, b)`` meet, hubs being ``a``.
+
+    Two sets with a common key have a common hub, so both the component of a hub and its star, the
+    sets linked to it, hold every pair to be compared. A component is a unit if that moves less than
+    its stars do, each cut into as many blocks as it needs; every block meets every other one.
+    """
+    sizes = classes.groupBy(F.col("rep").alias("node")).agg(F.max("size").alias("size"))
+    members = stage(components(edges).join(sizes, "node"), "jaccard-members")
+    stars = stage(
+        edges.unionByName(edges.select("a", F.col("a").alias("b"))).distinct().join(
+            members.withColumnRenamed("node", "b"), "b"
+        ),
+        "jaccard-stars",
+    )
+    blocks = F.greatest(F.ceil(F.sum("size") / BLOCK_GRAMS), F.ceil(F.count("*") / BLOCK_SETS))
+    of_star = stage(
+        stars.groupBy("a", "component").agg(blocks.alias("blocks"), F.sum("size").alias("grams")), "jaccard-star-sizes"
+    )
+    of_component = members.groupBy("component").agg(blocks.alias("blocks"), F.sum("size").alias("grams"))
+    by_star = of_star.groupBy("component").agg(F.sum(F.col("blocks") * F.col("grams")).alias("moved"))
+    whole = stage(
+        of_component.join(by_star, "component").select(
+            "component", "blocks", (F.col("blocks") * F.col("grams") <= F.col("moved")).alias("whole")
+        ),
+        "jaccard-component-sizes",
+    )
+    together = members.join(whole.where("whole"), "component").select(
+        F.col("node").alias("doc_id"), F.col("component").alias("unit"), "blocks"
+    )
+    cut = of_star.join(whole.where("not whole").select("component"), "component").select("a", F.col("blocks"))
+    apart = stars.join(cut, "a").select(F.col("b").alias("doc_id"), F.col("a").alias("unit"), "blocks")
+    return together.unionByName(apart).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))

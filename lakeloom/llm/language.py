@@ -2,7 +2,7 @@
 
 A text is the TF-IDF vector of its hashed character n-grams. Each language has several centroids,
 from clustering a sample of its texts; the nearest by cosine names the language, and a text that is
-much further from it than the texts it was made of is rejected.
+further from it than its own texts with as many different n-grams is rejected.
 """
 
 from __future__ import annotations
@@ -28,13 +28,13 @@ _LETTER = regex.compile(r"\p{L}")
 class LanguageFit:
     """``sample`` is the bound on the labelled texts that the centroids are made of, shared evenly
     by the languages; everything else is counted over all rows. A text is rejected if its cosine is
-    below ``slack`` times that of the ``outliers`` share of its centroid's own texts."""
+    more than the share ``room`` below the ``outliers`` quantile of its centroid's own texts."""
 
     sample: int = 2000
     centroids: int = 4
     bits: int = 12
     outliers: float = 0.01
-    slack: float = 0.25
+    room: float = 0.25
     seed: int = 5
 
 
@@ -43,23 +43,71 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
 
 
+#: Characters from the start of a learned text that tell how near short texts come.
+HEAD_CHARS = 2048
+
+#: Cosines that a quantile is taken of; with fewer, those of the language and then of all count.
+LEAST_COSINES = 50
+
+
+def _classes(counts: np.ndarray) -> np.ndarray:
+    """Half octaves of the different n-grams of a text; its cosine with any centroid grows with them."""
+    return (2 * np.log2(np.maximum((counts > 0).sum(1), 1))).astype(int)
+
+
 class Centroids:
-    """Unit centroids with their language and the least cosine that they accept."""
+    """Unit centroids with their language and, for each class of texts, the least cosine that they
+    accept. ``heads`` are the starts of the texts that ``counts`` are of."""
 
-    def __init__(self, counts: np.ndarray, languages: np.ndarray, fit: LanguageFit):
-        self.bits, self.idf = fit.bits, inverse_frequency(counts)
+    def __init__(self, counts: np.ndarray, languages: np.ndarray, heads: list[str], fit: LanguageFit):
+        self.fit, self.bits, self.idf = fit, fit.bits, inverse_frequency(counts)
         vectors, rng = weighted(counts, self.idf), np.random.default_rng(fit.seed)
-        names, units, least = [], [], []
+        names, units, seen = [], [], [np.zeros((0, 3))]
         for language in sorted(set(languages.tolist())):
-            own = vectors[languages == language]
+            rows = np.flatnonzero(languages == language)
+            own = vectors[rows]
             found = self._cluster(own, min(fit.centroids, len(own)), rng)
-            nearest = (own @ found.T).argmax(1)
-            for n in np.unique(nearest):
-                cosines = own[nearest == n] @ found[n]
-                names.append(language)
-                units.append(found[n])
-                least.append(fit.slack * float(np.quantile(cosines, fit.outliers)))
-        self.names, self.units, self.least = names, np.array(units), np.array(least)
+            used, nearest = np.unique((own @ found.T).argmax(1), return_inverse=True)
+            found = found[used]
+            sums = np.stack([own[nearest == n].sum(0) for n in range(len(found))])
+            for row, vector, n in zip(rows.tolist(), own, nearest.tolist()):
+                # A text is held against the centroids as they would be without it.
+                rest, others = sums[n] - vector, found.copy()
+                norm = float(np.linalg.norm(rest))
+                others[n] = rest / norm if norm > 1e-4 else 0
+                if others.any():
+                    parts = np.concatenate([counts[row][None], *self._starts(heads[row])])
+                    cosines = weighted(parts, self.idf) @ others.T
+                    seen.append(np.stack([len(names) + cosines.argmax(1), _classes(parts), cosines.max(1)], 1))
+            names += [language] * len(found)
+            units += list(found)
+        self.names, self.units = names, np.array(units)
+        self.least = self._limits(np.concatenate(seen))
+
+    def _starts(self, head: str) -> Iterator[np.ndarray]:
+        """Counts of the starts of a text that hold a letter, of one character and twice as many each time."""
+        size = 1
+        while size < len(head):
+            if _LETTER.search(head[:size]):
+                yield gram_counts(head[:size], self.bits, letters=True)[None]
+            size *= 2
+
+    def _limits(self, seen: np.ndarray) -> np.ndarray:
+        """Least cosine by centroid and class, from rows of (centroid, class, cosine)."""
+        languages = np.array(self.names, object)
+        limits = np.zeros((len(self.names), 2 * self.bits + 1))
+        for n, name in enumerate(self.names):
+            same = languages[seen[:, 0].astype(int)] == name
+            for c in range(limits.shape[1]):
+                here = seen[:, 1] == c
+                choices = (here & (seen[:, 0] == n), here & same, here)
+                found = next((seen[rows, 2] for rows in choices if rows.sum() >= LEAST_COSINES), None)
+                if found is not None:
+                    limits[n, c] = (1 - self.fit.room) * float(np.quantile(found, self.fit.outliers))
+                elif c:
+                    # Texts with more n-grams come nearer, so this is not too strict.
+                    limits[n, c] = limits[n, c - 1]
+        return limits
 
     @staticmethod
     def _cluster(vectors: np.ndarray, count: int, rng, rounds: int = 10) -> np.ndarray:
@@ -78,10 +126,10 @@ class Centroids:
         if known and self.names:
             counts = np.stack([gram_counts(texts[n].lower(), self.bits, letters=True) for n in known])
             cosines = weighted(counts, self.idf) @ self.units.T
-            for n, best, row in zip(known, cosines.argmax(1).tolist(), cosines):
+            for n, best, kind, row in zip(known, cosines.argmax(1).tolist(), _classes(counts).tolist(), cosines):
                 languages[n] = self.names[best]
                 scores[n] = float(min(1.0, max(0.0, row[best])))
-                rejected[n] = bool(row[best] < self.least[best])
+                rejected[n] = bool(row[best] < self.least[best, kind])
         return languages, scores, rejected
 
 
@@ -89,8 +137,8 @@ def fit_languages(docs: DataFrame, fit: LanguageFit = LanguageFit()) -> Centroid
     """Learn from text and non-NULL ``lang`` of the rows that are not held out.
 
     The languages are counted over all such rows, then each gives about its share of the sample,
-    chosen by a hash. Only the sample's n-gram counts, a vector of fixed length for each text,
-    reach the driver, at most twice the sample's bound.
+    chosen by a hash. Only the sample's n-gram counts, a vector of fixed length for each text, and
+    its first :data:`HEAD_CHARS` characters reach the driver, at most twice the sample's bound.
     """
     train = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(fit.sample).collect()}
@@ -102,15 +150,17 @@ def fit_languages(docs: DataFrame, fit: LanguageFit = LanguageFit()) -> Centroid
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in answers(batches):
-            counted = [gram_counts(t.lower(), bits, letters=True).astype("<u4").tobytes() for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counted, pa.binary())], ["lang", "counts"])
+            texts = [t.lower() for t in part.column(1).to_pylist()]
+            counted = [gram_counts(t, bits, letters=True).astype("<u4").tobytes() for t in texts]
+            heads = [t[:HEAD_CHARS] for t in texts]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counted, pa.binary()), pa.array(heads, pa.string())], ["lang", "counts", "head"])
 
-    table = sampled.select("lang", "text").mapInArrow(run, "lang string, counts binary").limit(2 * fit.sample).toArrow()
-    vectors = [np.frombuffer(c, "<u4") for c in table["counts"].to_pylist()]
+    table = sampled.select("lang", "text").mapInArrow(run, "lang string, counts binary, head string").limit(2 * fit.sample).toArrow()
+    vectors, heads = [np.frombuffer(c, "<u4") for c in table["counts"].to_pylist()], table["head"].to_pylist()
     # A fixed order, so that the clusters do not depend on how the rows arrive.
-    order = sorted(range(len(vectors)), key=lambda n: (table["lang"][n].as_py(), vectors[n].tobytes()))
+    order = sorted(range(len(vectors)), key=lambda n: (table["lang"][n].as_py(), vectors[n].tobytes(), heads[n]))
     counts_of = np.stack([vectors[n] for n in order]) if order else np.zeros((0, 1 << bits), np.uint32)
-    return Centroids(counts_of, np.array([table["lang"][n].as_py() for n in order], object), fit)
+    return Centroids(counts_of, np.array([table["lang"][n].as_py() for n in order], object), [heads[n] for n in order], fit)
 
 
 def identify(docs: DataFrame, centroids: Centroids) -> DataFrame:

@@ -311,6 +311,28 @@ def test_held_out_accuracy(spark):
     assert sum(bool(q) == p for q, p in known) >= 0.95 * len(known) > 50
 
 
+@data
+def test_texts_of_no_learned_language_are_rejected(spark):
+    docs, rng = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), random.Random(11)
+    polish = "wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw".split()
+    finnish = "kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan".split()
+    russian = "все люди рождаются свободными и равными в своем достоинстве и правах".split()
+    makers = [
+        *(lambda of=of: rng.choice(of) for of in (polish, finnish, russian)),
+        lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))),
+        lambda: "".join(chr(rng.randint(0x4E00, 0x5FFF)) for _ in range(8)),
+    ]
+    foreign = [" ".join(make() for _ in range(words)) for make in makers for words in (12, 60, 1500)]
+    foreign.append(" ".join(f"{rng.getrandbits(64):016x}" for _ in range(200)))
+    fitted = language.fit_languages(docs)
+    assert all(fitted.predict(foreign)[2])
+    # Short and repetitive texts of the learned languages stay.
+    own = [r.text for r in docs.where(language.held_out()).collect()]
+    starts = [t[:40] for t in own if len(t) > 40]
+    assert sum(fitted.predict(own)[2]) == 0
+    assert sum(fitted.predict(starts)[2]) <= 0.02 * len(starts)
+
+
 @data
 def test_pipeline_stage_by_stage(spark):
     import corpus_pipeline

@@ -206,7 +206,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> D
                 ["doc_id", "piece", "start", "length", "ids"],
             )
 
-    encoder = lambda: library_encoder(tokenizer, "H")
+    encoder = lambda: library_encoder(tokenizer, "H", added=True)
     schema = "piece int, start long, length long, ids binary"
     return encode(docs, encoder, end_id.to_bytes(2, "little"), cut, schema)
 

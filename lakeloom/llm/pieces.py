@@ -69,7 +69,8 @@ class PieceEncoder:
     """Texts to packed little-endian ids.
 
     ``cut`` cuts a text into chunks, ``split`` a chunk into pieces (None: leave the chunk to
-    ``whole``), and ``ids`` gives the packed ids of one piece.
+    ``whole``), and ``ids`` gives the packed ids of one piece. Strings of ``added`` are cut out first
+    and have the packed ids given there; what is between them is encoded as texts of their own.
     """
 
     def __init__(
@@ -79,10 +80,14 @@ class PieceEncoder:
         ids: Callable,
         whole: Callable | None = None,
         kept: tuple[int, int] = (CHUNKS_KEPT, PIECES_KEPT),
+        added: dict[str, bytes] | None = None,
     ):
         self.chunks = Kept(self._chunk, kept[0])
         self.pieces = Kept(ids, kept[1])
         self.cut, self.split, self.whole = cut, split, whole
+        self.added = added or {}
+        # The longest of those that begin at one place counts.
+        self.between = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")")
 
     def _chunk(self, chunk: str) -> bytes:
         split = self.split(chunk)
@@ -91,6 +96,12 @@ class PieceEncoder:
         return b"".join(map(self.pieces.__getitem__, split))
 
     def __call__(self, text: str | None) -> bytes:
+        if text and any(string in text for string in self.added):
+            parts = self.between.split(text)
+            return b"".join(self.added[p] if n % 2 else self._plain(p) for n, p in enumerate(parts))
+        return self._plain(text)
+
+    def _plain(self, text: str | None) -> bytes:
         return b"".join(map(self.chunks.__getitem__, self.cut(text))) if text else b""
 
 
@@ -111,16 +122,22 @@ def byte_letters() -> dict[int, str]:
 
 
 @lru_cache(maxsize=4)
-def library_encoder(path: str, kind: str = "I") -> PieceEncoder:
-    """The tokenizer of a ``tokenizers`` file, special strings taken as ordinary text.
+def library_encoder(path: str, kind: str = "I", added: bool = False) -> PieceEncoder:
+    """The tokenizer of a ``tokenizers`` file.
 
-    ``kind`` is the array type of the packed ids, ``I`` for 32 and ``H`` for 16 bits.
+    ``kind`` is the array type of the packed ids, ``I`` for 32 and ``H`` for 16 bits. With ``added``
+    the strings of the file's added tokens become these tokens, as the library does by default;
+    else they are ordinary text.
     """
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     model, letters = tokenizer.model, byte_letters()
+    tokens = tokenizer.get_added_tokens_decoder() if added else {}
+    if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in tokens.values()):
+        raise ValueError(f"{path}: an added token is not matched as it stands")
+    strings = {t.content: array(kind, [n]).tobytes() for n, t in tokens.items()}
 
     def whole(chunk: str) -> bytes:
         return array(kind, tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
@@ -140,7 +157,7 @@ def library_encoder(path: str, kind: str = "I") -> PieceEncoder:
                 return None if chunk else []
             return [chunk] if chunk[0] == " " and chunk[1:].isalpha() else pattern.findall(chunk)
 
-        return PieceEncoder(chunks, split, ids, whole)
+        return PieceEncoder(chunks, split, ids, whole, added=strings)
 
     # Fixed value: the pattern of the lower-casing pre-tokenizer.
     pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -151,7 +168,7 @@ def library_encoder(path: str, kind: str = "I") -> PieceEncoder:
         lowered = chunk.lower()
         return [lowered] if lowered.isalpha() else pattern.findall(lowered)
 
-    return PieceEncoder(words, split_lower, ids, whole, (600_000, PIECES_KEPT))
+    return PieceEncoder(words, split_lower, ids, whole, (600_000, PIECES_KEPT), strings)
 
 
 def answers(batches: Iterator[pa.RecordBatch], chars: int = ANSWER_CHARS) -> Iterator[pa.RecordBatch]:

@@ -162,7 +162,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
         if texts:
             yield block()
 
-    first = encoding(lambda: library_encoder(tokenizer, "H"), end)
+    first = encoding(lambda: library_encoder(tokenizer, "H", added=True), end)
     blocks = ranged.select("doc_id", "text").mapInArrow(lambda batches: run(first(batches)), BLOCK_SCHEMA)
     blocks.write.parquet(path)
 

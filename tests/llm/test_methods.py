@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import random
 import re
+import zlib
 from collections import Counter
 from functools import lru_cache
 
@@ -18,7 +19,7 @@ from llm_rows import documents, workers  # noqa: F401
 from tokenizers import Tokenizer
 
 from check import compare
-from lakeloom.llm import bpe, graphs, jaccard, language, licenses, multi_index, neighbours, packing, pieces, repetition, shards, token_index
+from lakeloom.llm import bpe, graphs, jaccard, language, licenses, multi_index, neighbours, packing, pieces, queries, repetition, shards, token_index
 from lakeloom.llm.hashing import WordHashes
 from lakeloom.sources.staging import fresh_path
 
@@ -74,6 +75,42 @@ def test_piece_encoder_equals_the_library(name):
     same()
 
 
+specials = st.lists(texts | st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext", " "]), max_size=6).map("".join)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_equal_the_unmodified_library(name):
+    path = public_tokenizers.path(name)
+    library, ours = Tokenizer.from_file(path), pieces.library_encoder(path, "I", added=True)
+
+    @settings(max_examples=200, deadline=None)
+    @given(specials)
+    def same(text):
+        assert np.frombuffer(ours(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+    same()
+
+
+def test_queries_match_added_tokens_in_the_text(spark, tmp_path):
+    texts_of = {1: "one <|endoftext|> two<|startoftext|><|endoftext|>", 2: " \n<|endoftext|>three ", 3: None}
+    spark.createDataFrame(list(texts_of.items()), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    crc = lambda ids: zlib.crc32(np.array(ids, "<u4").tobytes())
+    expected, start = {}, 0
+    for name in ("word_bpe_49k.json", "byte_bpe_50k.json"):
+        library = Tokenizer.from_file(public_tokenizers.path(name))
+        for key, text in texts_of.items():
+            expected[name, key] = [*library.encode(text or "", add_special_tokens=False).ids, 2]
+    found = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op3_token_index(spark, str(tmp_path)).collect()}
+    for key in texts_of:
+        ids = expected["word_bpe_49k.json", key]
+        assert found[key] == (start, len(ids), crc(ids))
+        start += len(ids)
+    packed = queries.op7_best_fit_packing(spark, str(tmp_path)).collect()
+    own = {key: expected["byte_bpe_50k.json", key] for key in texts_of}
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in packed} == {key: (len(ids), crc(ids)) for key, ids in own.items()}
+    assert 50256 in own[1] and 49406 in expected["word_bpe_49k.json", 1]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 1000])
 def test_perfect_hash_is_minimal(n):
     keys = np.array([random.Random(n * 10**6 + i).getrandbits(63) - 2**62 for i in range(n)], np.int64)

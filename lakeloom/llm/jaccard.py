@@ -48,9 +48,6 @@ BLOCK_GRAMS, BLOCK_SETS = 150_000, 256
 #: The bit map of shared keys has two to this power bits (8 MB).
 MAP_BITS = 26
 
-#: Gathered sets up to this many are sent to every task; beyond it they are joined by a shuffle.
-BROADCAST_SETS = 2_000_000
-
 # -- sets ----------------------------------------------------------------------------------------
 
 def gram_set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
@@ -343,7 +340,8 @@ def gathered_links(docs: DataFrame, classes: DataFrame, similar: Similar) -> Dat
     placed = stage(
         units.groupBy("doc_id").agg(F.collect_list(F.struct("unit", "blocks", "block")).alias("places")), "jaccard-placed"
     )
-    chosen = docs.join(F.broadcast(placed) if placed.count() <= BROADCAST_SETS else placed, "doc_id")
+    # Places grow with the documents and their stars; only Spark's own limit in bytes may send them.
+    chosen = docs.join(placed, "doc_id")
 
     def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
         sets = [gram_set(hashes, text, similar.words).tobytes() for text in part.column(2).to_pylist()]

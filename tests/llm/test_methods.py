@@ -271,6 +271,20 @@ def test_jaccard_components_equal_brute_force(documents, monkeypatch, similar, s
     assert found == {n: (len(grams[n]), top(n)) for n in grams}
 
 
+def test_gathered_documents_are_joined_by_a_shuffle(spark, documents, monkeypatch):
+    hinted = []
+    monkeypatch.setattr(jaccard.F, "broadcast", lambda df: hinted.append(df.columns) or df)
+    rng = random.Random(6)
+    rows = list(enumerate(family(rng, 60, 12, 2)))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert len({r.component_id for r in jaccard.similar_documents(documents(*rows)).collect()}) < len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert not any("places" in columns for columns in hinted)
+
+
 def test_every_similar_pair_shares_a_key():
     rng, hashes, similar = random.Random(8), WordHashes(), jaccard.Similar()
     for size in (6, 7, 12, 31, 33, 64, 65, 130):

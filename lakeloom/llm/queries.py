@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import bpe, jaccard, language, licenses, multi_index, neighbours, packing, repetition, shards, token_index
+from lakeloom.llm import (
+    bpe,
+    counting,
+    importance,
+    jaccard,
+    language,
+    licenses,
+    multi_index,
+    neighbours,
+    packing,
+    prefix_trie,
+    repetition,
+    shards,
+    token_index,
+)
 from lakeloom.llm.workers import importable
 from lakeloom.sources.staging import fresh_path
 
@@ -97,6 +111,23 @@ def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered_turns(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv_id")
+    rebuilt = prefix_trie.grafted(turns, conv - conv % 5, F.crc32(conv.cast("string")) % 9, most_head=8)
+    return prefix_trie.prefix_trie(rebuilt).drop("node", "parent")
+
+
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = counting.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = importance.importance(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return ranked.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 QUERIES = {
     "op1_multi_index": op1_multi_index,
     "op2_bpe_transducer": op2_bpe_transducer,
@@ -108,4 +139,7 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_neighbour_quality": op9_neighbour_quality,
     "op10_ngram_jaccard": op10_ngram_jaccard,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_token_counts": op12_token_counts,
+    "op13_importance_resampling": op13_importance_resampling,
 }

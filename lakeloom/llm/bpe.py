@@ -25,7 +25,7 @@ from lakeloom.llm.pieces import PIECES_KEPT, Kept, PieceEncoder, answers, chunks
 STATES_KEPT, PAIRS_KEPT = 60_000, 150_000
 
 #: Chunks and pieces that a worker keeps; a piece costs more here than with a compiled library.
-ENCODED_KEPT = (300_000, 1_200_000)
+ENCODED_KEPT = (1_200_000, 200_000)
 
 _NEVER = float("inf")
 
@@ -53,7 +53,8 @@ def merge(ranks: dict[bytes, int], word: bytes, until: int = 1) -> list:
 
 
 class State(dict):
-    """Byte to (next state, packed tokens emitted); ``ways`` are (undecided tokens, trie node)."""
+    """Byte to (next state, packed tokens emitted); ``ways`` are (undecided tokens, trie node), in the
+    order of where the token that is being read began."""
 
     __slots__ = ("last", "ways", "rest")
 
@@ -83,9 +84,9 @@ class MergeTransducer:
 
     def _restart(self) -> None:
         self.states: dict[tuple, State] = {}
-        self.start = self._state(-1, frozenset({((), 0)}))
+        self.start = self._state(-1, (((), 0),))
 
-    def _state(self, last: int, ways: frozenset) -> State:
+    def _state(self, last: int, ways: tuple) -> State:
         found = self.states.get((last, ways))
         if found is None:
             found = State()
@@ -124,21 +125,22 @@ class MergeTransducer:
 
     def _step(self, state: State, byte: int) -> tuple[State, bytes]:
         trie, token_of, pairs, last = self.trie, self.token, self.pairs, state.last
-        ways = []
+        ways, ended = [], None
         for undecided, node in state.ways:
             node = trie[node].get(byte)
             if node is None:
                 continue
-            if trie[node]:
+            below = trie[node]
+            if below:
                 ways.append((undecided, node))
-            token = token_of[node]
-            if token >= 0 and pairs[undecided[-1] if undecided else last, token]:
-                ways.append(((*undecided, token), 0))
-        # What the least and the greatest way agree on, all between them do.
-        low, high, agreed = min(ways)[0], max(ways)[0], 0
-        for a, b in zip(low, high):
-            if a != b:
-                break
+            # The bytes read so far have one encoding, so only one way can end a token here.
+            if ended is None and token_of[node] >= 0 and pairs[undecided[-1] if undecided else last, token_of[node]]:
+                ended = (*undecided, token_of[node])
+        if ended is not None:
+            ways.append((ended, 0))
+        # What all ways agree on is decided; the one that began first has the fewest tokens.
+        low, agreed = ways[0][0], 0
+        while agreed < len(low) and all(len(u) > agreed and u[agreed] == low[agreed] for u, _ in ways):
             agreed += 1
         emitted = b""
         if agreed:
@@ -148,7 +150,7 @@ class MergeTransducer:
         # The last decided token only matters where nothing undecided follows it.
         if len(low) > agreed:
             last = None
-        state[byte] = step = (self._state(last, frozenset(ways)), emitted)
+        state[byte] = step = (self._state(last, tuple(ways)), emitted)
         return step
 
     def __call__(self, word: bytes) -> bytes:
@@ -221,42 +223,54 @@ class StreamDecoder:
     """
 
     def __init__(self, tokens: list[bytes]):
-        self.tokens = tokens
+        self.sizes = np.array([len(token) for token in tokens], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         table = utf8_table()
-        self.acts = np.tile(np.arange(9, dtype=np.uint8), (len(tokens), 1))
+        acts = np.tile(np.arange(9, dtype=np.uint8), (len(tokens), 1))
         for n, token in enumerate(tokens):
             if not token.isascii():
                 for byte in token:
-                    self.acts[n] = table[self.acts[n], byte]
+                    acts[n] = table[acts[n], byte]
             else:
-                self.acts[n, 1:] = _ERROR
-        self.whole = self.acts[:, 0] == 0
+                acts[n, 1:] = _ERROR
+        self.whole = acts[:, 0] == 0
+        self.acts = [row.tobytes() for row in acts]
         self.state, self.kept = 0, b""
 
     def feed(self, ids: np.ndarray) -> str:
         """The text that is complete after ``ids``."""
-        state, whole, cut = self.state, self.whole[ids], 0
-        broken = np.flatnonzero(~whole)
-        at = 0
-        # Between broken tokens the machine rests in state 0; only there does it need a step.
-        while at < len(ids):
-            if state == 0:
-                nth = np.searchsorted(broken, at)
-                cut = at = int(broken[nth]) if nth < len(broken) else len(ids)
-                if at == len(ids):
-                    break
-            state = int(self.acts[ids[at], state])
-            at += 1
-            if state == _ERROR:
-                raise UnicodeDecodeError("utf-8", b"", 0, 1, "ids do not spell UTF-8")
+        broken = np.flatnonzero(~self.whole[ids])
+        # Between broken tokens the machine rests in state 0, and a whole token is an error in any other.
+        state, cut, due = self.state, 0, 0
+        for at, token in zip(broken.tolist(), ids[broken].tolist()):
             if state == 0:
                 cut = at
+            elif at != due:
+                state = _ERROR
+            state = self.acts[token][state]
+            due = at + 1
+            if state == _ERROR:
+                break
+        if state == _ERROR or (state and due < len(ids)):
+            raise UnicodeDecodeError("utf-8", b"", 0, 1, "ids do not spell UTF-8")
+        if state == 0:
+            cut = len(ids)
         self.state = state
-        parts = list(map(self.tokens.__getitem__, ids.tolist()))
-        text = self.kept + b"".join(parts[:cut]) if cut else b""
-        self.kept = b"".join(parts[cut:]) if cut else self.kept + b"".join(parts)
+        text = self.kept + self._spelt(ids[:cut]) if cut else b""
+        self.kept = self._spelt(ids[cut:]) if cut else self.kept + self._spelt(ids)
         return text.decode()
 
+    def _spelt(self, ids: np.ndarray) -> bytes:
+        """The bytes of the tokens, one after the other."""
+        sizes = self.sizes[ids]
+        stops = np.cumsum(sizes)
+        if not len(stops):
+            return b""
+        places = np.repeat(self.starts[ids] - (stops - sizes), sizes)
+        places += np.arange(stops[-1])
+        return self.bytes[places].tobytes()
+
     def close(self) -> None:
         """End of a stream; an unfinished character is an error."""
         state, self.state, self.kept = self.state, 0, b""

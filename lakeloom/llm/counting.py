@@ -4,17 +4,18 @@ A piece of the model never holds a space behind another character, and a line fe
 all. So a text may be cut ahead of its spaces and on both sides of a line feed, and the tokens of a text
 are those of its parts. Parts repeat:
 
-* Each task cuts its documents into blocks and keeps a block as its distinct parts and the number of
-  times that each document holds each of them.
-* The distinct parts of all blocks meet by a shuffle of (part, block), where each is encoded once.
-  However common, a part has one row for a block there.
-* Their counts are joined back to the blocks, and each document's are summed. Ids of a document are
+* Each task cuts its documents into blocks and keeps a block as its distinct parts and a sparse matrix:
+  how many times each document holds each of them.
+* The distinct parts of all blocks are dealt to buckets by hash and meet there, where each is encoded
+  once. A block sends the parts of a bucket as one row, so a part, however common, comes once a block.
+* Their token counts go back to the blocks, and each document's are summed. Ids of a document are
   never made.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,10 +26,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.sources.staging import fresh_path
+from lakeloom.sources.staging import stage
 
 #: Characters of text in a block, and of a text that are cut into parts at a time.
-BLOCK_CHARS, SLICE_CHARS = 8_000_000, 1_000_000
+BLOCK_CHARS, SLICE_CHARS = 32_000_000, 1_000_000
 
 #: Parts that are encoded by one call.
 ENCODED = 20_000
@@ -37,7 +38,21 @@ ENCODED = 20_000
 _SPACE_SIGN = "▁"
 _PART = re.compile("\n| *[^ \n]+| +")
 
-BLOCK = "block long, parts array<string>, steps array<int>, times array<int>, held array<int>, doc_ids array<{kind}>, sizes array<long>"
+# Lists of numbers are packed; ``buckets`` holds the distinct parts of each bucket, sorted and joined.
+BLOCK = (
+    "block long, buckets array<binary>, steps binary, times binary, held binary, "
+    "doc_ids array<{kind}>, sizes array<long>, lines array<long>"
+)
+
+
+def pack(numbers: np.ndarray) -> bytes:
+    """Small numbers in few bytes: byte by byte of each, compressed."""
+    return zlib.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    planes = np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<i4").ravel()
 
 
 def parts_of(text: str) -> Iterator[list[str]]:
@@ -55,50 +70,70 @@ def parts_of(text: str) -> Iterator[list[str]]:
         start = stop
 
 
-def _block(number: int, ids: list, sizes: list[int], counted: list[Counter], kind: pa.DataType) -> pa.RecordBatch:
-    """Documents as their distinct parts and, for each document, the places of its parts among these in
-    rising order, as steps, with how many times each occurs."""
-    place = {part: nth for nth, part in enumerate({part: None for counts in counted for part in counts})}
-    steps, times = [], []
-    for counts in counted:
-        at = np.fromiter(map(place.__getitem__, counts), np.int32, len(counts))
-        order = np.argsort(at)
-        steps.append(np.diff(at[order], prepend=np.int32(0)))
-        times.append(np.fromiter(counts.values(), np.int32, len(counts))[order])
-    lists = [
-        pa.array([list(place)], pa.list_(pa.string())),
-        *(pa.ListArray.from_arrays([0, len(flat)], flat) for flat in (
-            pa.array(np.concatenate(steps), pa.int32()),
-            pa.array(np.concatenate(times), pa.int32()),
-            pa.array([len(counts) for counts in counted], pa.int32()),
-        )),
-        pa.array([ids], pa.list_(kind)),
-        pa.array([sizes], pa.list_(pa.int64())),
-    ]
-    names = ["block", "parts", "steps", "times", "held", "doc_ids", "sizes"]
-    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *lists], names)
-
-
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    number, chars = TaskContext.get().partitionId() << 32, 0
-    ids, sizes, counted, kind = [], [], [], None
+class _Block:
+    """Documents as a sparse matrix over their distinct parts."""
+
+    def __init__(self, number: int):
+        self.number, self.chars = number, 0
+        self.places: dict[str, int] = {}
+        self.ids, self.sizes, self.lines = [], [], []
+        self.columns, self.times = [], []
+
+    def add(self, key, text: str) -> None:
+        counts = Counter()
+        for parts in parts_of(text) if text else ():
+            counts.update(parts)
+        # A line feed is one token.
+        self.lines.append(counts.pop("\n", 0))
+        places = self.places
+        self.columns.append(np.array([places.setdefault(part, len(places)) for part in counts], np.int32))
+        self.times.append(np.fromiter(counts.values(), np.int32, len(counts)))
+        self.ids.append(key)
+        self.sizes.append(len(text.encode()))
+        self.chars += len(text)
+
+    def row(self, buckets: int, kind: pa.DataType) -> pa.RecordBatch:
+        """The block with its parts in the order of buckets and texts, and the columns of each document as
+        steps from one to the next."""
+        parts = sorted(self.places)
+        dealt = np.array([zlib.crc32(part.encode()) % buckets for part in parts], np.int64)
+        order = np.argsort(dealt, kind="stable")
+        rank = np.empty(len(parts), np.int64)
+        rank[[self.places[parts[nth]] for nth in order]] = np.arange(len(parts))
+        bounds = np.searchsorted(dealt[order], np.arange(buckets + 1))
+        texts = [
+            zlib.compress("\n".join([parts[nth] for nth in order[low:high]]).encode(), 1) if high > low else None
+            for low, high in zip(bounds, bounds[1:])
+        ]
+        held = np.array([len(columns) for columns in self.columns], np.int64)
+        columns, times = (np.concatenate([np.zeros(0, np.int32), *each]) for each in (self.columns, self.times))
+        document = np.repeat(np.arange(len(held)), held)
+        along = np.argsort(document * max(len(parts), 1) + rank[columns])
+        columns = rank[columns][along]
+        steps = np.diff(columns, prepend=0)
+        starts = (np.cumsum(held) - held)[held > 0]
+        steps[starts] = columns[starts]
+        values = [
+            pa.array([self.number], pa.int64()), pa.array([texts], pa.list_(pa.binary())),
+            *(pa.array([pack(numbers)], pa.binary()) for numbers in (steps, times[along], held)),
+            pa.array([self.ids], pa.list_(kind)),
+            *(pa.array([numbers], pa.list_(pa.int64())) for numbers in (self.sizes, self.lines)),
+        ]
+        names = ["block", "buckets", "steps", "times", "held", "doc_ids", "sizes", "lines"]
+        return pa.RecordBatch.from_arrays(values, names)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    block, kind = _Block(TaskContext.get().partitionId() << 32), None
     for batch in batches:
         kind = batch.column(0).type
         for nth, key in enumerate(batch.column(0).to_pylist()):
-            text = batch.column(1)[nth].as_py() or ""
-            counts = Counter()
-            for parts in parts_of(text) if text else ():
-                counts.update(parts)
-            ids.append(key)
-            sizes.append(len(text.encode()))
-            counted.append(counts)
-            chars += len(text)
-            if chars >= BLOCK_CHARS:
-                yield _block(number, ids, sizes, counted, kind)
-                number, chars = number + 1, 0
-                ids, sizes, counted = [], [], []
-    if ids:
-        yield _block(number, ids, sizes, counted, kind)
+            block.add(key, batch.column(1)[nth].as_py() or "")
+            if block.chars >= BLOCK_CHARS:
+                yield block.row(buckets, kind)
+                block = _Block(block.number + 1)
+    if block.ids:
+        yield block.row(buckets, kind)
 
 
 @lru_cache(maxsize=2)
@@ -123,34 +158,40 @@ def tokens_of(parts: list[str], path: str) -> list[int]:
 
 
 def _priced(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
-    """Rows of (part, block, place), sorted by part, to (block, place, tokens)."""
-    last, tokens = None, 0
+    """Rows of (bucket, block, parts), sorted by bucket, to (block, bucket, tokens of each part).
+
+    Holds the distinct parts of one bucket.
+    """
+    last, known = None, {}
     for batch in batches:
-        for start in range(0, batch.num_rows, ENCODED):
-            rows = batch.slice(start, ENCODED)
-            coded = rows.column(0).dictionary_encode()
-            distinct = coded.dictionary.to_pylist()
-            known = [tokens] if distinct[0] == last else []
-            counts = known + tokens_of(distinct[len(known) :], path)
-            last, tokens = distinct[-1], counts[-1]
-            each = np.array(counts, np.int32)[coded.indices.to_numpy()]
-            yield pa.RecordBatch.from_arrays([rows.column(1), rows.column(2), pa.array(each)], ["block", "place", "tokens"])
+        for bucket, block, packed in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            if bucket != last:
+                last, known = bucket, {}
+            parts = zlib.decompress(packed).decode().split("\n")
+            new = [part for part in parts if part not in known]
+            for start in range(0, len(new), ENCODED):
+                some = new[start : start + ENCODED]
+                known.update(zip(some, tokens_of(some, path), strict=True))
+            tokens = np.fromiter(map(known.__getitem__, parts), np.int32, len(parts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([block], pa.int64()), pa.array([bucket], pa.int32()), pa.array([pack(tokens)], pa.binary())],
+                ["block", "bucket", "tokens"],
+            )
 
 
 def _summed(block: pa.Table, priced: pa.Table) -> pa.Table:
     """The documents of one block with the sums of the tokens of their parts."""
-    row = {name: block.column(name)[0].values for name in ("steps", "times", "held", "doc_ids", "sizes")}
-    held = row["held"].to_numpy()
-    tokens = np.zeros(priced.num_rows, np.int64)
-    tokens[priced.column("place").to_numpy()] = priced.column("tokens").to_numpy()
-    steps, times = row["steps"].to_numpy().astype(np.int64), row["times"].to_numpy().astype(np.int64)
+    steps, times, held = (unpack(block.column(name)[0].as_py()).astype(np.int64) for name in ("steps", "times", "held"))
+    by_bucket = sorted(zip(priced.column("bucket").to_pylist(), priced.column("tokens").to_pylist()))
+    tokens = np.concatenate([np.zeros(0, np.int64), *[unpack(packed) for _, packed in by_bucket]])
     # Steps begin anew with every document.
-    places, starts = np.cumsum(steps), np.cumsum(held) - held
-    before = np.concatenate([[0], places])[starts]
-    places -= np.repeat(before, held)
+    starts = np.cumsum(held) - held
+    places = np.cumsum(steps)
+    places -= np.repeat(np.concatenate([[0], places])[starts], held)
     sums = np.concatenate([[0], np.cumsum(tokens[places] * times)])
-    counted = pa.array(sums[starts + held] - sums[starts])
-    return pa.table([row["doc_ids"], row["sizes"], counted], names=["doc_id", "n_bytes", "n_tokens"])
+    ids, sizes, lines = (block.column(name)[0].values for name in ("doc_ids", "sizes", "lines"))
+    counted = sums[starts + held] - sums[starts] + lines.to_numpy()
+    return pa.table([ids, sizes, pa.array(counted)], names=["doc_id", "n_bytes", "n_tokens"])
 
 
 def count_tokens(docs: DataFrame, model: str) -> DataFrame:
@@ -161,23 +202,22 @@ def count_tokens(docs: DataFrame, model: str) -> DataFrame:
 
     A NULL text is empty and has no tokens. Rows that repeat are each counted and given, as are rows
     without a ``doc_id``. A long text is cut in slices and stands in one block with all its parts.
-    Other columns are not read; an empty table gives no rows.
+    Other columns are not read; an empty table gives no rows. There is a bucket for each shuffle
+    partition of the session, whose distinct parts one task holds.
     """
     require_separable(model)
     spark, kind = docs.sparkSession, dict(docs.dtypes)["doc_id"]
-    path = fresh_path(spark, "pre-token-counts")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = BLOCK.format(kind=kind)
-    docs.select("doc_id", "text").mapInArrow(_blocks, schema).write.option("compression", "zstd").parquet(path)
-    blocks = spark.read.schema(schema).parquet(path)
+    blocks = stage(docs.select("doc_id", "text").mapInArrow(lambda batches: _blocks(batches, buckets), schema), "pre-token-counts")
 
-    distinct = blocks.select(F.posexplode("parts").alias("place", "part"), "block").select("part", "block", "place")
+    parts = blocks.select("block", F.posexplode("buckets").alias("bucket", "parts")).where("parts is not null")
     priced = (
-        distinct.repartition("part")
-        .sortWithinPartitions("part")
-        .mapInArrow(lambda batches: _priced(batches, model), "block long, place int, tokens int")
+        parts.select("bucket", "block", "parts").repartition("bucket").sortWithinPartitions("bucket")
+        .mapInArrow(lambda batches: _priced(batches, model), "block long, bucket int, tokens binary")
     )
     return (
-        blocks.drop("parts").groupBy("block").cogroup(priced.groupBy("block"))
+        blocks.drop("buckets").groupBy("block").cogroup(priced.groupBy("block"))
         .applyInArrow(_summed, f"doc_id {kind}, n_bytes long, n_tokens long")
     )
 

@@ -25,14 +25,15 @@ from lakeloom.sources.staging import stage
 class Index:
     """``sample`` vectors at most fit the codebooks; every vector is indexed. A cell is meant to
     hold ``cell`` vectors, by codebooks of ``fewest`` to ``most`` words; ``recall`` is the share of
-    partners at exactly the threshold that the visited cells are to hold, from one side alone."""
+    partners at exactly the threshold that the visited cells are to hold, from one side alone; with a
+    recall of 1 cells are visited as far as any partner can lie, which misses none."""
 
     threshold: float = 0.98
     recall: float = 0.999
     sample: int = 20_000
     cell: int = 1000
     fewest: int = 4
-    most: int = 256
+    most: int = 1024
     seed: int = 5
 
     def words(self, rows: int) -> int:
@@ -94,6 +95,8 @@ class Codebooks:
 
         No partner lies further past a border than its whole distance, so that is the most.
         """
+        if index.recall >= 1:
+            return 2 - 2 * index.threshold + 1e-9
         x = units[: 4000]
         aside = rng.standard_normal(x.shape)
         aside -= (aside * x).sum(1)[:, None] * x
@@ -258,7 +261,7 @@ def near_duplicates(vectors: DataFrame, index: Index = Index()) -> DataFrame:
     least the threshold. Vectors that are NULL, empty, zero or hold NULL or non-finite components,
     vectors of different lengths and rows with a NULL label or ``vec_id`` link with nothing; a NULL
     ``vec_id`` has a NULL component. ``n_links`` counts all directly linked rows, copies included.
-    Rows with one ``vec_id`` are one node. Other columns are ignored; an empty table gives no rows.
+    Rows with one ``vec_id`` are one node, and each has the links of all of them. Other columns are ignored; an empty table gives no rows.
 
     Equal vectors of a label are collapsed to a class first and counted with it. A cell that holds
     or draws too many for a task is cut into blocks of residents and of visitors, and every pair of
@@ -272,8 +275,12 @@ def near_duplicates(vectors: DataFrame, index: Index = Index()) -> DataFrame:
     usable = rows.where("vec_id is not null and label is not null and size(embedding) > 0").where(
         finite & F.exists("embedding", lambda x: x != 0)
     )
+    # Numbered when written: one vec_id may be the smallest of several classes.
     classes = stage(
-        usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-classes"
+        usable.groupBy("label", "embedding")
+        .agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"))
+        .withColumn("class", F.monotonically_increasing_id()),
+        "vector-classes",
     )
     count = classes.count()
     if not count:
@@ -281,26 +288,33 @@ def near_duplicates(vectors: DataFrame, index: Index = Index()) -> DataFrame:
             "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept")
         )
     books = spark.sparkContext.broadcast(_fit(classes, count, index))
-    sized = classes.select("rep", "label", "embedding", "copies", F.size("embedding").alias("length"))
+    sized = classes.select(F.col("class").alias("rep"), "label", "embedding", "copies", F.size("embedding").alias("length"))
     indexed = stage(_indexed(sized, books), "vector-cells")
     found = stage(_compare(indexed, books, index), "vector-links")
 
     copied = stage(classes.where("copies > 1"), "vector-copies")
-    members = usable.join(copied, ["label", "embedding"]).select("vec_id", "rep", "copies")
+    single = classes.where("copies = 1").select(F.col("rep").alias("vec_id"), "rep", "class", "copies")
+    members = usable.join(copied, ["label", "embedding"]).select("vec_id", "rep", "class", "copies").unionByName(single)
     of_class = members.where("vec_id <> rep").select(F.col("rep").alias("a"), F.col("vec_id").alias("b"))
-    links = found.where("node <> joined").select(F.col("joined").alias("a"), F.col("node").alias("b"))
+    names = classes.select("class", "rep")
+    links = (
+        found.where("node <> joined")
+        .join(names.select(F.col("class").alias("node"), F.col("rep").alias("b")), "node")
+        .join(names.select(F.col("class").alias("joined"), F.col("rep").alias("a")), "joined")
+        .select("a", "b")
+    )
     joined = components(links.unionByName(of_class))
 
-    direct = found.groupBy(F.col("node").alias("rep")).agg(F.sum("links").alias("links"))
-    own = members.groupBy("vec_id", "rep").agg(F.max("copies").alias("copies"))
-    named = rows.select("vec_id").join(own, "vec_id", "left").withColumn("rep", F.coalesce("rep", "vec_id"))
+    direct = found.groupBy(F.col("node").alias("class")).agg(F.sum("links").alias("links"))
+    own = members.select("vec_id", "class", "copies").distinct().join(direct, "class", "left")
+    counted = own.groupBy("vec_id").agg(F.sum(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     component = joined.select(F.col("node").alias("vec_id"), "component")
     return (
-        named.join(direct, "rep", "left")
+        rows.select("vec_id").join(counted, "vec_id", "left")
         .join(component, "vec_id", "left")
         .select(
             "vec_id",
-            (F.coalesce("links", F.lit(0)) + F.coalesce(F.col("copies") - 1, F.lit(0))).cast("long").alias("n_links"),
+            F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
             F.coalesce("component", "vec_id").alias("component_id"),
             F.col("vec_id").eqNullSafe(F.coalesce("component", "vec_id")).alias("kept"),
         )

@@ -44,8 +44,8 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 class Neighbours:
     """Labelled vectors in the latent space, and the way there."""
 
-    def __init__(self, counts: np.ndarray, shapes: np.ndarray, labels: np.ndarray, fit: NeighbourFit):
-        self.fit, self.labels = fit, labels.astype(np.float32)
+    def __init__(self, counts: np.ndarray, shapes: np.ndarray, labels: np.ndarray, fit: NeighbourFit, usual: float = 0.5):
+        self.fit, self.labels, self.usual = fit, labels.astype(np.float64), usual
         self.idf = inverse_frequency(counts)
         self.space = np.zeros((counts.shape[1] + len(SHAPES), 1), np.float32)
         terms = self._terms(counts, shapes)
@@ -68,14 +68,21 @@ class Neighbours:
         return (basis @ rotated.T)[:, : self.fit.dimensions]
 
     def score(self, counts: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        """Share of label 1 in the votes, for each row; 0.5 where nothing votes."""
+        """Share of label 1 in the votes, for each row; the usual share of label 1 where nothing votes.
+
+        Neighbours that are equally near at the last place share the votes that are left there.
+        """
         if not len(self.labels):
-            return np.full(len(counts), 0.5)
+            return np.full(len(counts), self.usual)
         cosines = _unit(self._terms(counts, shapes) @ self.space) @ self.latent.T
         nearest = min(self.fit.nearest, len(self.labels))
-        chosen = np.argpartition(-cosines, nearest - 1, axis=1)[:, :nearest]
-        votes = np.maximum(np.take_along_axis(cosines, chosen, 1), 1e-6).astype(np.float64) ** self.fit.sharpness
-        return np.clip((votes * self.labels[chosen]).sum(1) / votes.sum(1), 0, 1)
+        last = -np.partition(-cosines, nearest - 1, axis=1)[:, nearest - 1 : nearest]
+        above, tied = cosines > last, cosines == last
+        left = (nearest - above.sum(1, keepdims=True)) / np.maximum(tied.sum(1, keepdims=True), 1)
+        votes = np.maximum(cosines, 0).astype(np.float64) ** self.fit.sharpness * (above + tied * left)
+        total = votes.sum(1)
+        share = np.divide(votes @ self.labels, total, out=np.full(len(counts), self.usual), where=total > 0)
+        return np.clip(share, 0, 1)
 
 
 def _features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,15 +126,16 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit: NeighbourFit = Neighbou
     empty = (np.zeros((0, 1 << bits), np.uint32), np.zeros((0, len(SHAPES))))
     found = np.stack([np.frombuffer(r["counts"], "<u4") for r in rows]) if rows else empty[0]
     shapes = np.stack([np.frombuffer(r["shapes"], "<f8") for r in rows]) if rows else empty[1]
-    return Neighbours(found, shapes, np.array([r["quality"] for r in rows]), fit)
+    usual = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
+    return Neighbours(found, shapes, np.array([r["quality"] for r in rows]), fit, usual)
 
 
 def score_quality(docs: DataFrame, neighbours: Neighbours, block: int = 256) -> DataFrame:
     """All columns of ``docs`` as the struct ``record`` with ``score``, the share of votes for 1.
 
-    Only the text is looked at, whole; NULL and empty texts are scored like any other, by their
-    vector of zeros. Rows are independent, and an empty table gives no rows. If nothing could be
-    learned, every score is 0.5.
+    Only the text is looked at, whole. A NULL or empty text, or one that no labelled text is near,
+    scores the share of label 1 among all learned labels. Rows are independent, so repeated ones score
+    alike, and an empty table gives no rows. If nothing could be learned, every score is 0.5.
     """
     model = docs.sparkSession.sparkContext.broadcast(neighbours)
     bits = neighbours.fit.bits

@@ -25,8 +25,8 @@ _WORD = re.compile(f"[^{WHITE}]+")
 _RARE_WHITE = [c for c in map(chr, range(0x85, 0x3001)) if re.match(f"[{WHITE}]", c)]
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
-#: Entries of a worker's tables; about 200 bytes each.
-CHUNKS_KEPT, PIECES_KEPT = 400_000, 200_000
+#: Entries of a worker's tables; about 200 bytes each. A chunk of one piece is in the first alone.
+CHUNKS_KEPT, PIECES_KEPT = 540_000, 60_000
 
 #: Characters of text that are turned into ids between two answers of a worker.
 ANSWER_CHARS = 4_000_000
@@ -93,6 +93,8 @@ class PieceEncoder:
         split = self.split(chunk)
         if split is None:
             return self.whole(chunk)
+        if len(split) == 1:
+            return self.pieces.make(split[0])
         return b"".join(map(self.pieces.__getitem__, split))
 
     def __call__(self, text: str | None) -> bytes:
@@ -168,7 +170,7 @@ def library_encoder(path: str, kind: str = "I", added: bool = False) -> PieceEnc
         lowered = chunk.lower()
         return [lowered] if lowered.isalpha() else pattern.findall(lowered)
 
-    return PieceEncoder(words, split_lower, ids, whole, (600_000, PIECES_KEPT), strings)
+    return PieceEncoder(words, split_lower, ids, whole, (740_000, PIECES_KEPT), strings)
 
 
 def answers(batches: Iterator[pa.RecordBatch], chars: int = ANSWER_CHARS) -> Iterator[pa.RecordBatch]:

@@ -78,6 +78,6 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return np.divide(vectors, norms, out=vectors, where=norms > 0)
 
 
-def inverse_frequency(counts: np.ndarray) -> np.ndarray:
-    """Smoothed inverse document frequency of each term over the rows of ``counts``."""
-    return np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1
+def inverse_frequency(rows: int, frequency: np.ndarray) -> np.ndarray:
+    """Smoothed inverse document frequency of each term, found in so many of all rows."""
+    return np.log((1 + rows) / (1 + frequency)) + 1

@@ -1,25 +1,27 @@
 """Jaccard join of word n-gram sets with prefix trees.
 
-Sets are in one global order, that of their n-grams' hashes. The sets of a bounded block are stored
-in a prefix tree and the sets of another block walk it together, sharing the overlap counted along
-common paths; a subtree ends for a set when even its longest set could not reach the overlap that is
-needed. Which sets must meet in a block is found first: similar sets differ in a bounded number of
-n-grams. A hash cuts all n-grams into more segments than that, so on one of them they agree.
+All sets are in one global order: n-grams of fewer documents come first, equally rare ones by hash.
+Similar sets agree on one of their first n-grams at least, so a set hangs in the tree below each of these,
+and sets meet where they hang together. What hangs together is gathered in bounded blocks. The sets of a
+block are stored in a prefix tree and those of another walk it together, sharing the overlap counted along
+common paths; a subtree ends for a set when even its longest set could not reach the overlap needed.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.graphs import components, forest
 from lakeloom.llm.hashing import STEP, WordHashes, finish, windows
 from lakeloom.llm.pieces import answers
+from lakeloom.sources.layout import broadcast_within
 from lakeloom.sources.staging import stage
 
 
@@ -30,13 +32,9 @@ class Similar:
     words: int = 4
     percent: int = 85
 
-    def differing(self, most: int) -> int:
-        """N-grams in which similar sets of up to ``most`` can differ."""
-        return 2 * most * (100 - self.percent) // (100 + self.percent)
-
-    def segments(self, most: int) -> int:
-        """More than the differing n-grams by enough that so many segments are seldom empty."""
-        return 9 * (self.differing(most) + 1) // 8 + 2
+    def first(self, size: int) -> int:
+        """So many of a set's n-grams hold one that any similar set has among as many of its own."""
+        return size + (-self.percent * size) // 100 + 1
 
     def linked(self, overlap, size_a, size_b):
         return (100 + self.percent) * overlap >= self.percent * (size_a + size_b)
@@ -45,9 +43,15 @@ class Similar:
 #: A block of gathered sets has about so many n-grams and sets.
 BLOCK_GRAMS, BLOCK_SETS = 150_000, 256
 
-#: The bit map of shared keys has two to this power bits (8 MB).
+#: Most slots of the map of how common n-grams are, as a power of two, at four bits each (32 MB).
 MAP_BITS = 26
 
+#: Bits of the map of gathered documents, as a power of two (8 MB).
+ID_BITS = 26
+
+#: N-grams that a task counts at a time, and that a bucket of counts is meant to hold.
+COUNTED, BUCKET_GRAMS = 4_000_000, 4_000_000
+
 # -- sets ----------------------------------------------------------------------------------------
 
 def gram_set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
@@ -59,37 +63,6 @@ def gram_set(hashes: WordHashes, text: str | None, words: int) -> np.ndarray:
     return np.unique(windows(found, min(words, len(found)))) if len(found) else found
 
 
-def segment_keys(grams: np.ndarray, similar: Similar) -> list[tuple[int, int, np.ndarray]]:
-    """(class, spare, keys) of a set for each class of sizes that it may be similar to a set of.
-
-    Sizes are classed by powers of two. A set is cut for its own class, and for the next one if a
-    set of that could be similar. Similar sets disagree in at most as many segments as they differ
-    in n-grams, so if one holds n-grams in more segments than that, they agree on as many as it has
-    more; of its keys in any order that all sets share, it then needs only the first ones, one more
-    than the differing n-grams. ``spare`` is that number less the number of its keys. A set with
-    fewer keys needs all and has keys for its empty segments as well.
-    """
-    size, found = len(grams), []
-    own = 1 << max(size - 1, 0).bit_length()
-    classes = [own, 2 * own] if 100 * size > similar.percent * own else [own]
-    for most in classes if size else []:
-        count, differing = similar.segments(most), similar.differing(most)
-        if not differing:
-            continue
-        segment = (grams >> np.uint64(33)) % np.uint64(count)
-        order = np.argsort(segment, kind="stable")
-        held, starts = np.unique(segment[order], return_index=True)
-        sums = np.add.reduceat(finish(grams ^ np.uint64(most))[order], starts)
-        spare = differing + 1 - len(held)
-        if spare > 0:
-            empty = np.setdiff1d(np.arange(count, dtype=np.uint64), held)
-            held = np.concatenate([held, empty])
-            sums = np.concatenate([sums, np.zeros(len(empty), np.uint64)])
-            spare = 0
-        found.append((most, spare, finish(sums + (held + np.uint64(1)) * np.uint64(STEP) + np.uint64(most))))
-    return found
-
-
 def _mapped(docs: DataFrame, schema: str, answer) -> DataFrame:
     """``answer(part, hashes)`` gives the columns of ``schema`` for each slice of ``docs``."""
     names = [field.split()[0] for field in schema.split(", ")]
@@ -117,56 +90,169 @@ def digests(docs: DataFrame, similar: Similar) -> DataFrame:
     return _mapped(docs.select("doc_id", "text"), "doc_id long, size long, high long, low long", answer)
 
 
-def key_bits(keys: DataFrame) -> np.ndarray:
-    """A bit map of ``keys.key`` by their lowest bits; its size does not depend on the keys."""
-    low = F.col("key").bitwiseAND(F.lit((1 << MAP_BITS) - 1))
-    words = keys.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, int(key & 63))").alias("bit"))
-    found = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
-    bits = np.zeros(1 << (MAP_BITS - 6), np.int64)
-    bits[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return bits.view(np.uint64)
+# -- the global order ----------------------------------------------------------------------------
+
+
+class Commonness:
+    """How common n-grams are: for each slot of their hashes the highest level in it, the logarithm of
+    the number of documents, from 0 for an n-gram of one document alone to 15.
+
+    The map has a fixed size. Where more than half of its slots would be taken it holds the most
+    common n-grams only, and ``complete`` is False: an n-gram at level 0 may then be shared too.
+    """
+
+    def __init__(self, levels: np.ndarray):
+        taken = np.bincount(levels, minlength=16)
+        least = next(n for n in range(1, 17) if taken[n:].sum() * 2 <= len(levels))
+        self.complete = least == 1
+        levels = np.where(levels >= least, levels, 0)
+        self.bits = int(len(levels)).bit_length() - 1
+        self.pairs = (levels[0::2] | (levels[1::2] << 4)).astype(np.uint8)
+
+    def of(self, grams: np.ndarray) -> np.ndarray:
+        slots = grams >> np.uint64(64 - self.bits)
+        return (self.pairs[slots >> np.uint64(1)] >> ((slots & np.uint64(1)) << np.uint64(2)).astype(np.uint8)) & np.uint8(15)
+
+    def ordered(self, grams: np.ndarray) -> np.ndarray:
+        """N-grams as numbers in the global order, ascending: four bits of level and sixty of hash."""
+        return np.sort((self.of(grams).astype(np.uint64) << np.uint64(60)) | (grams >> np.uint64(4)))
+
+    def keys(self, grams: np.ndarray, similar: Similar) -> np.ndarray:
+        """Of the first of :meth:`ordered` n-grams those that other documents may have."""
+        first = grams[: similar.first(len(grams))]
+        return first[first >> np.uint64(60) > 0] if self.complete else first
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """Ascending numbers as their steps, byte by byte of each, after the count of bytes."""
+    steps = np.diff(values, prepend=np.uint64(0))
+    width = max(1, (int(steps.max()).bit_length() + 7) // 8)
+    return bytes([width]) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    width = packed[0]
+    planes = np.frombuffer(packed, np.uint8, offset=1).reshape(width, -1)
+    steps = np.zeros((planes.shape[1], 8), np.uint8)
+    steps[:, :width] = planes.T
+    return np.cumsum(steps.view("<u8").ravel(), dtype=np.uint64)
+
+
+def commonness(docs: DataFrame, similar: Similar, grams: int) -> Commonness:
+    """Count the n-grams, about ``grams`` in all, of the documents.
+
+    Each task sorts the hashes of some of its n-grams and sends them by ranges, as steps from one to the
+    next, a few bits for each. A range is counted by one task, as is the part of the map that it
+    makes; ranges grow in number with the n-grams. The map alone reaches the driver.
+    """
+    # Bits by which n-grams are told apart here; a chance agreement only makes one seem more common.
+    map_bits = min(MAP_BITS, max(16, grams.bit_length() + 3))
+    bits = min(64, max(map_bits, grams.bit_length() + 6))
+    buckets = 1 << min(map_bits - 6, max(5, (grams // BUCKET_GRAMS).bit_length()))
+
+    def send(held: list[np.ndarray]) -> pa.RecordBatch:
+        values, counts = np.unique(np.concatenate(held) >> np.uint64(64 - bits), return_counts=True)
+        cuts = np.searchsorted(values, np.arange(1, buckets, dtype=np.uint64) << np.uint64(bits - (buckets.bit_length() - 1)))
+        cuts = [0, *cuts.tolist(), len(values)]
+        rows = [
+            (n, _packed(values[a:b]), np.minimum(counts[a:b], 255).astype(np.uint8).tobytes())
+            for n, (a, b) in enumerate(zip(cuts, cuts[1:]))
+            if b > a
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[n] for r in rows], of) for n, of in enumerate((pa.int32(), pa.binary(), pa.binary()))],
+            ["bucket", "grams", "counts"],
+        )
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, held, size = WordHashes(), [], 0
+        for part in answers(batches):
+            for text in part.column(0).to_pylist():
+                held.append(gram_set(hashes, text, similar.words))
+                size += len(held[-1])
+                if size >= COUNTED:
+                    yield send(held)
+                    held, size = [], 0
+        if size:
+            yield send(held)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, held = None, []
+
+        def segment() -> pa.RecordBatch:
+            values = np.concatenate([_unpacked(grams) for grams, _ in held])
+            counts = np.concatenate([np.frombuffer(n, np.uint8) for _, n in held])
+            order = np.argsort(values, kind="stable")
+            values, starts = np.unique(values[order], return_index=True)
+            total = np.add.reduceat(counts[order].astype(np.int64), starts)
+            shared = total > 1
+            slots = 1 << (map_bits - (buckets.bit_length() - 1))
+            at = (values[shared] >> np.uint64(bits - map_bits)) & np.uint64(slots - 1)
+            levels = np.zeros(slots, np.uint8)
+            np.maximum.at(levels, at, np.minimum(np.log2(total[shared]), 15).astype(np.uint8))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([bucket], pa.int32()), pa.array([zlib.compress(levels.tobytes(), 1)], pa.binary())], ["bucket", "levels"]
+            )
 
-def keyed(docs: DataFrame, similar: Similar) -> DataFrame:
-    """``doc_id, key``: a row for each segment key of each document."""
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if row[0] != bucket:
+                    if held:
+                        yield segment()
+                    bucket, held = row[0], []
+                held.append(row[1:])
+        if held:
+            yield segment()
+
+    sent = docs.select("text").mapInArrow(count, "bucket int, grams binary, counts binary")
+    merged = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "bucket int, levels binary")
+    levels = np.zeros((buckets, (1 << map_bits) // buckets), np.uint8)
+    for row in merged.collect():
+        levels[row.bucket] = np.frombuffer(zlib.decompress(row.levels), np.uint8)
+    return Commonness(levels.ravel())
+
+
+def keyed(docs: DataFrame, similar: Similar, common) -> DataFrame:
+    """``doc_id, key``: a row for each n-gram below which a document hangs together with others."""
 
     def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
-        sets = [gram_set(hashes, text, similar.words) for text in part.column(1).to_pylist()]
-        keys = [[k for _, _, k in segment_keys(grams, similar)] for grams in sets]
-        offsets = np.concatenate([[0], np.cumsum([sum(map(len, own)) for own in keys])]).astype(np.int32)
-        flat = np.concatenate([np.zeros(0, np.uint64), *[k for own in keys for k in own]]).view(np.int64)
-        return [part.column(0), pa.ListArray.from_arrays(offsets, flat)]
+        order = common.value
+        keys = [
+            order.keys(order.ordered(gram_set(hashes, text, similar.words)), similar).view(np.int64)
+            for text in part.column(1).to_pylist()
+        ]
+        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+        return [part.column(0), pa.ListArray.from_arrays(offsets, np.concatenate([np.zeros(0, np.int64), *keys]))]
 
     found = _mapped(docs.select("doc_id", "text"), "doc_id long, keys array<long>", answer)
     return found.select("doc_id", F.explode("keys").alias("key"))
 
 
-def shared_keys(docs: DataFrame, similar: Similar, wanted) -> DataFrame:
-    """``doc_id, class, spare, key``: the keys that may be shared, by the bit map ``wanted``."""
+def _gathered(docs: DataFrame, ids: DataFrame, similar: Similar, common) -> DataFrame:
+    """``doc_id, grams`` of the documents in ``ids``, by the global order.
 
-    def sought(keys: np.ndarray) -> np.ndarray:
-        low = keys & np.uint64((1 << MAP_BITS) - 1)
-        return keys[(wanted.value[low >> np.uint64(6)] >> (low & np.uint64(63)) & np.uint64(1)).astype(bool)]
+    A bit map of the ids' lowest bits, of a fixed size, keeps most other documents from being moved.
+    """
+    low = F.col("doc_id").bitwiseAND(F.lit((1 << ID_BITS) - 1))
+    words = ids.select(F.shiftright(low, 6).alias("word"), F.expr("shiftleft(1L, int(doc_id & 63))").alias("bit"))
+    table = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bits = np.zeros(1 << (ID_BITS - 6), np.int64)
+    bits[table["word"].to_numpy()] = table["bits"].to_numpy()
+    sought = docs.sparkSession.sparkContext.broadcast(bits.view(np.uint64))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            own = own & np.uint64((1 << ID_BITS) - 1)
+            is_in = sought.value[own >> np.uint64(6)] >> (own & np.uint64(63)) & np.uint64(1)
+            yield batch.filter(pa.array(is_in.astype(bool)))
 
     def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
-        rows, classes, spares, keys = [], [], [], [np.zeros(0, np.uint64)]
-        for row, text in enumerate(part.column(1).to_pylist()):
-            for most, spare, own in segment_keys(gram_set(hashes, text, similar.words), similar):
-                own = sought(own)
-                # Fewer shared keys than must be shared: no similar set.
-                if len(own) + spare > 0:
-                    rows.append(row)
-                    classes.append(most)
-                    spares.append(spare)
-                    keys.append(own)
-        offsets = np.concatenate([[0], np.cumsum([len(k) for k in keys[1:]])]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(offsets, np.concatenate(keys).view(np.int64))
-        ids = part.column(0).take(pa.array(rows, pa.int64()))
-        return [ids, pa.array(classes, pa.int64()), pa.array(spares, pa.int64()), lists]
-
-    schema = "doc_id long, class long, spare long, keys array<long>"
-    found = _mapped(docs.select("doc_id", "text"), schema, answer)
-    return found.select("doc_id", "class", "spare", F.explode("keys").alias("key"))
+        sets = [common.value.ordered(gram_set(hashes, text, similar.words)).tobytes() for text in part.column(1).to_pylist()]
+        return [part.column(0), pa.array(sets, pa.binary())]
+
+    near = docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, text string")
+    return _mapped(near.join(ids, "doc_id", "left_semi"), "doc_id long, grams binary", answer)
 
 
 # -- the join of gathered sets -------------------------------------------------------------------
@@ -279,11 +365,11 @@ def similar_documents(docs: DataFrame, similar: Similar = Similar()) -> DataFram
     one node: it has the links of all of them. Other columns are ignored; an empty table gives no
     rows.
 
-    Equal sets are a class, represented by its smallest ``doc_id``. Representatives with a common
-    segment key are linked to the smallest that has it, and these links gather every similar pair in
-    a unit. Large units are cut at random into blocks of a bounded size, and every two blocks are
-    joined by a task of their own, which returns a spanning forest of the links and not the links
-    themselves.
+    Equal sets are a class, represented by its smallest ``doc_id``. Representatives that hang below a
+    common n-gram are linked to the smallest of them, and these links gather every similar pair in a
+    unit. Large units are cut at random into blocks of a bounded size. All blocks are joined with the
+    first, which mostly shows that they hang together; what does not is then joined with all. A join is
+    a task of its own, which returns a spanning forest of the links and not the links themselves.
     """
     known = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sets = stage(digests(known, similar), "jaccard-sets")
@@ -298,7 +384,11 @@ def similar_documents(docs: DataFrame, similar: Similar = Similar()) -> DataFram
         usable.join(copied, digest).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     )
 
-    links = gathered_links(known.where("doc_id is not null"), classes, similar)
+    # Documents that are copies and nothing else hang nowhere.
+    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
+    copies = stage(of_class.select(F.col("b").alias("doc_id")).distinct().join(reps, "doc_id", "left_anti"), "jaccard-copies")
+    own = known.where("doc_id is not null").join(broadcast_within(copies), "doc_id", "left_anti")
+    links = gathered_links(own, classes, similar)
     joined = components(stage(links.unionByName(of_class), "jaccard-links"))
     found = joined.select(F.col("node").alias("doc_id"), "component")
     return sets.join(found, "doc_id", "left").select(
@@ -310,60 +400,52 @@ def similar_documents(docs: DataFrame, similar: Similar = Similar()) -> DataFram
 
 def gathered_links(docs: DataFrame, classes: DataFrame, similar: Similar) -> DataFrame:
     """``a, b``: links that join all similar representatives, by blocks of gathered sets."""
-    # The smallest document with a key is the representative of its class.
-    hubs = stage(
-        keyed(docs, similar)
-        .groupBy("key")
-        .agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last"), F.count("*").alias("n"))
-        .where("last > hub")
-        .select("key", "hub", "n"),
-        "jaccard-hubs",
-    )
-    # Most keys belong to one document; those that do not are told by a bit map of a fixed size
-    # before they are shuffled once more.
-    wanted = docs.sparkSession.sparkContext.broadcast(key_bits(hubs))
-    shared = shared_keys(docs, similar, wanted).join(hubs, "key")
-    # Of each document's keys, rarest first, only those are needed that force an agreement. Keys of
-    # one document alone come before all that are shared.
-    own = Window.partitionBy("doc_id", "class")
-    needed = shared.select(
-        "doc_id",
-        "hub",
-        (F.count("*").over(own) + F.col("spare")).alias("most"),
-        F.row_number().over(own.orderBy("n", "key")).alias("nth"),
-    ).where("nth <= most")
-    near = needed.where("doc_id <> hub").select("hub", "doc_id").distinct()
-    reps = classes.select(F.col("rep").alias("doc_id")).distinct()
-    edges = near.join(reps, "doc_id", "left_semi").select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
-    edges = stage(edges, "jaccard-edges")
+    total = classes.agg(F.sum("size").alias("grams")).first()["grams"] or 0
+    common = docs.sparkSession.sparkContext.broadcast(commonness(docs, similar, total))
+    keys = stage(keyed(docs, similar, common), "jaccard-keys")
+    hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("last > hub")
+    near = keys.join(hubs.drop("last"), "key").where("doc_id <> hub").select("hub", "doc_id").distinct()
+    edges = stage(near.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "jaccard-edges")
     units = stage(_units(edges, classes), "jaccard-units")
-    placed = stage(
-        units.groupBy("doc_id").agg(F.collect_list(F.struct("unit", "blocks", "block")).alias("places")), "jaccard-placed"
+    sets = stage(_gathered(docs, units.select("doc_id").distinct(), similar, common), "jaccard-gathered")
+
+    # Every block meets the first one of its unit.
+    other = F.explode(F.when(F.col("block") == 0, F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block")))
+    zero = F.lit(0).cast("long")
+    at_first = units.select(
+        "doc_id", "unit", zero.alias("i"), other.alias("j"), "block"
+    ).select("doc_id", "unit", "i", "j", ((F.col("block") == 0) & (F.col("j") > 0)).cast("int").alias("side"))
+    first = stage(_joined(sets, at_first, similar), "jaccard-first-links")
+
+    # What is not joined to most of its unit by then meets all of it.
+    wide = units.where("blocks > 1")
+    known = components(first).select(F.col("node").alias("doc_id"), "component")
+    named = stage(
+        wide.join(known, "doc_id", "left").withColumn("component", F.coalesce("component", "doc_id")), "jaccard-wide-units"
     )
-    # Places grow with the documents and their stars; only Spark's own limit in bytes may send them.
-    chosen = docs.join(placed, "doc_id")
-
-    def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
-        sets = [gram_set(hashes, text, similar.words).tobytes() for text in part.column(2).to_pylist()]
-        return [part.column(0), part.column(1), pa.array(sets, pa.binary())]
-
-    schema = "doc_id long, places array<struct<unit:long,blocks:long,block:long>>, grams binary"
-    stored = _mapped(chosen.select("doc_id", "places", "text"), schema, answer)
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    pairs = (
-        stored.select("doc_id", "grams", F.inline("places"))
-        .withColumn("other", other)
-        .select(
-            "unit",
-            F.least("block", "other").alias("i"),
-            F.greatest("block", "other").alias("j"),
-            (F.col("block") > F.col("other")).cast("int").alias("side"),
-            "doc_id",
-            "grams",
-        )
+    most = named.groupBy("unit", "component").agg(F.count("*").alias("n")).groupBy("unit").agg(
+        F.max(F.struct("n", "component"))["component"].alias("most")
+    )
+    rest = named.join(most, "unit").where("component <> most").drop("component", "most")
+    sizes = classes.groupBy(F.col("rep").alias("doc_id")).agg(F.max("size").alias("size"))
+    rest = stage(rest.join(sizes, "doc_id"), "jaccard-rest")
+    parts = rest.groupBy("unit").agg(
+        F.greatest(F.ceil(F.sum("size") / BLOCK_GRAMS), F.ceil(F.count("*") / BLOCK_SETS)).alias("parts")
     )
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+    stored = wide.join(parts, "unit").select("doc_id", "unit", every("parts").alias("i"), F.col("block").alias("j"), F.lit(1).alias("side"))
+    part = F.pmod(F.xxhash64("doc_id", F.lit(1)), "parts")
+    probes = rest.join(parts, "unit").select("doc_id", "unit", part.alias("i"), every("blocks").alias("j"), F.lit(0).alias("side"))
+    return first.unionByName(_joined(sets, stored.unionByName(probes), similar))
+
+
+def _joined(sets: DataFrame, places: DataFrame, similar: Similar) -> DataFrame:
+    """Links of the sets at ``places(doc_id, unit, i, j, side)``."""
     group = ["unit", "i", "j"]
-    return _block_links(pairs.repartition(*group).sortWithinPartitions(*group), similar)
+    # Places grow with the documents and their stars; only Spark's own limit in bytes may send them.
+    listed = places.groupBy("doc_id").agg(F.collect_list(F.struct(*group, "side")).alias("places"))
+    placed = sets.join(listed, "doc_id").select("doc_id", "grams", F.inline("places")).select(*group, "side", "doc_id", "grams")
+    return _block_links(placed.repartition(*group).sortWithinPartitions(*group), similar)
 
 
 def _units(edges: DataFrame, classes: DataFrame) -> DataFrame:
@@ -371,7 +453,7 @@ def _units(edges: DataFrame, classes: DataFrame) -> DataFrame:
 
     Two sets with a common key have a common hub, so both the component of a hub and its star, the
     sets linked to it, hold every pair to be compared. A component is a unit if that moves less than
-    its stars do, each cut into as many blocks as it needs; every block meets every other one.
+    its stars do, each cut into as many blocks as it needs.
     """
     sizes = classes.groupBy(F.col("rep").alias("node")).agg(F.max("size").alias("size"))
     members = stage(components(edges).join(sizes, "node"), "jaccard-members")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm.features import gram_counts, inverse_frequency, weighted
 from lakeloom.llm.pieces import answers
+from lakeloom.sources.staging import stage
 
 UNDETERMINED = "und"
 
@@ -26,15 +27,17 @@ _LETTER = regex.compile(r"\p{L}")
 
 @dataclass(frozen=True)
 class LanguageFit:
-    """``sample`` is the bound on the labelled texts that the centroids are made of, shared evenly
-    by the languages; everything else is counted over all rows. A text is rejected if its cosine is
-    more than the share ``room`` below the ``outliers`` quantile of its centroid's own texts."""
+    """``sample`` is the bound on the labelled texts that the centroids are made of, shared evenly by the
+    languages, of which each gives one at least; everything else is counted over all rows. A text is
+    rejected if its cosine is more than the share ``room`` below the ``outliers`` quantile of its centroid's
+    own texts, of ``least_cosines`` or more; with fewer, those of the language and then of all count."""
 
     sample: int = 2000
     centroids: int = 4
     bits: int = 12
     outliers: float = 0.01
     room: float = 0.25
+    least_cosines: int = 50
     seed: int = 5
 
 
@@ -43,13 +46,6 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(True))
 
 
-#: Characters from the start of a learned text that tell how near short texts come.
-HEAD_CHARS = 2048
-
-#: Cosines that a quantile is taken of; with fewer, those of the language and then of all count.
-LEAST_COSINES = 50
-
-
 def _classes(counts: np.ndarray) -> np.ndarray:
     """Half octaves of the different n-grams of a text; its cosine with any centroid grows with them."""
     return (2 * np.log2(np.maximum((counts > 0).sum(1), 1))).astype(int)
@@ -57,40 +53,47 @@ def _classes(counts: np.ndarray) -> np.ndarray:
 
 class Centroids:
     """Unit centroids with their language and, for each class of texts, the least cosine that they
-    accept. ``heads`` are the starts of the texts that ``counts`` are of."""
+    accept, 0 until :meth:`limit` is told how near learned texts come."""
 
-    def __init__(self, counts: np.ndarray, languages: np.ndarray, heads: list[str], fit: LanguageFit):
-        self.fit, self.bits, self.idf = fit, fit.bits, inverse_frequency(counts)
+    def __init__(self, counts: np.ndarray, languages: np.ndarray, idf: np.ndarray, fit: LanguageFit):
+        self.fit, self.bits, self.idf = fit, fit.bits, idf
         vectors, rng = weighted(counts, self.idf), np.random.default_rng(fit.seed)
-        names, units, seen = [], [], [np.zeros((0, 3))]
+        names, units, sums, self.places = [], [], [], {}
         for language in sorted(set(languages.tolist())):
-            rows = np.flatnonzero(languages == language)
-            own = vectors[rows]
+            own = vectors[languages == language]
             found = self._cluster(own, min(fit.centroids, len(own)), rng)
             used, nearest = np.unique((own @ found.T).argmax(1), return_inverse=True)
-            found = found[used]
-            sums = np.stack([own[nearest == n].sum(0) for n in range(len(found))])
-            for row, vector, n in zip(rows.tolist(), own, nearest.tolist()):
-                # A text is held against the centroids as they would be without it.
-                rest, others = sums[n] - vector, found.copy()
-                norm = float(np.linalg.norm(rest))
-                others[n] = rest / norm if norm > 1e-4 else 0
-                if others.any():
-                    parts = np.concatenate([counts[row][None], *self._starts(heads[row])])
-                    cosines = weighted(parts, self.idf) @ others.T
-                    seen.append(np.stack([len(names) + cosines.argmax(1), _classes(parts), cosines.max(1)], 1))
-            names += [language] * len(found)
-            units += list(found)
-        self.names, self.units = names, np.array(units)
-        self.least = self._limits(np.concatenate(seen))
-
-    def _starts(self, head: str) -> Iterator[np.ndarray]:
-        """Counts of the starts of a text that hold a letter, of one character and twice as many each time."""
+            self.places[language] = slice(len(names), len(names) + len(used))
+            names += [language] * len(used)
+            units += list(found[used])
+            sums += [own[nearest == n].sum(0) for n in range(len(used))]
+        self.names, self.units, self.sums = names, np.array(units), np.array(sums)
+        self.least = np.zeros((len(names), 2 * self.bits + 1))
+
+    def nearness(self, language: str, text: str) -> np.ndarray:
+        """(centroid, class, cosine) of a learned text and of its starts that hold a letter, of one
+        character and twice as many each time, held against the centroids as they would be without it."""
+        own = self.places[language]
+        counts = [gram_counts(text, self.bits, letters=True)]
         size = 1
-        while size < len(head):
-            if _LETTER.search(head[:size]):
-                yield gram_counts(head[:size], self.bits, letters=True)[None]
+        while size < len(text):
+            if _LETTER.search(text[:size]):
+                counts.append(gram_counts(text[:size], self.bits, letters=True))
             size *= 2
+        parts = np.stack(counts)
+        vector, others = weighted(parts[:1], self.idf)[0], self.units[own].copy()
+        nearest = (others @ vector).argmax()
+        rest = self.sums[own][nearest] - vector
+        norm = float(np.linalg.norm(rest))
+        others[nearest] = rest / norm if norm > 1e-4 else 0
+        if not others.any():
+            return np.zeros((0, 3))
+        cosines = weighted(parts, self.idf) @ others.T
+        return np.stack([own.start + cosines.argmax(1), _classes(parts), cosines.max(1)], 1)
+
+    def limit(self, seen: np.ndarray) -> None:
+        """Take the limits from rows of :meth:`nearness`."""
+        self.least = self._limits(seen)
 
     def _limits(self, seen: np.ndarray) -> np.ndarray:
         """Least cosine by centroid and class, from rows of (centroid, class, cosine)."""
@@ -101,7 +104,7 @@ class Centroids:
             for c in range(limits.shape[1]):
                 here = seen[:, 1] == c
                 choices = (here & (seen[:, 0] == n), here & same, here)
-                found = next((seen[rows, 2] for rows in choices if rows.sum() >= LEAST_COSINES), None)
+                found = next((seen[rows, 2] for rows in choices if rows.sum() >= self.fit.least_cosines), None)
                 if found is not None:
                     limits[n, c] = (1 - self.fit.room) * float(np.quantile(found, self.fit.outliers))
                 elif c:
@@ -120,7 +123,8 @@ class Centroids:
         return centres
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float], list[bool]]:
-        """Language, cosine and whether the text is rejected, for each text."""
+        """Language, cosine and whether the text is rejected, for each text; of equally near centroids
+        the first counts, by language."""
         known = [n for n, text in enumerate(texts) if text and _LETTER.search(text)]
         languages, scores, rejected = [UNDETERMINED] * len(texts), [0.0] * len(texts), [True] * len(texts)
         if known and self.names:
@@ -133,34 +137,69 @@ class Centroids:
         return languages, scores, rejected
 
 
+def document_frequency(texts: DataFrame, bits: int, letters: bool = False) -> tuple[int, np.ndarray]:
+    """Rows of ``texts(text)`` that are not NULL, and in how many of them each hashed n-gram occurs.
+
+    Each task sends one number for each n-gram hash; what reaches the driver has a fixed length.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = np.zeros(1 + (1 << bits), np.int64)
+        for part in answers(batches):
+            for text in part.column(0).to_pylist():
+                if text is not None:
+                    found[0] += 1
+                    found[1:] += gram_counts(text.lower() if letters else text, bits, letters=letters) > 0
+        used = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(found[used])], ["place", "n"])
+
+    total = np.zeros(1 + (1 << bits), np.int64)
+    for row in texts.select("text").mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).collect():
+        total[row.place] = row.n
+    return int(total[0]), total[1:]
+
+
 def fit_languages(docs: DataFrame, fit: LanguageFit = LanguageFit()) -> Centroids:
     """Learn from text and non-NULL ``lang`` of the rows that are not held out.
 
-    The languages are counted over all such rows, then each gives about its share of the sample,
-    chosen by a hash. Only the sample's n-gram counts, a vector of fixed length for each text, and
-    its first :data:`HEAD_CHARS` characters reach the driver, at most twice the sample's bound.
+    Languages and in how many texts each n-gram occurs are counted over all such rows. Then each language
+    gives about its share of the sample, chosen by a hash, and at least the text with the least hash. Only
+    n-gram counts of the sample, a vector of fixed length for each text, reach the driver, and then how
+    near these texts and their starts come to the centroids, for which the tasks read them again, whole.
     """
     train = docs.select("doc_id", "text", "lang").where(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(fit.sample).collect()}
-    share = fit.sample / max(len(counts), 1)
-    spread = (F.pmod(F.xxhash64("doc_id", "text", F.lit(fit.seed)), F.lit(1 << 30)) / F.lit(1 << 30)).alias("spread")
-    chance = F.element_at(F.create_map(*[x for c, n in counts.items() for x in (F.lit(c), F.lit(min(1.0, share / n)))]), F.col("lang")) if counts else F.lit(0.0)
-    sampled = train.select("lang", "text", spread, chance.alias("chance")).where("spread < chance")
+    spread = F.pmod(F.xxhash64("doc_id", "text", F.lit(fit.seed)), F.lit(1 << 30)) / F.lit(1 << 30)
+    spread_out = train.select("lang", "text", spread.alias("spread"))
+    # One row for each language, as the model has.
+    languages = stage(spread_out.groupBy("lang").agg(F.count("*").alias("n"), F.min("spread").alias("least")), "languages")
+    share = fit.sample / max(languages.count(), 1)
+    taken = (F.col("spread") * F.col("n") < share) | (F.col("spread") <= F.col("least"))
+    sampled = spread_out.join(F.broadcast(languages), "lang").where(taken).select("lang", "text").distinct()
+    sampled = stage(sampled, "language-sample")
     bits = fit.bits
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in answers(batches):
-            texts = [t.lower() for t in part.column(1).to_pylist()]
-            counted = [gram_counts(t, bits, letters=True).astype("<u4").tobytes() for t in texts]
-            heads = [t[:HEAD_CHARS] for t in texts]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counted, pa.binary()), pa.array(heads, pa.string())], ["lang", "counts", "head"])
+            counted = [gram_counts(t.lower(), bits, letters=True).astype("<u4").tobytes() for t in part.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counted, pa.binary())], ["lang", "counts"])
 
-    table = sampled.select("lang", "text").mapInArrow(run, "lang string, counts binary, head string").limit(2 * fit.sample).toArrow()
-    vectors, heads = [np.frombuffer(c, "<u4") for c in table["counts"].to_pylist()], table["head"].to_pylist()
+    table = sampled.mapInArrow(count, "lang string, counts binary").toArrow().to_pylist()
     # A fixed order, so that the clusters do not depend on how the rows arrive.
-    order = sorted(range(len(vectors)), key=lambda n: (table["lang"][n].as_py(), vectors[n].tobytes(), heads[n]))
-    counts_of = np.stack([vectors[n] for n in order]) if order else np.zeros((0, 1 << bits), np.uint32)
-    return Centroids(counts_of, np.array([table["lang"][n].as_py() for n in order], object), [heads[n] for n in order], fit)
+    table.sort(key=lambda r: (r["lang"], r["counts"]))
+    counts = np.stack([np.frombuffer(r["counts"], "<u4") for r in table]) if table else np.zeros((0, 1 << bits), np.uint32)
+    rows, frequency = document_frequency(train, bits, letters=True)
+    centroids = Centroids(counts, np.array([r["lang"] for r in table], object), inverse_frequency(rows, frequency), fit)
+    model = docs.sparkSession.sparkContext.broadcast(centroids)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in answers(batches):
+            pairs = zip(part.column(0).to_pylist(), part.column(1).to_pylist())
+            seen = np.concatenate([np.zeros((0, 3)), *[model.value.nearness(lang, text.lower()) for lang, text in pairs]])
+            yield pa.RecordBatch.from_arrays([pa.array(seen[:, n]) for n in range(3)], ["centroid", "class", "cosine"])
+
+    seen = sampled.mapInArrow(near, "centroid double, class double, cosine double").toArrow()
+    centroids.limit(np.stack([seen[name].to_numpy() for name in ("centroid", "class", "cosine")], 1).reshape(-1, 3))
+    return centroids
 
 
 def identify(docs: DataFrame, centroids: Centroids) -> DataFrame:

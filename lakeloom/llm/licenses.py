@@ -2,8 +2,10 @@
 
 Every rolling pair of words of a document is joined by hash to the places it has in the templates.
 A hit at word ``p`` of the document and word ``t`` of a template votes for the diagonal ``p - t``.
-A diagonal on which every pair of a template voted is a verbatim occurrence; neighbouring diagonals
-are merged to find occurrences with words inserted or left out.
+A diagonal on which every pair of a template voted is a verbatim occurrence. Neighbouring diagonals are
+merged to find occurrences with words inserted or left out: those within a bounded distance of one
+another, so that an occurrence is never much longer than its template, and its hits must follow one
+another in the document as they do in the template.
 """
 
 from __future__ import annotations
@@ -13,6 +15,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakeloom.sources.staging import stage
+
 # Phrases whose every place counts, with their labels.
 PHRASES = {
     "gnu general public license": "gpl",
@@ -45,10 +49,10 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 @dataclass(frozen=True)
 class Voting:
-    """``drift``: how far apart diagonals of one occurrence may lie; ``cover``: the share of a
-    sentence's pairs that must have voted."""
+    """``drift``: words that an occurrence may have more or less than its template, between its first and
+    its last hit; ``cover``: the share of a sentence's pairs that must be found in their order."""
 
-    drift: int = 3
+    drift: int = 8
     cover: float = 0.7
 
 
@@ -101,14 +105,14 @@ def votes(docs: DataFrame) -> DataFrame:
 def spans(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:
     """``doc_id, text_hash, label, verbatim, start, stop, cover``: verified occurrences.
 
-    ``start`` and ``stop`` are words of the document, from 0, ``stop`` excluded. A verbatim phrase
-    must fill its diagonal. A sentence's diagonals are merged while they lie within ``drift`` of the
-    one before; together they must cover the share ``cover`` of its pairs.
+    ``start`` and ``stop`` are words of the document, from 0, ``stop`` excluded. A verbatim phrase must fill
+    its diagonal. For a sentence every diagonal is merged with those up to ``drift`` further on. Enough
+    hits make it a candidate. It is verified by going through the template's pairs in order and taking
+    for each the first hit behind the one before; these must be the share ``cover`` of its pairs. Of
+    candidates that lie within ``drift`` of each other the best one counts, then the first.
     """
     of_document = ["doc_id", "text_hash", "template", "label", "verbatim", "pairs"]
-    diagonals = votes(docs).groupBy(*of_document, "diagonal").agg(
-        F.collect_set("at").alias("ats"), F.min("at").alias("low"), F.max("at").alias("high")
-    )
+    diagonals = stage(votes(docs).groupBy(*of_document, "diagonal").agg(F.collect_set("at").alias("ats")), "license-diagonals")
     phrases = diagonals.where(F.col("verbatim") & (F.size("ats") == F.col("pairs"))).select(
         "doc_id", "text_hash", "label", "verbatim",
         F.col("diagonal").alias("start"),
@@ -116,21 +120,35 @@ def spans(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:
         F.lit(1.0).alias("cover"),
     )
     along = Window.partitionBy("doc_id", "text_hash", "template").orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(along) > voting.drift
-    banded = (
+    ahead, behind = along.rangeBetween(0, voting.drift), along.rangeBetween(-voting.drift, 0)
+    around = along.rangeBetween(-voting.drift, voting.drift)
+    enough = F.ceil(F.col("pairs") * voting.cover)
+    # Most documents have a few hits of common words; only diagonals near enough of them go on.
+    hopeful = (
         diagonals.where(~F.col("verbatim"))
-        .withColumn("opens", F.coalesce(apart, F.lit(True)).cast("int"))
-        .withColumn("band", F.sum("opens").over(along))
+        .withColumn("opens", F.sum(F.size("ats")).over(ahead) >= enough)
+        .withColumn("near", F.max("opens").over(behind))
+        .where("near")
     )
-    merged = banded.groupBy(*of_document, "band").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("covered"),
-        F.min(F.col("diagonal") + F.col("low")).alias("start"),
-        (F.max(F.col("diagonal") + F.col("high")) + 2).alias("stop"),
-    )
-    sentences = merged.withColumn("cover", F.col("covered") / F.col("pairs")).where(
-        F.col("cover") >= voting.cover
+    hits = F.transform("ats", lambda at: F.struct(at.alias("at"), (at + F.col("diagonal")).alias("place")))
+    held = hopeful.withColumn("hits", F.flatten(F.collect_list(hits).over(ahead))).where("opens")
+    none = F.struct(*[F.lit(-1).cast("long").alias(c) for c in ("at", "place", "first")], F.lit(0).alias("count"))
+
+    def follow(done: Column, hit: Column) -> Column:
+        """The hits taken so far with the next one, if it is of a later pair and lies behind them."""
+        fits = (hit["at"] > done["at"]) & (hit["place"] > done["place"])
+        first = F.when(done["count"] == 0, hit["place"]).otherwise(done["first"])
+        taken = F.struct(hit["at"].cast("long").alias("at"), hit["place"].alias("place"), first.alias("first"), (done["count"] + 1).alias("count"))
+        return F.when(fits, taken).otherwise(done)
+
+    chained = held.withColumn("chain", F.aggregate(F.array_sort("hits"), none, follow)).where(F.col("chain.count") >= enough)
+    best = chained.withColumn("best", F.max(F.struct(F.col("chain.count"), -F.col("diagonal"))).over(around))
+    sentences = best.where(F.col("best.col2") == -F.col("diagonal")).select(
+        "doc_id", "text_hash", "label", "verbatim",
+        F.col("chain.first").alias("start"), (F.col("chain.place") + 2).alias("stop"),
+        (F.col("chain.count") / F.col("pairs")).alias("cover"),
     )
-    return phrases.unionByName(sentences.select(*phrases.columns))
+    return phrases.unionByName(sentences)
 
 
 def scan(docs: DataFrame, voting: Voting = Voting()) -> DataFrame:

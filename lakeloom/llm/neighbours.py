@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.features import SHAPES, gram_counts, inverse_frequency, shape_rates, weighted
-from lakeloom.llm.language import held_out
+from lakeloom.llm.language import document_frequency, held_out
 from lakeloom.llm.pieces import answers
 
 
@@ -44,9 +44,10 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 class Neighbours:
     """Labelled vectors in the latent space, and the way there."""
 
-    def __init__(self, counts: np.ndarray, shapes: np.ndarray, labels: np.ndarray, fit: NeighbourFit, usual: float = 0.5):
-        self.fit, self.labels, self.usual = fit, labels.astype(np.float64), usual
-        self.idf = inverse_frequency(counts)
+    def __init__(
+        self, counts: np.ndarray, shapes: np.ndarray, labels: np.ndarray, idf: np.ndarray, fit: NeighbourFit, usual: float = 0.5
+    ):
+        self.fit, self.labels, self.usual, self.idf = fit, labels.astype(np.float64), usual, idf
         self.space = np.zeros((counts.shape[1] + len(SHAPES), 1), np.float32)
         terms = self._terms(counts, shapes)
         if len(terms):
@@ -93,8 +94,8 @@ def _features(texts: list[str | None], bits: int) -> tuple[np.ndarray, np.ndarra
 def fit_quality(docs: DataFrame, labels: DataFrame, fit: NeighbourFit = NeighbourFit()) -> Neighbours:
     """Learn from ``labels(doc_id, quality)`` of documents that are not held out.
 
-    Labels are counted over all such rows; each of 0 and 1 gives about half of the sample, chosen by
-    a hash of its id. Labels other than 0 and 1 and NULLs are left out; of different labels for one
+    Labels are counted over all such rows, and in how many texts each n-gram occurs over all documents
+    that are not held out; each of 0 and 1 gives about half of the sample, chosen by a hash of its id. Labels other than 0 and 1 and NULLs are left out; of different labels for one
     document the greatest counts. The chosen ids are bounded, so they are sent to the scan of the
     documents, and only vectors of fixed length, at most twice the bound, reach the driver.
     """
@@ -127,7 +128,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, fit: NeighbourFit = Neighbou
     found = np.stack([np.frombuffer(r["counts"], "<u4") for r in rows]) if rows else empty[0]
     shapes = np.stack([np.frombuffer(r["shapes"], "<f8") for r in rows]) if rows else empty[1]
     usual = counts.get(1, 0) / sum(counts.values()) if counts else 0.5
-    return Neighbours(found, shapes, np.array([r["quality"] for r in rows]), fit, usual)
+    idf = inverse_frequency(*document_frequency(docs.where(~held_out()), bits))
+    return Neighbours(found, shapes, np.array([r["quality"] for r in rows]), idf, fit, usual)
 
 
 def score_quality(docs: DataFrame, neighbours: Neighbours, block: int = 256) -> DataFrame:

@@ -17,6 +17,9 @@ from lakeloom.sources.staging import stage
 #: Bytes that a record counts for besides its text.
 RECORD_BYTES = 16
 
+#: Bytes of records that a task of pass two reads.
+TASK_BYTES = 64 << 20
+
 # Buckets are numbered in blocks, so that no window holds more than a block or the list of blocks.
 _BLOCK = 4096
 
@@ -67,6 +70,7 @@ def shuffle_into_shards(
     total = sized.agg(F.sum("size").alias("bytes")).first()["bytes"] or 0
     least = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = max(least, math.ceil(total / bucket_bytes))
+    tasks = max(least, math.ceil(total / TASK_BYTES))
 
     place = F.monotonically_increasing_id()
     scattered = sized.withColumn("place", place).select(
@@ -80,7 +84,7 @@ def shuffle_into_shards(
 
     entries = F.sort_array(F.collect_list(F.struct("place", "size", "record")))
     permuted = (
-        stored.repartition("bucket")
+        stored.repartition(tasks, "bucket")
         .groupBy("bucket")
         .agg(entries.alias("entries"))
         .join(offsets, "bucket")

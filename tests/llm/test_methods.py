@@ -285,16 +285,19 @@ def test_gathered_documents_are_joined_by_a_shuffle(spark, documents, monkeypatc
     assert not any("places" in columns for columns in hinted)
 
 
-def test_every_similar_pair_shares_a_key():
+@pytest.mark.parametrize("complete", [True, False])
+def test_every_similar_pair_shares_a_key(complete):
     rng, hashes, similar = random.Random(8), WordHashes(), jaccard.Similar()
     for size in (6, 7, 12, 31, 33, 64, 65, 130):
         made = [jaccard.gram_set(hashes, t, 4) for t in family(rng, size + 3, 30, max(1, size // 40))]
         made += [np.sort(m[: max(1, int(len(m) * 0.86))]) for m in made]
-        # The first keys in an order that all sets share, here that of the keys themselves.
-        keys = [
-            {k for _, spare, own in jaccard.segment_keys(m, similar) for k in sorted(own.tolist())[: len(own) + spare]}
-            for m in made
-        ]
+        # The map says for some n-grams how common they are; where it is complete, for all that are shared.
+        grams, counts = np.unique(np.concatenate(made), return_counts=True)
+        levels = np.zeros(1 << 16, np.uint8)
+        np.maximum.at(levels, grams[counts > 1] >> np.uint64(48), np.log2(counts[counts > 1]).astype(np.uint8))
+        common = jaccard.Commonness(levels if complete else np.where(np.arange(1 << 16) % 3 == 0, levels, 0).astype(np.uint8))
+        common.complete = complete
+        keys = [set(common.keys(common.ordered(m), similar).tolist()) for m in made]
         for a in range(len(made)):
             for b in range(a):
                 both = len(np.intersect1d(made[a], made[b]))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from lakeloom.operators import dims, gold, incremental, quality, scd2, silver
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, tables
+from lakeloom.sources.ledger import alone
 from lakeloom.sources.staging import remove, scope, stage
 
 SNAPSHOT_KEY = "aircraft_id"
@@ -53,28 +54,31 @@ class Lake:
     def source(self, name: str) -> DataFrame:
         return self.table(SOURCES[name])
 
-    def ingest(self, csv_path: str, header: bool = False) -> None:
+    def ingest(self, csv_path: str, header: bool = False, set_aside: bool = False) -> None:
         """Raw CSV to bronze; replaces what is there.
 
         The splits of the scan become the files. Where the scan has fewer splits than its size asks
         for, as over compressed files, which cannot be split, the rows are dealt out evenly.
+
+        Lines with too few or too many fields are filled up or cut off; with ``set_aside`` they go whole
+        to ``flight_rejected`` instead, with why.
         """
         raw = ingest.read_raw_csv(self.spark, csv_path, FLIGHT_RAW, header)
+        if set_aside:
+            lines = ingest.read_raw_csv(self.spark, csv_path, FLIGHT_RAW, header, line="_line")
+            rejected = ingest.bad_lines(lines, "_line")
+            tables.write_overwrite(layout.balanced(rejected), self.name("flight_rejected"), self.path("bronze", "rejected"))
+            raw = ingest.good_lines(lines, "_line")
         wanted = layout.partitions_for(layout.estimated_bytes(raw))
         few = raw.rdd.getNumPartitions() < wanted
         sized = layout.sized_repartition(raw, shuffle=few)
         tables.write_overwrite(sized, self.name("flight_raw"), self.path("bronze", "flight"))
 
-    def stored(self, layer: str, table: str) -> int:
-        return layout.stored_bytes(self.spark, self.path(layer, table))
-
-    def refine(self, batch_id: str, files: int = 2) -> None:
+    def refine(self, batch_id: str) -> None:
         """Bronze to silver as one batch; running a batch again replaces it."""
-        raw = self.source("raw_flight")
-        typed = silver.conform(silver.dedupe(raw))
-        sized = layout.compact(typed, files, size_bytes=self.stored("bronze", "flight"))
+        typed = silver.conform(silver.dedupe(self.source("raw_flight")))
         tables.write_append(
-            sized, self.name("flight"), self.path("silver", "stage_flight"), batch_id=batch_id
+            layout.balanced(typed), self.name("flight"), self.path("silver", "stage_flight"), batch_id=batch_id
         )
 
     def flights(self) -> DataFrame:
@@ -84,11 +88,10 @@ class Lake:
         with scope(self.spark):
             tables.write_overwrite(dims.dim_airport(self.flights()), self.name("dim_airport"))
 
-    def build_aircraft(self, files: int = 4) -> None:
+    def build_aircraft(self) -> None:
         with scope(self.spark):
             static = dims.dim_aircraft_static(self.flights(), self.table("dim_airport"))
-            sized = layout.compact(static, files, size_bytes=self.stored("silver", "stage_flight"))
-            tables.write_overwrite(sized, self.name("dim_aircraft"))
+            tables.write_overwrite(layout.balanced(static), self.name("dim_aircraft"))
 
     def load_passengers(self, batch_id: str | None = None) -> None:
         """Append the passengers whose key is not there yet, of all flights or of one batch, of
@@ -123,8 +126,13 @@ class Lake:
         the closed ones of the moments published so far, which only grow. Replacing the view is the
         one step that publishes a run: before it readers see the last run, and what a run that broke
         off has written is not seen and is removed by the next one. The last two folders of open
-        versions stay for readers.
+        versions stay for readers. One snapshot runs at a time; another fails with
+        :class:`lakeloom.sources.ledger.Taken` and shows nothing.
         """
+        with alone(self.spark, f"{self.path('gold', 'scd_dim_aircraft')}/_running", {"as_of": str(as_of)}):
+            self._take_snapshot(as_of, prefix, check, flights)
+
+    def _take_snapshot(self, as_of: datetime | str, prefix: str, check: bool, flights: DataFrame | None) -> None:
         published = self._published()
         moment = self.spark.range(1).select(
             F.date_format(scd2.moment_of(as_of), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("m")

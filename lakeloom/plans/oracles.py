@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lakeloom.operators.dims import PROFILE_COLUMNS
-from lakeloom.plans.queries import LEFT_OUT, PASSENGER_CUT, SNAPSHOTS
+from lakeloom.plans.queries import LATE_ORDERS, LEFT_OUT, PASSENGER_CUT, SNAPSHOTS, WANTED_CUSTOMERS, WANTED_ORDERS
 from lakeloom.schemas import FLIGHT_RAW_COLUMNS
 
 _RAW = """
@@ -247,6 +247,8 @@ from (
   from roles group by aircraft_id, airplane_model
 )"""
 
+_CODE = "case when o_custkey % 40 <> 7 then lpad(cast(o_custkey % 40 as varchar), 3, '0') end"
+
 _TOP_COST = (
     f"select * from ({_GOLD}) order by avg_cost desc, aircraft_id, passenger_flight_class limit 5"
 )
@@ -345,8 +347,8 @@ ORACLES: dict[str, str] = {
         f"select * from (select {_LOST_CLASS} from raw) where "
         + " or ".join(f"{c} is null" for c in FLIGHT_RAW_COLUMNS)
     ),
-    # Files are not seen in SQL, so the statistics are compared summed up over all files.
-    "file_stats": "select count(*) as num_records, "
+    # Files are not seen in SQL; each of the given tables is one.
+    "file_stats": "select 'lineitem.parquet' as file_name, count(*) as num_records, "
     + ", ".join(
         f"min({c}) as min_{c}, max({c}) as max_{c}, count(*) - count({c}) as nulls_{c}"
         for c in ("l_orderkey", "l_quantity", "l_returnflag", "l_shipdate")
@@ -361,9 +363,44 @@ ORACLES: dict[str, str] = {
         select event_id, cast(json_extract(props, '$.k') as int) as k from events""",
     "csv_roundtrip": _raw("select * from raw"),
     "json_roundtrip": "select * from events",
+    "key_profile_batches": """
+        select 'o_custkey' as column, count(*) as num_records, count(o_custkey) as cnt, true as within_error from orders
+        union all
+        select 'o_orderkey', count(*), count(o_orderkey), true from orders""",
+    "csv_good_lines": """
+        select cast(o_orderkey as varchar) as o_orderkey,
+          case when o_orderkey % 10 = 2 then 'a,b' else o_orderstatus end as o_orderstatus,
+          cast(o_custkey as varchar) as o_custkey
+        from orders where o_orderkey % 10 not in (1, 3, 4)""",
+    "csv_bad_lines": """
+        select case o_orderkey % 10 when 1 then o_orderkey || ',"open,' || o_custkey
+            when 3 then o_orderkey || ',' || o_orderstatus
+            else o_orderkey || ',' || o_orderstatus || ',' || o_custkey || ',extra' end as line,
+          case o_orderkey % 10 when 1 then 3 when 3 then 2 else 4 end as n_fields,
+          case o_orderkey % 10 when 1 then 'quote' when 3 then 'short' else 'long' end as reason
+        from orders where o_orderkey % 10 in (1, 3, 4)""",
+    "variant_props": """
+        select event_id,
+          case event_id % 3 when 0 then json_extract_string(props, '$.k') when 1 then 'k' || json_extract_string(props, '$.k') end as k,
+          case event_id % 3 when 0 then cast(json_extract(props, '$.k') as int) end as k_number,
+          case event_id % 3 when 2 then cast(json_extract_string(props, '$.k') || '.5' as double) end as other_k
+        from events""",
     "path_scan": "select * from orders",
     "path_scan_sql": "select * from orders",
     "catalog_overwrite": "select * from orders",
+    "partitioned_overwrite": f"select * replace (o_totalprice * 2 as o_totalprice), {_CODE} as code from orders",
+    "partitioned_overwrite_csv": f"select o_orderkey, o_custkey, o_orderstatus, {_CODE} as code from orders",
+    "merged_files": f"""
+        select * from orders where o_orderdate < timestamp '{LATE_ORDERS}'
+        union all
+        select * replace ('X' as o_orderstatus, o_totalprice + 1 as o_totalprice)
+        from orders where o_orderdate >= timestamp '{LATE_ORDERS}'
+        union all
+        select * replace (-o_orderkey - 1 as o_orderkey, 'X' as o_orderstatus, o_totalprice + 1 as o_totalprice)
+        from orders where o_orderdate >= timestamp '{LATE_ORDERS}'""",
+    "skipped_files": f"""
+        select * from orders
+        where o_custkey in ({", ".join(map(str, WANTED_CUSTOMERS))}) and o_orderkey <= {WANTED_ORDERS}""",
     "table_swap": "select * replace (o_totalprice * 2 as o_totalprice) from orders",
     "append_batches": "select * from orders union all select * from orders",
     "append_idempotent": "select * from orders",

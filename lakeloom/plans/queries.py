@@ -10,11 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import casts, keys, structures
-from lakeloom.operators import dims, gold, incremental, numbering, quality, scd2, silver
+from lakeloom.operators import dims, gold, incremental, numbering, profiles, quality, scd2, silver
 from lakeloom.plans.flights import flight, flight_raw, table
 from lakeloom.plans.medallion import SNAPSHOT_CHECKS, SNAPSHOT_KEY, SNAPSHOT_SCALE, Lake
 from lakeloom.schemas import FLIGHT_RAW
-from lakeloom.sources import ingest, layout, tables
+from lakeloom.sources import ingest, layout, merging, skipping, tables
 from lakeloom.sources.staging import fresh_path, scope, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,9 @@ SNAPSHOTS = [
     ("2002-01-01 00:00:00", "travel_date >= date '1995-05-01'"),
 ]
 
+# What is looked for in the indexed orders, and the day from which orders come again.
+WANTED_CUSTOMERS, WANTED_ORDERS, LATE_ORDERS = [1, 17, 44, 99], 5000, "2001-01-01"
+
 # The class left out of the cost reports; the given tables have no "economy".
 LEFT_OUT = "5-LOW"
 
@@ -99,6 +102,21 @@ def key_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.key_profile(flight(spark, sf_dir), "itinerary_no")
 
 
+def key_profile_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers and orders profiled by the batches of a year each; distinct values are estimates, so
+    what is compared is whether they are within four standard errors of the exact ones."""
+    path = fresh_path(spark, "key-sketches")
+    orders = table(spark, sf_dir, "orders")
+    for name, batch in (("early", orders.where(f"o_orderdate < timestamp '{LATE_ORDERS}'")), ("late", orders.where(f"o_orderdate >= timestamp '{LATE_ORDERS}'"))):
+        tables.write_append(profiles.sketch_keys(batch, ["o_custkey", "o_orderkey"], name).drop("batch_id"), path, batch_id=name)
+    merged = profiles.merged_profile(tables.read(spark, path))
+    exact = quality.key_profile(orders, "o_custkey").withColumn("column", F.lit("o_custkey")).unionByName(
+        quality.key_profile(orders, "o_orderkey").withColumn("column", F.lit("o_orderkey"))
+    ).select("column", F.col("cnt_dist").alias("exact"))
+    close = F.abs(F.col("cnt_dist") - F.col("exact")) <= 4 * profiles.ERROR * F.col("exact")
+    return merged.join(exact, "column").select("column", "num_records", "cnt", close.alias("within_error"))
+
+
 # -- dimensions ----------------------------------------------------------------------------------
 
 
@@ -239,10 +257,10 @@ def aircraft_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
         "avg_flight_speed_kmps",
         "engine_performance",
     ]
-    # By month, so that a window of dates reads its months only.
+    # By month, so that a window of dates reads its months only; a month with most flights is split.
     month = F.trunc("travel_date", "month").alias("travel_month")
     dated = flight(spark, sf_dir).select(*columns, month)
-    dated.repartition("travel_month").write.partitionBy("travel_month").parquet(path)
+    dated.hint("rebalance", "travel_month").write.partitionBy("travel_month").parquet(path)
     flights = spark.read.schema(dated.schema).parquet(path)
     state = None
     for as_of, window in SNAPSHOTS:
@@ -334,17 +352,12 @@ def not_null_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Statistics of every file of line items, summed up over all files."""
-    cols = ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"]
-    stats = quality.file_stats(table(spark, sf_dir, "lineitem"), cols)
-    summed = [F.sum("num_records").alias("num_records")]
-    for c in cols:
-        summed += [
-            F.min(f"min_{c}").alias(f"min_{c}"),
-            F.max(f"max_{c}").alias(f"max_{c}"),
-            F.sum(f"nulls_{c}").alias(f"nulls_{c}"),
-        ]
-    return stats.agg(*summed)
+    """Statistics of every file of line items."""
+    stats = quality.file_stats(
+        table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_quantity", "l_returnflag", "l_shipdate"]
+    )
+    name = F.regexp_extract("file_path", "[^/]*$", 0).alias("file_name")
+    return stats.select(name, *[c for c in stats.columns if c != "file_path"])
 
 
 def log_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,14 +391,37 @@ def log_file_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = log.where("add is not null").select(
         F.col("add.path").alias("path"), structures.parse_json("add.stats", schema).alias("stats")
     )
-    fourth = numbering.nth_row(log, "add", 4).select(F.col("add.path").alias("fourth"))
-    return parsed.crossJoin(F.broadcast(fourth)).agg(
+    summed = parsed.agg(
         F.sum("stats.numRecords").alias("num_records"),
         F.min("stats.minValues.l_orderkey").alias("min_orderkey"),
         F.max("stats.maxValues.l_orderkey").alias("max_orderkey"),
         F.sum("stats.nullCount.l_orderkey").alias("null_orderkey"),
-        (F.min("path") == F.min("fourth")).alias("fourth_line_is_first_file"),
+        F.min("path").alias("first"),
     )
+    fourth = numbering.nth_row(log, "add", 4).select(F.col("add.path").alias("fourth"))
+    # One row each, brought into one by an aggregate.
+    both = summed.unionByName(fourth, allowMissingColumns=True)
+    return both.agg(
+        *[F.max(c).alias(c) for c in ("num_records", "min_orderkey", "max_orderkey", "null_orderkey")],
+        (F.max("first") == F.max("fourth")).alias("fourth_line_is_first_file"),
+    )
+
+
+def _ranged_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Orders stored in files by ranges of their key."""
+    path = fresh_path(spark, "orders")
+    orders = table(spark, sf_dir, "orders")
+    files = layout.partitions_for(layout.estimated_bytes(orders), floor=16)
+    orders.repartitionByRange(files, "o_orderkey").write.parquet(path)
+    return orders, path
+
+
+def skipped_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of some customers and dates, from the files that may hold some by their index."""
+    _, path = _ranged_orders(spark, sf_dir)
+    skipping.index_files(spark, path, ["o_orderkey", "o_orderdate"], bloom=["o_custkey"])
+    wanted = {"o_custkey": WANTED_CUSTOMERS, "o_orderkey": (None, WANTED_ORDERS)}
+    return tables.read(spark, path, where=wanted)
 
 
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -411,6 +447,51 @@ def json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.read_json(spark, path, events.schema)
 
 
+def _damaged_lines(spark: SparkSession, sf_dir: str) -> str:
+    """Orders as lines of CSV, some too short, too long, or with a quotation mark that is not closed."""
+    path = fresh_path(spark, "lines")
+    kind = F.col("o_orderkey") % 10
+    line = F.concat_ws(
+        ",",
+        F.col("o_orderkey").cast("string"),
+        F.when(kind == 1, F.lit('"open')).when(kind == 2, F.lit('"a,b"')).otherwise(F.col("o_orderstatus")),
+        F.when(kind != 3, F.col("o_custkey").cast("string")),
+        F.when(kind == 4, F.lit("extra")),
+    )
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    return path
+
+
+_LINE_SCHEMA = "o_orderkey string, o_orderstatus string, o_custkey string"
+
+
+def csv_good_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = ingest.read_raw_csv(spark, _damaged_lines(spark, sf_dir), _LINE_SCHEMA, line="_line")
+    return ingest.good_lines(lines, "_line")
+
+
+def csv_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that do not fit, kept whole with the reason."""
+    lines = ingest.read_raw_csv(spark, _damaged_lines(spark, sf_dir), _LINE_SCHEMA, line="_line")
+    return ingest.bad_lines(lines, "_line").drop("file_path")
+
+
+def variant_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Properties of events of which some hold a number as text and some another field, read in one scan."""
+    path = fresh_path(spark, "variants")
+    kind, value = F.col("event_id") % 3, F.get_json_object("props", "$.k")
+    props = (
+        F.when(kind == 0, F.col("props")).when(kind == 1, F.concat(F.lit('{"k": "k'), value, F.lit('"}')))
+        .otherwise(F.concat(F.lit('{"other": {"k": '), value, F.lit(".5}}")))
+    )
+    line = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(', "props": '), props, F.lit("}"))
+    table(spark, sf_dir, "events").select(line.alias("value")).write.text(path)
+    fields = {"$.event_id": "bigint", "$.props.k": "string", "$.props.other.k": "double"}
+    read = ingest.read_variant(spark, path, "event").select(ingest.variant_fields("event", fields).alias("f"))
+    number = F.col("f.props_k").try_cast("int")
+    return read.select("f.event_id", F.col("f.props_k").alias("k"), number.alias("k_number"), F.col("f.props_other_k").alias("other_k"))
+
+
 def path_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read(spark, f"{sf_dir}/orders.parquet")
 
@@ -436,6 +517,49 @@ def catalog_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dropped(spark, name)
 
 
+def _by_code(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a code that looks like a number and is none; some have none."""
+    code = F.lpad((F.col("o_custkey") % 40).cast("string"), 3, "0")
+    return table(spark, sf_dir, "orders").withColumn("code", F.when(F.col("o_custkey") % 40 != 7, code))
+
+
+def partitioned_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A managed table partitioned by code, overwritten twice, the second time from itself."""
+    name, kept = f"lakeloom_{uuid.uuid4().hex}", fresh_path(spark, "orders")
+    orders = _by_code(spark, sf_dir)
+    tables.write_overwrite(orders, name, partition_by=["code"])
+    doubled = tables.read(spark, name).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    tables.write_overwrite(doubled, name, partition_by=["code"])
+    copy = _copied(spark, tables.read(spark, name), kept)
+    spark.sql(f"drop table {name}")
+    return copy
+
+
+def partitioned_overwrite_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as an external table of CSV files, whose codes and types come from the catalog."""
+    name, kept = f"lakeloom_{uuid.uuid4().hex}", fresh_path(spark, "orders")
+    path = fresh_path(spark, "orders-csv")
+    orders = _by_code(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderstatus", "code")
+    for _ in range(2):
+        tables.write_overwrite(orders, name, path, "csv", ["code"])
+    copy = _copied(spark, tables.read(spark, name), kept)
+    spark.sql(f"drop table {name}")
+    return copy
+
+
+def merged_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late orders come again with another state and price, and new ones follow; files of older orders
+    are not written again."""
+    orders, path = _ranged_orders(spark, sf_dir)
+    again = orders.where(F.col("o_orderdate") >= F.lit(LATE_ORDERS).cast("timestamp")).select(
+        *[F.lit("X").alias(c) if c == "o_orderstatus" else (F.col(c) + 1).alias(c) if c == "o_totalprice" else c for c in orders.columns]
+    )
+    new = again.withColumn("o_orderkey", -F.col("o_orderkey") - 1)
+    skipping.index_files(spark, path, ["o_orderkey"])
+    merging.merge_files(path, again.unionByName(new), "o_orderkey")
+    return tables.read(spark, path)
+
+
 def table_swap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table replaced by a result over its own content."""
     name = f"lakeloom_{uuid.uuid4().hex}"
@@ -548,6 +672,7 @@ QUERIES: dict[str, Query] = {
         lenient_casts,
         anchored_arrivals,
         key_profile,
+        key_profile_batches,
         dim_airport,
         dim_airport_union,
         airport_roles,
@@ -578,10 +703,17 @@ QUERIES: dict[str, Query] = {
         log_file_stats,
         json_props,
         csv_roundtrip,
+        csv_good_lines,
+        csv_bad_lines,
         json_roundtrip,
+        variant_props,
         path_scan,
         path_scan_sql,
         catalog_overwrite,
+        partitioned_overwrite,
+        partitioned_overwrite_csv,
+        merged_files,
+        skipped_files,
         table_swap,
         append_batches,
         append_idempotent,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.schemas import FLIGHT_RAW
@@ -13,18 +14,64 @@ def read_raw_csv(
     path: str | list[str],
     schema: T.StructType | str = FLIGHT_RAW,
     header: bool = False,
+    line: str | None = None,
     **options: str,
 ) -> DataFrame:
     """CSV with a stated schema. Short rows are filled with NULL, extra fields are dropped.
 
-    Without ``header`` a header line is read as data, as a file without one would be.
+    Without ``header`` a header line is read as data, as a file without one would be. With ``line`` a
+    column of that name holds the whole line where its fields are not as many as the schema's or of other
+    types, and NULL elsewhere; see :func:`good_lines` and :func:`bad_lines`.
     """
+    if line:
+        schema = spark.createDataFrame([], schema).schema.add(line, T.StringType())
+        options["columnNameOfCorruptRecord"] = line
     return spark.read.options(header=header, mode="PERMISSIVE", **options).csv(path, schema=schema)
 
 
+def good_lines(df: DataFrame, line: str) -> DataFrame:
+    """The rows whose line is as the schema says."""
+    return df.where(F.col(line).isNull()).drop(line)
+
+
+def bad_lines(df: DataFrame, line: str, delimiter: str = ",") -> DataFrame:
+    """``line, n_fields, reason, file_path`` of lines that are not as the schema says.
+
+    ``reason`` is ``short`` or ``long`` by the number of fields, ``quote`` if a quotation mark is not
+    closed, and ``type`` for a value of another type.
+    """
+    text, mark = F.col("line"), F.lit('"')
+    outside = F.regexp_replace(text, '"[^"]*"', "")
+    count = lambda c, sign: F.length(c) - F.length(F.replace(c, sign))
+    fields, wanted = F.col("n_fields"), len(df.columns) - 1
+    reason = (
+        F.when(count(text, mark) % 2 == 1, "quote").when(fields < wanted, "short").when(fields > wanted, "long").otherwise("type")
+    )
+    # Spark gives out the line only where another column is read as well.
+    bad = df.select(F.col(line).alias("line"), F.col("_metadata.file_path").alias("file_path"), F.struct(*df.columns).alias("read"))
+    bad = bad.where("line is not null and read is not null")
+    return bad.withColumn("n_fields", (count(outside, F.lit(delimiter)) + 1).cast("int")).select(
+        "line", "n_fields", reason.alias("reason"), "file_path"
+    )
+
+
 def read_json(
     spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None
 ) -> DataFrame:
     """JSON lines. Give a schema for large inputs: inferring one reads the whole input first."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.json(path)
+
+
+def read_variant(spark: SparkSession, path: str | list[str], column: str = "value") -> DataFrame:
+    """JSON lines as one VARIANT column: each value keeps its own type, and one scan reads all, as nothing
+    is inferred beforehand. See :func:`variant_fields`."""
+    return spark.read.option("singleVariantColumn", column).json(path)
+
+
+def variant_fields(column: str | Column, fields: dict[str, str]) -> Column:
+    """Fields of a VARIANT as a struct: path to type; what is absent or of no such type is NULL."""
+    value = F.col(column) if isinstance(column, str) else column
+    return F.struct(
+        *[F.try_variant_get(value, path, kind).alias(path.removeprefix("$.").replace(".", "_")) for path, kind in fields.items()]
+    )

@@ -84,6 +84,16 @@ def compact(
     return df.coalesce(partitions_for(size, max_file_mb, files))
 
 
+def balanced(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` for writing: files of the size that adaptive execution is advised, whatever computes them.
+
+    Small partitions are joined and large ones cut once their sizes are known, so the stages before the
+    write stay as wide as they are. With ``columns``, those of a partitioned table, rows of one value come
+    together, and a value with most of the rows is cut as well.
+    """
+    return df.hint("rebalance", *columns)
+
+
 def broadcast_within(df: DataFrame, limit_mb: int = 32) -> DataFrame:
     """Mark ``df`` for broadcast if its estimated size is within the limit.
 

@@ -1,0 +1,215 @@
+"""Merges that rewrite touched files, reads that skip files, and marks of one writer."""
+
+from __future__ import annotations
+
+import hashlib
+import os
+from datetime import date
+
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lakeloom.operators import incremental
+from lakeloom.sources import ledger, merging, skipping, tables
+
+
+def data_files(folder):
+    found = {}
+    for at, _, names in os.walk(folder):
+        if not any(part.startswith("_") for part in os.path.relpath(at, folder).split(os.sep) if part != "."):
+            for name in names:
+                if not name.startswith(("_", ".")):
+                    with open(os.path.join(at, name), "rb") as file:
+                        found[os.path.relpath(os.path.join(at, name), folder)] = hashlib.sha256(file.read()).hexdigest()
+    return found
+
+
+def ranged(spark, path, count=1000, files=10):
+    df = spark.range(count).selectExpr("id", "concat('t', id) as text", "cast(id % 7 as double) as amount")
+    df.repartitionByRange(files, "id").write.parquet(path)
+    return df
+
+
+def test_untouched_files_stay_byte_for_byte(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = ranged(spark, path)
+    before = data_files(path)
+    batch = spark.sql("select id, 'new' as text, -1D as amount from range(995, 1005)")
+    done = merging.merge_files(path, batch, "id")
+    after = data_files(path)
+    assert (done.files, done.rewritten) == (10, 1) and done.written >= 1
+    assert len(before.keys() - after.keys()) == 1
+    assert all(after[name] == before[name] for name in before.keys() & after.keys())
+    assert rows(spark.read.parquet(path)) == rows(incremental.upsert(df, batch, "id"))
+    assert not os.path.exists(os.path.join(path, "_merging", "lock"))
+
+
+def test_a_merge_uses_the_index(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    ranged(spark, path)
+    skipping.index_files(spark, path, ["id"])
+    asked = []
+    found = skipping.files_with
+    monkeypatch.setattr(merging, "files_with", lambda *a: asked.append(found(*a)) or asked[-1])
+    batch = spark.sql("select 150L as id, 'new' as text, 0D as amount")
+    assert merging.merge_files(path, batch, "id").rewritten == 1
+    assert len(asked[0]) == 1
+    # The rewritten file is not in the index, so it is always a candidate.
+    batch = spark.sql("select 950L as id, 'newer' as text, 0D as amount")
+    assert merging.merge_files(path, batch, "id").rewritten == 1
+    assert len(asked[1]) == 2
+    assert rows(spark.read.parquet(path).where("text like 'new%'")) == [(150, "new", 0.0), (950, "newer", 0.0)]
+
+
+def test_a_merge_of_partitions_moves_rows_between_them(spark, tmp_path):
+    path = str(tmp_path / "t")
+    schema = "id int, text string, code string"
+    old = spark.createDataFrame([(1, "a", "007"), (2, "b", "1e3"), (3, "c", None), (4, "d", "x/y z%")], schema)
+    old.write.partitionBy("code").parquet(path)
+    batch = spark.createDataFrame([(2, "B", "007"), (4, "D", "x/y z%"), (5, "e", None), (None, "n", "9"), (None, "n", "9")], schema)
+    before = data_files(path)
+    merging.merge_files(path, batch, "id", ["code"], old.schema)
+    found = spark.read.schema(old.schema).parquet(path)
+    expected = [(1, "a", "007"), (2, "B", "007"), (3, "c", None), (4, "D", "x/y z%"), (5, "e", None), (None, "n", "9"), (None, "n", "9")]
+    assert rows(found.select("id", "text", "code")) == rows(spark.createDataFrame(expected, schema))
+    after = data_files(path)
+    kept = [name for name in before if name in after]
+    assert {name.split("/")[0] for name in kept} == {"code=007", "code=__HIVE_DEFAULT_PARTITION__"}
+
+
+def test_repeated_keys_change_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ranged(spark, path, 20, 2)
+    before = data_files(path)
+    with pytest.raises(Exception, match="duplicate key"):
+        merging.merge_files(path, spark.sql("select 1L as id, 'x' as text, 0D as amount from range(2)"), "id")
+    assert data_files(path) == before
+    # The mark of the failed merge is gone.
+    merging.merge_files(path, spark.sql("select 1L as id, 'x' as text, 0D as amount"), "id")
+    assert spark.read.parquet(path).where("text = 'x'").count() == 1
+
+
+def test_an_empty_batch_rewrites_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = ranged(spark, path, 20, 2)
+    before = data_files(path)
+    assert merging.merge_files(path, df.limit(0), "id").rewritten == 0
+    assert {n: h for n, h in data_files(path).items() if n in before} == before
+    assert rows(spark.read.parquet(path)) == rows(df)
+
+
+@pytest.mark.parametrize("moves", [0, 1, 2])
+def test_a_merge_that_broke_off_is_ended(spark, tmp_path, monkeypatch, moves):
+    path = str(tmp_path / "t")
+    df = ranged(spark, path, 100, 4)
+    batch = spark.sql("select id, 'new' as text, -1D as amount from range(10, 90, 20)")
+    finish = merging._finish
+
+    def lost(session, folder, commit):
+        part = {"add": commit["add"][:moves], "remove": commit["remove"][: moves // 2]}
+        monkeypatch.setattr(merging, "remove", lambda *a: None)
+        finish(session, folder, part)
+        monkeypatch.setattr(merging, "remove", merging_remove)
+        raise KeyboardInterrupt
+
+    merging_remove = merging.remove
+    monkeypatch.setattr(merging, "_finish", lost)
+    with pytest.raises(KeyboardInterrupt):
+        merging.merge_files(path, batch, "id")
+    monkeypatch.setattr(merging, "_finish", finish)
+    with pytest.raises(RuntimeError, match="recover"):
+        merging.merge_files(path, batch, "id")
+    assert merging.recover(spark, path)
+    assert rows(spark.read.parquet(path)) == rows(incremental.upsert(df, batch, "id"))
+    assert not merging.recover(spark, path)
+
+
+def test_two_merges_at_once(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = ranged(spark, path, 20, 2)
+    with ledger.alone(spark, f"{path}/_merging/lock", {"run": "other"}):
+        with pytest.raises(ledger.Taken, match="other"):
+            merging.merge_files(path, df, "id")
+    merging.merge_files(path, df, "id")
+    assert rows(spark.read.parquet(path)) == rows(df)
+
+
+keys = st.one_of(st.none(), st.integers(0, 12))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(keys, max_size=12), st.lists(st.integers(0, 15), max_size=6, unique=True), st.integers(0, 2), st.integers(1, 4))
+def test_merge_equals_upsert(spark, tmp_path_factory, old, new, empty, files):
+    path = str(tmp_path_factory.mktemp("merge") / "t")
+    df = spark.createDataFrame([(k, f"o{n}") for n, k in enumerate(old)], "k int, text string")
+    df.repartition(files).write.parquet(path)
+    batch = spark.createDataFrame([(k, f"n{k}") for k in new] + [(None, "e")] * empty, "k int, text string")
+    merging.merge_files(path, batch, "k")
+    assert rows(spark.read.schema(df.schema).parquet(path)) == rows(incremental.upsert(df, batch, "k"))
+
+
+def opened(df):
+    return len(df.inputFiles())
+
+
+def test_reads_open_only_files_that_may_hold_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = ranged(spark, path)
+    read = lambda wanted: tables.read(spark, path, where=wanted)
+    assert opened(read({"id": [5]})) == 10
+    skipping.index_files(spark, path, ["id", "text"], bloom=["text", "amount"])
+    assert opened(read({"id": [5]})) == 1
+    assert rows(read({"id": [5, 995]})) == rows(df.where("id in (5, 995)"))
+    assert opened(read({"id": [5, 995]})) == 10 or opened(read({"id": [5, 995]})) == 2
+    assert opened(read({"id": (100, 250)})) <= 3
+    assert rows(read({"id": (100, 250)})) == rows(df.where("id between 100 and 250"))
+    assert rows(read({"id": (None, 3), "amount": (2.0, None)})) == rows(df.where("id <= 3 and amount >= 2"))
+    assert opened(read({"text": ["t77"]})) == 1
+    assert rows(read({"text": ["t77", "t912"]})) == rows(df.where("text in ('t77', 't912')"))
+    assert opened(read({"text": ["none such"]})) == 0 and read({"text": ["none such"]}).count() == 0
+    assert opened(read({"amount": [99.5]})) == 0
+    assert read({"id": []}).count() == 0
+
+
+def test_new_files_are_read_until_they_are_indexed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    ranged(spark, path, 100, 4)
+    skipping.index_files(spark, path, ["id"], ["id"])
+    spark.sql("select id, 'late' as text, 0D as amount from range(500, 600)").coalesce(1).write.mode("append").parquet(path)
+    assert opened(tables.read(spark, path, where={"id": [5]})) == 2
+    assert tables.read(spark, path, where={"id": [555]}).count() == 1
+    skipping.index_files(spark, path, ["id"], ["id"])
+    assert opened(tables.read(spark, path, where={"id": [5]})) == 1
+    assert opened(tables.read(spark, path, where={"id": [555]})) == 1
+    # Other columns make a new index.
+    skipping.index_files(spark, path, ["text"])
+    assert opened(tables.read(spark, path, where={"text": ["late"]})) >= 1
+    assert tables.read(spark, path, where={"text": ["late"]}).count() == 100
+
+
+def test_index_of_odd_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    data = [(1, float("nan"), None, date(2020, 1, 1)), (2, None, "é", date(2021, 1, 1)), (None, 1.5, "", None)]
+    schema = "k int, x double, t string, d date"
+    for row in data:
+        spark.createDataFrame([row], schema).coalesce(1).write.mode("append").partitionBy("t").parquet(path)
+    full = spark.read.schema(schema).parquet(path)
+    skipping.index_files(spark, path, ["k", "x", "d"], ["k", "d"], schema=full.schema)
+    for wanted, text in (
+        ({"k": [1, 3]}, "k in (1, 3)"), ({"x": (1.0, None)}, "x >= 1"), ({"d": [date(2021, 1, 1)]}, "d = date '2021-01-01'"),
+        ({"k": (None, None)}, "k is not null"), ({"t": ["é"]}, "t = 'é'"),
+    ):
+        found = tables.read(spark, path, schema=full.schema, where=wanted)
+        assert sorted(map(str, found.select(*full.columns).collect())) == sorted(map(str, full.where(text).collect()))
+
+
+def test_a_mark_has_one_maker(spark, tmp_path):
+    path = str(tmp_path / "marks" / "m")
+    ledger.claim(spark, path, {"by": "first"})
+    with pytest.raises(ledger.Taken, match="first"):
+        ledger.claim(spark, path, {"by": "second"})
+    assert ledger.read_mark(spark, path) == {"by": "first"}
+    assert ledger.read_mark(spark, f"{path}-other") is None

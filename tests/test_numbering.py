@@ -93,3 +93,43 @@ def test_a_column_without_an_order_does_not_matter(spark):
     df = spark.range(2000).select("id", F.parse_json(F.lit("{}")).alias("v"), F.create_map(F.lit(1), F.lit(2)).alias("m"))
     for n in (5, 1001):
         assert numbering.nth_row(df, "id", n).first()["id"] == n - 1
+
+
+KEYS = {
+    "struct": "struct(if(id % 11 = 0, null, id % 50) as a, struct(cast(id as string) as b) as c)",
+    "timestamp": "timestamp_micros(id * 7919 % 9001 * 1000001)",
+    "local": "cast(timestamp_micros(id * 7919 % 9001 * 1000001) as timestamp_ntz)",
+    "date": "date '2020-01-01' + cast(id * 7919 % 9001 as int)",
+    "decimal": "cast(id * 7919 % 9001 as decimal(20, 3)) / 7",
+    "double": "case id % 10 when 0 then null when 1 then double('nan') else cast(id * 7919 % 9001 as double) end",
+    "text": "if(id % 5 = 0, null, md5(cast(id as string)))",
+    "array": "array(id % 3, id * 7919 % 9001)",
+    "equal": "1",
+}
+
+
+@pytest.mark.parametrize("kind", list(KEYS))
+def test_a_deep_row_is_found_for_any_kind_of_key(spark, monkeypatch, kind):
+    monkeypatch.setattr(numbering, "_TOP_ROWS", 40)
+    monkeypatch.setattr(numbering, "_SAMPLED_ROWS", 300)
+    df = spark.range(6000).selectExpr("id as own", f"{KEYS[kind]} as k")
+    for n in (41, 3000, 5999, 6000, 6001):
+        window = Window.orderBy("k", "own")
+        expected = df.withColumn("rn", F.row_number().over(window)).where(F.col("rn") == n)
+        assert str(rows(numbering.nth_row(df, "k", n))) == str(rows(expected))
+
+
+def test_a_deep_row_along_a_falling_key(spark):
+    df = spark.range(5000).select("id")
+    assert numbering.nth_row(df, F.desc("id"), 2001).first()["id"] == 2999
+
+
+def test_a_deep_row_moves_keys_of_one_range_only(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 200_000, 1, 4).selectExpr("id * 7919 % 200003 as k", "uuid() as text").write.parquet(path)
+    df = spark.read.parquet(path)
+    found = numbering.nth_row(df, "k", 100_000)
+    plan = plan_of(found)
+    # What is left is a filter on the key and a top-n.
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+    assert found.first()["k"] == sorted(i * 7919 % 200003 for i in range(200_000))[99_999]

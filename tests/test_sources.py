@@ -188,3 +188,86 @@ def test_stage_uses_the_shared_folder(spark):
     folder = spark.conf.get("spark.checkpoint.dir")
     assert all(folder in f for f in staged.inputFiles())
     assert rows(staged) == [(0,), (1,), (2,)]
+
+
+CODES = [("007", 1), ("010", 2), ("1e3", 3), (None, 4), ("a/b=c %", 5), ("2020-01-01", 6)]
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+@pytest.mark.parametrize("kind", ["managed", "external"])
+def test_partitions_keep_their_values_and_types(spark, tmp_path, kind, fmt):
+    table = f"codes_{kind}_{fmt}"
+    path = str(tmp_path / "codes") if kind == "external" else None
+    schema = "code string, amount int, day date, note string"
+    first = spark.createDataFrame([(c, n, None, "x") for c, n in CODES], schema).withColumn("day", F.lit("2020-02-03").cast("date"))
+    # The second has one value less and another one more.
+    second = first.where("code is null or code <> '007'").unionByName(first.where("code = '007'").withColumn("code", F.lit("08")))
+    for df in (first, second, second):
+        tables.write_overwrite(df, table, path, fmt, partition_by=["code"])
+        found = tables.read(spark, table, fmt)
+        assert found.columns == ["amount", "day", "note", "code"]
+        assert dict(found.dtypes) == dict(df.dtypes)
+        assert rows(found.select(*df.columns)) == rows(df)
+        assert found.where("code = '1e3'").count() == 1
+    spark.catalog.refreshTable(table)
+    assert spark.table(table).where("code is null").count() == 1
+    # It may change its partitioning, and need not have any.
+    tables.write_overwrite(spark.table(table).select(*first.columns), table, path, fmt, partition_by=["amount", "code"])
+    assert rows(spark.table(table).select(*first.columns)) == rows(second)
+    tables.write_overwrite(first, table, path, fmt)
+    assert rows(spark.table(table)) == rows(first)
+    spark.sql(f"drop table {table}")
+    if path:
+        assert os.path.isdir(path)
+
+
+def test_typed_partitions_and_a_reader_of_the_folder(spark, tmp_path):
+    path = str(tmp_path / "days")
+    df = spark.sql("select id, if(id = 3, null, date '2020-01-01' + cast(id % 2 as int)) as day, cast(id % 3 as short) as part from range(9)")
+    tables.write_overwrite(df, "days", path, partition_by=["day", "part"])
+    assert rows(spark.table("days").select(*df.columns)) == rows(df)
+    assert dict(spark.table("days").dtypes) == dict(df.dtypes)
+    assert rows(tables.read(spark, path, schema=df.schema).select(*df.columns)) == rows(df)
+
+
+@pytest.mark.parametrize("kind", ["managed", "external"])
+def test_a_failed_overwrite_leaves_the_old_rows(spark, tmp_path, monkeypatch, kind):
+    path = str(tmp_path / "kept") if kind == "external" else None
+    table = f"kept_{kind}"
+    df = spark.createDataFrame(CODES, "code string, amount int")
+    tables.write_overwrite(df, table, path, partition_by=["code"])
+    failing = df.withColumn("amount", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        tables.write_overwrite(failing, table, path, partition_by=["code"])
+    assert rows(spark.table(table).select("code", "amount")) == rows(df)
+
+    # The last step fails: finding the partitions of the table under its final name.
+    found = tables._find_partitions
+
+    def breaks(session, name):
+        found(session, name)
+        if name == table and not broken:
+            broken.append(name)
+            raise RuntimeError("catalog is gone")
+
+    broken = []
+    monkeypatch.setattr(tables, "_find_partitions", breaks)
+    with pytest.raises(RuntimeError, match="catalog is gone"):
+        tables.write_overwrite(df.where("amount = 1"), table, path, partition_by=["code"])
+    assert rows(spark.table(table).select("code", "amount")) == rows(df)
+    left = [t.name for t in spark.catalog.listTables() if t.name.startswith(f"{table}__")]
+    assert left == [] and [f for f in os.listdir(tmp_path) if "__" in f] == []
+
+
+def test_a_hot_partition_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(0, 400_000, 1, 8).selectExpr("id", "uuid() as text", "if(id % 10 < 9, 'hot', cast(id % 7 as string)) as part")
+    with_sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m"}
+    for key, value in with_sizes.items():
+        spark.conf.set(key, value)
+    try:
+        tables.write_overwrite(df, "hot", str(tmp_path / "hot"), partition_by=["part"])
+    finally:
+        for key in with_sizes:
+            spark.conf.unset(key)
+    assert len([f for f in os.listdir(tmp_path / "hot" / "part=hot") if f.startswith("part-")]) > 3
+    assert spark.table("hot").count() == 400_000

@@ -50,7 +50,7 @@ MAP_BITS = 26
 ID_BITS = 26
 
 #: N-grams that a task counts at a time, and that a bucket of counts is meant to hold.
-COUNTED, BUCKET_GRAMS = 4_000_000, 4_000_000
+COUNTED, BUCKET_GRAMS = 1_000_000, 1_000_000
 
 # -- sets ----------------------------------------------------------------------------------------
 
@@ -102,7 +102,7 @@ class Commonness:
     """
 
     def __init__(self, levels: np.ndarray):
-        taken = np.bincount(levels, minlength=16)
+        taken = sum(np.bincount(part, minlength=16) for part in np.array_split(levels, 64))
         least = next(n for n in range(1, 17) if taken[n:].sum() * 2 <= len(levels))
         self.complete = least == 1
         levels = np.where(levels >= least, levels, 0)

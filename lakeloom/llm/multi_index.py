@@ -40,6 +40,9 @@ class Index:
         return min(self.most, max(self.fewest, math.ceil(math.sqrt(rows / self.cell))))
 
 
+#: Partners made to see how far a visit must go.
+CALIBRATED = 4000
+
 #: A task compares up to so many visitors with so many residents of a cell.
 VISITORS, RESIDENTS = 8192, 2048
 
@@ -97,7 +100,8 @@ class Codebooks:
         """
         if index.recall >= 1:
             return 2 - 2 * index.threshold + 1e-9
-        x = units[: 4000]
+        # A small sample is used over and over, each time with other directions.
+        x = units[np.arange(CALIBRATED) % len(units)]
         aside = rng.standard_normal(x.shape)
         aside -= (aside * x).sum(1)[:, None] * x
         norms = np.linalg.norm(aside, axis=1)[:, None]

@@ -19,7 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from lakeloom.llm.pieces import PIECES_KEPT, Kept, PieceEncoder, answers, chunks, encode
+from lakeloom.llm.pieces import FORGET, PIECES_KEPT, Kept, PieceEncoder, answers, chunks, encode
 
 #: States and pairs that a worker keeps; beyond that it starts anew.
 STATES_KEPT, PAIRS_KEPT = 60_000, 150_000
@@ -287,6 +287,9 @@ def stream_decoder(ranks_path: str) -> StreamDecoder:
     return StreamDecoder(tokens)
 
 
+FORGET += [transducer_encoder.cache_clear, stream_decoder.cache_clear]
+
+
 def decoding(ranks_path: str, chunk_ids: int = 65_536):
     """Batches of (``doc_id``, ``ids``) to batches of (``doc_id``, ``ids``, ``text``)."""
 
@@ -300,7 +303,7 @@ def decoding(ranks_path: str, chunk_ids: int = 65_536):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = stream_decoder(ranks_path)
-        for part in answers(batches):
+        for part in answers(batches, encodes=True):
             texts = [one(decoder, packed) for packed in part.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), pa.array(texts, pa.string())], ["doc_id", "ids", "text"]

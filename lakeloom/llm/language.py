@@ -22,6 +22,9 @@ from lakeloom.sources.staging import stage
 
 UNDETERMINED = "und"
 
+#: Characters of text that are scored at a time; each text takes a vector of fixed length besides.
+SCORED_CHARS = 1_000_000
+
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -202,6 +205,11 @@ def fit_languages(docs: DataFrame, fit: LanguageFit = LanguageFit()) -> Centroid
     return centroids
 
 
+def texts_of(records: pa.RecordBatch) -> list[str | None]:
+    """The texts of a batch of records."""
+    return records.column(0).field("text").to_pylist()
+
+
 def identify(docs: DataFrame, centroids: Centroids) -> DataFrame:
     """All columns of ``docs`` as the struct ``record`` with ``lang_pred, score, rejected``.
 
@@ -211,12 +219,12 @@ def identify(docs: DataFrame, centroids: Centroids) -> DataFrame:
     every text is ``und``.
     """
     model = docs.sparkSession.sparkContext.broadcast(centroids)
-    record = docs.select(F.struct(*docs.columns).alias("record"), F.col("text").alias("text"))
+    record = docs.select(F.struct(*docs.columns).alias("record"))
     kind = record.schema["record"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in answers(batches):
-            languages, scores, rejected = model.value.predict(part.column(1).to_pylist())
+        for part in answers(batches, SCORED_CHARS):
+            languages, scores, rejected = model.value.predict(texts_of(part))
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), pa.array(languages, pa.string()), pa.array(scores, pa.float64()), pa.array(rejected, pa.bool_())],
                 ["record", "lang_pred", "score", "rejected"],

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeloom.llm.features import SHAPES, gram_counts, inverse_frequency, shape_rates, weighted
-from lakeloom.llm.language import document_frequency, held_out
+from lakeloom.llm.language import SCORED_CHARS, document_frequency, held_out, texts_of
 from lakeloom.llm.pieces import answers
 
 
@@ -141,12 +141,12 @@ def score_quality(docs: DataFrame, neighbours: Neighbours, block: int = 256) ->
     """
     model = docs.sparkSession.sparkContext.broadcast(neighbours)
     bits = neighbours.fit.bits
-    record = docs.select(F.struct(*docs.columns).alias("record"), F.col("text").alias("text"))
+    record = docs.select(F.struct(*docs.columns).alias("record"))
     kind = record.schema["record"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in answers(batches):
-            texts, scores = part.column(1).to_pylist(), []
+        for part in answers(batches, SCORED_CHARS):
+            texts, scores = texts_of(part), []
             for start in range(0, len(texts), block):
                 scores += model.value.score(*_features(texts[start : start + block], bits)).tolist()
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(scores, pa.float64())], ["record", "score"])

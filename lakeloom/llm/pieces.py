@@ -173,8 +173,20 @@ def library_encoder(path: str, kind: str = "I", added: bool = False) -> PieceEnc
     return PieceEncoder(words, split_lower, ids, whole, (740_000, PIECES_KEPT), strings)
 
 
-def answers(batches: Iterator[pa.RecordBatch], chars: int = ANSWER_CHARS) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``chars`` bytes of its widest columns."""
+#: How a worker lets go of the encoders that it keeps from task to task.
+FORGET: list[Callable] = [library_encoder.cache_clear]
+
+
+def answers(
+    batches: Iterator[pa.RecordBatch], chars: int = ANSWER_CHARS, encodes: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``chars`` bytes of its widest columns.
+
+    Work that ``encodes`` nothing has the worker's encoders with their tables go first.
+    """
+    if not encodes:
+        for forget in FORGET:
+            forget()
     for batch in batches:
         rows = max(1, int(batch.num_rows * chars / max(batch.nbytes, 1)))
         for start in range(0, batch.num_rows, rows):
@@ -190,7 +202,7 @@ def encoding(encoder: Callable[[], PieceEncoder], end: bytes = b"") -> Callable:
         # than the work.
         gc.disable()
         try:
-            for part in answers(batches):
+            for part in answers(batches, encodes=True):
                 packed = [of(text) + end for text in part.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(packed, pa.binary())], ["doc_id", "ids"]

@@ -14,7 +14,8 @@ STAGES = [
     ("packing", stages.pack),
 ]
 
-#: SQL cannot express the trained stages and the packing; the tests hold a brute-force version.
+#: SQL cannot express the trained stages and the packing. The tests compare near copies and pieces with
+#: brute force, and what the trained stages keep with the labels of their documents.
 ORACLE_SQL = None
 
 

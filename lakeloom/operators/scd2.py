@@ -55,12 +55,16 @@ def advance(
     on_duplicate: Literal["raise", "first"] = "raise",
     order: list[Column | str] | None = None,
     prefix: str = "",
+    buckets: int | None = None,
 ) -> DataFrame:
     """The open versions after taking in ``source``, and the versions that this closes.
 
     Takes the open versions alone, so the cost does not grow with the history. See
     :func:`apply_snapshot` for the rules. An open version that does not begin before ``as_of`` is an
     error when the result runs.
+
+    Where ``current_open`` is a table stored in so many ``buckets`` by ``key``, as by :func:`store_open`,
+    it is joined as it lies and only the source is moved.
     """
     keys = key_list(key)
     if on_duplicate == "first" and not order:
@@ -68,6 +72,8 @@ def advance(
     moment = moment_of(as_of)
 
     known = source.where(has_key(keys))
+    if buckets and current_open is not None:
+        known = known.repartition(buckets, *keys)
     if on_duplicate == "first":
         batch = first_per_key(known, keys, order)
     else:
@@ -100,6 +106,13 @@ def advance(
     return pairs.select(F.inline(F.array_compact(F.array(kept, added)))).select(*columns)
 
 
+def store_open(versions: DataFrame, table: str, path: str, key: str | list[str], buckets: int) -> None:
+    """Write open versions as the external table ``table``, in files of ``buckets`` by ``key``."""
+    keys = key_list(key)
+    dealt = versions.repartition(buckets, *keys)
+    dealt.write.bucketBy(buckets, *keys).sortBy(*keys).option("path", path).format("parquet").saveAsTable(table)
+
+
 def apply_snapshot(
     current: DataFrame | None,
     source: DataFrame,

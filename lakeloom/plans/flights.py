@@ -8,18 +8,23 @@ from pyspark.sql.types import StructType
 
 from lakeloom.operators.silver import conform
 from lakeloom.schemas import FLIGHT_RAW_COLUMNS
+from lakeloom.sources.staging import file_system
 
 
-# Schemas by path: finding one out takes a job, and every query reads the same few tables.
-_schemas: dict[str, StructType] = {}
+# Schemas by path and what the file system says of it: finding one out takes a job, and every query
+# reads the same few tables.
+_schemas: dict[tuple, StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    files, where = file_system(spark, path)
+    status = files.getFileStatus(where)
+    key = (path, status.getModificationTime(), status.getLen())
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
 def flight_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

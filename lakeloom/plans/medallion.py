@@ -32,6 +32,8 @@ class Lake:
     spark: SparkSession
     root: str
     database: str = "warehouse"
+    #: Buckets of the open versions of a snapshot; a table keeps those that it began with.
+    buckets: int = 16
 
     def name(self, table: str) -> str:
         return f"{self.database}.{table}"
@@ -111,7 +113,10 @@ class Lake:
         if not self.exists("scd_dim_aircraft"):
             return {}
         shown = self.spark.sql(f"show tblproperties {self.name('scd_dim_aircraft')}").collect()
-        return {row["key"]: row["value"] for row in shown if row["key"] in ("moment", "open_versions")}
+        return {row["key"]: row["value"] for row in shown if row["key"] in ("moment", "open_versions", "buckets")}
+
+    def _open_table(self, number: int) -> str:
+        return self.name(f"scd_dim_aircraft_open_{number}")
 
     def snapshot_aircraft(
         self, as_of: datetime | str, prefix: str = "dbt_", check: bool = True, flights: DataFrame | None = None
@@ -122,11 +127,12 @@ class Lake:
         one just closed, but for the open end, is an error and nothing is published; older versions
         passed when they were written. ``flights`` stands for all of the silver table if given.
 
-        ``scd_dim_aircraft`` is a view over a folder of open versions, a new one for each run, and
+        ``scd_dim_aircraft`` is a view over a table of open versions, a new one for each run, and
         the closed ones of the moments published so far, which only grow. Replacing the view is the
         one step that publishes a run: before it readers see the last run, and what a run that broke
-        off has written is not seen and is removed by the next one. The last two folders of open
-        versions stay for readers. One snapshot runs at a time; another fails with
+        off has written is not seen and is removed by the next one. The last two tables of open
+        versions stay for readers. Open versions lie in buckets by their key, and a run moves its
+        source only. One snapshot runs at a time; another fails with
         :class:`lakeloom.sources.ledger.Taken` and shows nothing.
         """
         with alone(self.spark, f"{self.path('gold', 'scd_dim_aircraft')}/_running", {"as_of": str(as_of)}):
@@ -143,33 +149,37 @@ class Lake:
             raise ValueError(f"a snapshot at {moment} must be later than the last, {published['moment']}")
 
         home, closed = self.path("gold", "scd_dim_aircraft"), self.path("gold", "scd_dim_aircraft_closed")
-        reader = self.spark.read
-        present = reader.parquet(published["open_versions"]) if published else None
+        number = int(published["open_versions"].rsplit("-", 1)[1]) + 1 if published else 1
+        present = self.spark.table(self._open_table(number - 1)) if published else None
+        buckets = int(published.get("buckets", self.buckets))
         source = self.flights() if flights is None else flights
         with scope(self.spark):
             profile = dims.dim_aircraft_profile(source, SNAPSHOT_SCALE, one_pass=False)
             versions = stage(
-                scd2.advance(present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix),
+                scd2.advance(present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix, buckets=buckets),
                 "scd-dim-aircraft",
             )
             valid_to = scd2.version_columns(prefix)[-1]
             if check:
                 quality.assert_not_null(versions, [valid_to])
-            number = int(published["open_versions"].rsplit("-", 1)[1]) + 1 if published else 1
             opened = f"{home}/v-{number}"
             for left in (opened, f"{closed}/run={number}"):
                 remove(self.spark, left)
+            self.spark.sql(f"drop table if exists {self._open_table(number)}")
             versions.where(f"{valid_to} is not null").write.parquet(f"{closed}/run={number}")
-            versions.where(f"{valid_to} is null").write.parquet(opened)
+            scd2.store_open(versions.where(f"{valid_to} is null"), self._open_table(number), opened, SNAPSHOT_KEY, buckets)
             columns = ", ".join(versions.columns)
-        quoted = [path.replace("`", "``") for path in (opened, closed)]
+        quoted = closed.replace("`", "``")
         self.spark.sql(
             f"create or replace view {self.name('scd_dim_aircraft')} "
-            f"tblproperties ('moment' = '{moment}', 'open_versions' = {tables.sql_text(opened)}) as "
-            f"select {columns} from parquet.`{quoted[0]}` "
-            f"union all select {columns} from parquet.`{quoted[1]}` where run <= {number}"
+            f"tblproperties ('moment' = '{moment}', 'buckets' = '{buckets}', "
+            f"'open_versions' = {tables.sql_text(opened)}) as "
+            f"select {columns} from {self._open_table(number)} "
+            f"union all select {columns} from parquet.`{quoted}` where run <= {number}"
         )
-        remove(self.spark, f"{home}/v-{number - 2}")
+        if number > 2:
+            self.spark.sql(f"drop table if exists {self._open_table(number - 2)}")
+            remove(self.spark, f"{home}/v-{number - 2}")
 
     def top_cost(self, k: int = 5, exclude: str | None = "economy") -> DataFrame:
         return gold.top_cost(self.flights(), k, exclude)

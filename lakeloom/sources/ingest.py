@@ -25,13 +25,20 @@ def read_raw_csv(
     """
     if line:
         schema = spark.createDataFrame([], schema).schema.add(line, T.StringType())
-        options["columnNameOfCorruptRecord"] = line
+        # Whether a line fits is told by all its fields, whichever are asked for later.
+        options |= {"columnNameOfCorruptRecord": line, "columnPruning": "false"}
     return spark.read.options(header=header, mode="PERMISSIVE", **options).csv(path, schema=schema)
 
 
+def _read(df: DataFrame, line: str) -> Column:
+    """Always true. It has another column read besides the line, which Spark gives out on no other terms."""
+    other = next(c for c in df.columns if c != line)
+    return F.length(F.coalesce(F.col(f"`{other}`").cast("string"), F.lit(""))) >= 0
+
+
 def good_lines(df: DataFrame, line: str) -> DataFrame:
     """The rows whose line is as the schema says."""
-    return df.where(F.col(line).isNull()).drop(line)
+    return df.where(F.col(line).isNull() & _read(df, line)).drop(line)
 
 
 def bad_lines(df: DataFrame, line: str, delimiter: str = ",") -> DataFrame:
@@ -47,9 +54,8 @@ def bad_lines(df: DataFrame, line: str, delimiter: str = ",") -> DataFrame:
     reason = (
         F.when(count(text, mark) % 2 == 1, "quote").when(fields < wanted, "short").when(fields > wanted, "long").otherwise("type")
     )
-    # Spark gives out the line only where another column is read as well.
-    bad = df.select(F.col(line).alias("line"), F.col("_metadata.file_path").alias("file_path"), F.struct(*df.columns).alias("read"))
-    bad = bad.where("line is not null and read is not null")
+    bad = df.where(F.col(line).isNotNull() & _read(df, line))
+    bad = bad.select(F.col(line).alias("line"), F.col("_metadata.file_path").alias("file_path"))
     return bad.withColumn("n_fields", (count(outside, F.lit(delimiter)) + 1).cast("int")).select(
         "line", "n_fields", reason.alias("reason"), "file_path"
     )

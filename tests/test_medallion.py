@@ -9,6 +9,8 @@ from test_silver import FLIGHT
 
 from lakeloom.plans.medallion import Lake
 from lakeloom.schemas import FLIGHT_RAW_COLUMNS
+from lakeloom.sources import tables
+from lakeloom.sources.ledger import Taken
 
 
 def write(path, *changes):
@@ -140,7 +142,7 @@ def test_a_snapshot_that_breaks_off_shows_nothing(spark, lake, monkeypatch, step
     changed = profiles(spark, ("A1", 2), ("A2", 5))
 
     with monkeypatch.context() as patch:
-        parquet, sql = DataFrameWriter.parquet, SparkSession.sql
+        parquet, sql, save = DataFrameWriter.parquet, SparkSession.sql, DataFrameWriter.saveAsTable
 
         def breaking(self, path, *args, **kwargs):
             if (step == 1 and "/run=" in path) or (step == 2 and "/v-" in path):
@@ -152,6 +154,13 @@ def test_a_snapshot_that_breaks_off_shows_nothing(spark, lake, monkeypatch, step
                 raise RuntimeError("broke off")
             return sql(self, text, *args, **kwargs)
 
+        # Open versions are written as a table, in buckets.
+        def unsaved(self, name, *args, **kwargs):
+            if step == 2 and "_open_" in name:
+                raise RuntimeError("broke off")
+            return save(self, name, *args, **kwargs)
+
+        patch.setattr(DataFrameWriter, "saveAsTable", unsaved)
         patch.setattr(DataFrameWriter, "parquet", breaking)
         patch.setattr(SparkSession, "sql", silent)
         with pytest.raises(RuntimeError, match="broke off"):
@@ -191,3 +200,69 @@ def test_passengers_of_one_batch_read_its_partition(spark, tmp_path, lake):
     assert lake.table("dim_passenger").count() == 0
     lake.load_passengers("one")
     assert lake.table("dim_passenger").count() == 1
+
+
+def test_lines_that_do_not_fit_are_set_aside(spark, tmp_path, lake):
+    path = write(tmp_path / "one.csv", {}, {"flight_id": "F2"})
+    with open(path, "a") as file:
+        file.write("too,short\n")
+    lake.ingest(path, set_aside=True)
+    assert lake.source("raw_flight").count() == 2
+    assert rows(lake.table("flight_rejected").select("line", "n_fields", "reason")) == [("too,short", 2, "short")]
+    lake.ingest(path)
+    assert lake.source("raw_flight").count() == 3
+
+
+def test_one_snapshot_at_a_time(spark, tmp_path, lake, monkeypatch):
+    first, second = profiles(spark, ("A1", 1)), profiles(spark, ("A1", 2))
+    take = Lake._take_snapshot
+
+    def interrupted(self, *rest):
+        # The other writer comes while this one runs.
+        with pytest.raises(Taken, match="2020-01-01"):
+            lake.snapshot_aircraft("2020-01-02 00:00:00", flights=second)
+        return take(self, *rest)
+
+    monkeypatch.setattr(Lake, "_take_snapshot", interrupted)
+    lake.snapshot_aircraft("2020-01-01 00:00:00", flights=first)
+    monkeypatch.setattr(Lake, "_take_snapshot", take)
+    assert lake.table("scd_dim_aircraft").count() == 1
+    lake.snapshot_aircraft("2020-01-02 00:00:00", flights=second)
+    assert lake.table("scd_dim_aircraft").count() == 2
+
+
+@pytest.mark.parametrize("kind", ["path", "managed", "external"])
+def test_one_writer_of_a_batch(spark, tmp_path, monkeypatch, kind):
+    path = str(tmp_path / "data") if kind == "external" else None
+    table = str(tmp_path / "t") if kind == "path" else f"alone_{kind}"
+    tables.write_append(spark.range(3), table, path, batch_id="a/b")
+    held = tables.alone
+
+    def second_comes(session, mark, content):
+        monkeypatch.setattr(tables, "alone", held)
+        hold = held(session, mark, content)
+        hold.__enter__()
+        with pytest.raises(Taken):
+            tables.write_append(spark.range(100), table, path, batch_id="a/b")
+        hold.__exit__(None, None, None)
+        return held(session, mark, content)
+
+    monkeypatch.setattr(tables, "alone", second_comes)
+    tables.write_append(spark.range(5), table, path, batch_id="a/b")
+    assert tables.read(spark, table).count() == 5
+    # Another batch is free, and the marks do not show.
+    tables.write_append(spark.range(2), table, path, batch_id="c")
+    assert tables.read(spark, table).count() == 7
+
+
+def test_refining_keeps_its_width(spark, tmp_path, lake, monkeypatch):
+    path = write(tmp_path / "one.csv", *[{"flight_id": f"F{n}", "aircraft_id": f"A{n}"} for n in range(400)])
+    lake.ingest(path)
+    seen = []
+    append = tables.write_append
+    monkeypatch.setattr(tables, "write_append", lambda df, *a, **k: seen.append(df) or append(df, *a, **k))
+    lake.refine("one")
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    # The write is behind an exchange of its own, which leaves the dedupe at all shuffle partitions.
+    assert "REBALANCE_PARTITIONS" in plan and "Coalesce" not in plan
+    assert lake.flights().count() == 400

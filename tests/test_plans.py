@@ -93,6 +93,29 @@ def test_snapshot_shuffles_each_side_once(spark, no_broadcast):
     assert "WindowGroupLimit" in plan
 
 
+def test_snapshot_leaves_bucketed_versions_where_they_lie(spark, no_broadcast, tmp_path):
+    source = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v"))
+    first = scd2.advance(None, source, "k", ["v"], "2020-01-01 00:00:00")
+    scd2.store_open(first, "bucketed_versions", str(tmp_path / "open"), "k", 6)
+    present = spark.table("bucketed_versions")
+    later = source.withColumn("v", (F.col("k") % 2).cast("int"))
+    advanced = scd2.advance(present, later, "k", ["v"], "2020-01-02 00:00:00", buckets=6)
+    plan = initial(advanced)
+    # One exchange, of the source, and none above the scan of the open versions.
+    assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    above = [line for line in plan.split("\n") if "bucketed_versions" in line or "Exchange" in line]
+    assert "Exchange" in above[-1] and "bucketed_versions" in above[0]
+    assert rows(advanced) == rows(scd2.advance(first, later, "k", ["v"], "2020-01-02 00:00:00"))
+    spark.sql("drop table bucketed_versions")
+
+
+@needs_data
+def test_deep_nth_row_sorts_one_range_only(spark):
+    orders = spark.read.parquet(f"{SMALL}/orders.parquet")
+    plan = plan_of(numbering.nth_row(orders, ["o_totalprice", "o_orderkey"], 1200))
+    assert "rangepartitioning" not in plan and "TakeOrderedAndProject" in plan
+
+
 def test_snapshot_of_profiles_adds_no_shuffle_for_the_source(spark, no_broadcast):
     data = [("1", "m", "A", "B", 1, 10, 1.0, 2.0, 3)]
     flights = spark.createDataFrame(

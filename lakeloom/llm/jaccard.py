@@ -43,8 +43,8 @@ class Similar:
 #: A block of gathered sets has about so many n-grams and sets.
 BLOCK_GRAMS, BLOCK_SETS = 150_000, 256
 
-#: Most slots of the map of how common n-grams are, as a power of two, at four bits each (32 MB).
-MAP_BITS = 26
+#: Most slots of the map of how common n-grams are, as a power of two, at four bits each (16 MB).
+MAP_BITS = 25
 
 #: Bits of the map of gathered documents, as a power of two (8 MB).
 ID_BITS = 26
@@ -101,13 +101,19 @@ class Commonness:
     common n-grams only, and ``complete`` is False: an n-gram at level 0 may then be shared too.
     """
 
-    def __init__(self, levels: np.ndarray):
-        taken = sum(np.bincount(part, minlength=16) for part in np.array_split(levels, 64))
-        least = next(n for n in range(1, 17) if taken[n:].sum() * 2 <= len(levels))
+    def __init__(self, pairs: np.ndarray, taken: np.ndarray):
+        """``pairs`` holds two slots in a byte, ``taken`` the number of slots at each level."""
+        least = next(n for n in range(1, 17) if taken[n:].sum() * 2 <= 2 * len(pairs))
         self.complete = least == 1
-        levels = np.where(levels >= least, levels, 0)
-        self.bits = int(len(levels)).bit_length() - 1
-        self.pairs = (levels[0::2] | (levels[1::2] << 4)).astype(np.uint8)
+        self.bits = (2 * len(pairs)).bit_length() - 1
+        self.pairs = pairs
+        for part in [] if self.complete else np.array_split(pairs, 64):
+            low, high = part & np.uint8(15), part >> np.uint8(4)
+            part[:] = np.where(low >= least, low, 0) | (np.where(high >= least, high, 0) << 4)
+
+    @staticmethod
+    def packed(levels: np.ndarray) -> np.ndarray:
+        return levels[0::2] | (levels[1::2] << np.uint8(4))
 
     def of(self, grams: np.ndarray) -> np.ndarray:
         slots = grams >> np.uint64(64 - self.bits)
@@ -190,8 +196,13 @@ def commonness(docs: DataFrame, similar: Similar, grams: int) -> Commonness:
             at = (values[shared] >> np.uint64(bits - map_bits)) & np.uint64(slots - 1)
             levels = np.zeros(slots, np.uint8)
             np.maximum.at(levels, at, np.minimum(np.log2(total[shared]), 15).astype(np.uint8))
+            taken = np.bincount(levels, minlength=16)
             return pa.RecordBatch.from_arrays(
-                [pa.array([bucket], pa.int32()), pa.array([zlib.compress(levels.tobytes(), 1)], pa.binary())], ["bucket", "levels"]
+                [
+                    pa.array([bucket], pa.int32()), pa.array([zlib.compress(Commonness.packed(levels).tobytes(), 1)], pa.binary()),
+                    pa.array([taken.tolist()], pa.list_(pa.int64())),
+                ],
+                ["bucket", "pairs", "taken"],
             )
 
         for batch in batches:
@@ -205,11 +216,15 @@ def commonness(docs: DataFrame, similar: Similar, grams: int) -> Commonness:
             yield segment()
 
     sent = docs.select("text").mapInArrow(count, "bucket int, grams binary, counts binary")
-    merged = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(merge, "bucket int, levels binary")
-    levels = np.zeros((buckets, (1 << map_bits) // buckets), np.uint8)
+    merged = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        merge, "bucket int, pairs binary, taken array<long>"
+    )
+    pairs = np.zeros((buckets, (1 << map_bits) // buckets // 2), np.uint8)
+    taken = np.zeros(16, np.int64)
     for row in merged.collect():
-        levels[row.bucket] = np.frombuffer(zlib.decompress(row.levels), np.uint8)
-    return Commonness(levels.ravel())
+        pairs[row.bucket] = np.frombuffer(zlib.decompress(row.pairs), np.uint8)
+        taken += row.taken
+    return Commonness(pairs.ravel(), taken)
 
 
 def keyed(docs: DataFrame, similar: Similar, common) -> DataFrame:

@@ -271,6 +271,15 @@ def test_jaccard_components_equal_brute_force(documents, monkeypatch, similar, s
     assert found == {n: (len(grams[n]), top(n)) for n in grams}
 
 
+def test_a_full_map_keeps_the_most_common():
+    levels = np.random.default_rng(1).choice(16, 1 << 12, p=[0.1] + [0.06] * 15).astype(np.uint8)
+    common = jaccard.Commonness(jaccard.Commonness.packed(levels), np.bincount(levels, minlength=16))
+    found = common.of(np.arange(1 << 12, dtype=np.uint64) << np.uint64(52))
+    least = int(found[found > 0].min())
+    assert not common.complete and np.array_equal(found, np.where(levels >= least, levels, 0))
+    assert 0.4 < (found > 0).mean() <= 0.5
+
+
 def test_gathered_documents_are_joined_by_a_shuffle(spark, documents, monkeypatch):
     hinted = []
     monkeypatch.setattr(jaccard.F, "broadcast", lambda df: hinted.append(df.columns) or df)
@@ -295,7 +304,9 @@ def test_every_similar_pair_shares_a_key(complete):
         grams, counts = np.unique(np.concatenate(made), return_counts=True)
         levels = np.zeros(1 << 16, np.uint8)
         np.maximum.at(levels, grams[counts > 1] >> np.uint64(48), np.log2(counts[counts > 1]).astype(np.uint8))
-        common = jaccard.Commonness(levels if complete else np.where(np.arange(1 << 16) % 3 == 0, levels, 0).astype(np.uint8))
+        known = levels if complete else np.where(np.arange(1 << 16) % 3 == 0, levels, 0).astype(np.uint8)
+        common = jaccard.Commonness(jaccard.Commonness.packed(known), np.bincount(known, minlength=16))
+        assert np.array_equal(common.of(grams), known[grams >> np.uint64(48)])
         common.complete = complete
         keys = [set(common.keys(common.ordered(m), similar).tolist()) for m in made]
         for a in range(len(made)):

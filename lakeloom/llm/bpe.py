@@ -22,10 +22,10 @@ from pyspark.sql import DataFrame
 from lakeloom.llm.pieces import FORGET, PIECES_KEPT, Kept, PieceEncoder, answers, chunks, encode
 
 #: States and pairs that a worker keeps; beyond that it starts anew.
-STATES_KEPT, PAIRS_KEPT = 60_000, 150_000
+STATES_KEPT, PAIRS_KEPT = 160_000, 250_000
 
 #: Chunks and pieces that a worker keeps; a piece costs more here than with a compiled library.
-ENCODED_KEPT = (1_200_000, 200_000)
+ENCODED_KEPT = (1_000_000, 200_000)
 
 _NEVER = float("inf")
 

@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.pieces import encode, library_encoder
+from lakeloom.llm.pieces import encode, let_go, library_encoder
 
 #: Characters of text for each group that is packed on its own. More in a group leave fewer
 #: sequences that no document fits any more, at most one or so a group.
@@ -230,6 +230,8 @@ def pack_documents(
     pieces = cut_pieces(docs, tokenizer, end_id, capacity)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # All is encoded by now.
+        let_go()
         held = list(batches)
         if not held:
             return

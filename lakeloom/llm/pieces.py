@@ -194,7 +194,7 @@ def library_encoder(path: str, kind: str = "I", added: bool = False) -> PieceEnc
             def by_rank(chunk: str) -> bytes:
                 return array(kind, ranked.encode_ordinary(chunk)).tobytes() if _plain(chunk) else whole(chunk)
 
-            return PieceEncoder(chunks, lambda chunk: None if chunk else [], ids, by_rank, (600_000, 1), strings)
+            return PieceEncoder(chunks, lambda chunk: None if chunk else [], ids, by_rank, (450_000, 1), strings)
 
         def split(chunk: str) -> list[str] | None:
             if not chunk or not _plain(chunk):
@@ -223,6 +223,12 @@ def library_encoder(path: str, kind: str = "I", added: bool = False) -> PieceEnc
 FORGET: list[Callable] = [library_encoder.cache_clear]
 
 
+def let_go() -> None:
+    """Free what the worker's encoders hold."""
+    for forget in FORGET:
+        forget()
+
+
 def answers(
     batches: Iterator[pa.RecordBatch], chars: int = ANSWER_CHARS, encodes: bool = False
 ) -> Iterator[pa.RecordBatch]:
@@ -231,8 +237,7 @@ def answers(
     Work that ``encodes`` nothing has the worker's encoders with their tables go first.
     """
     if not encodes:
-        for forget in FORGET:
-            forget()
+        let_go()
     for batch in batches:
         rows = max(1, int(batch.num_rows * chars / max(batch.nbytes, 1)))
         for start in range(0, batch.num_rows, rows):

@@ -194,7 +194,7 @@ def library_encoder(path: str, kind: str = "I", added: bool = False) -> PieceEnc
             def by_rank(chunk: str) -> bytes:
                 return array(kind, ranked.encode_ordinary(chunk)).tobytes() if _plain(chunk) else whole(chunk)
 
-            return PieceEncoder(chunks, lambda chunk: None if chunk else [], ids, by_rank, (450_000, 1), strings)
+            return PieceEncoder(chunks, lambda chunk: None if chunk else [], ids, by_rank, (320_000, 1), strings)
 
         def split(chunk: str) -> list[str] | None:
             if not chunk or not _plain(chunk):

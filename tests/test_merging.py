@@ -10,7 +10,6 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lakeloom.operators import incremental
 from lakeloom.sources import ledger, merging, skipping, tables

@@ -224,9 +224,10 @@ FORGET: list[Callable] = [library_encoder.cache_clear]
 
 
 def let_go() -> None:
-    """Free what the worker's encoders hold."""
+    """Free what the worker's encoders hold, and what Arrow keeps of earlier work."""
     for forget in FORGET:
         forget()
+    pa.default_memory_pool().release_unused()
 
 
 def answers(

@@ -14,6 +14,8 @@ from lakeloom.functions.casts import (
 )
 from lakeloom.functions.keys import random_id, row_id
 from lakeloom.schemas import FLIGHT_RAW_COLUMNS, FLIGHT_SILVER_TYPES
+from lakeloom.sources import layout
+from lakeloom.sources.staging import stage
 
 
 def dedupe(df: DataFrame) -> DataFrame:
@@ -24,6 +26,24 @@ def dedupe(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def dedupe_stored(df: DataFrame, limit_mb: int = 16) -> DataFrame:
+    """:func:`dedupe` of a stored table, which shuffles only what may have copies.
+
+    A first scan shuffles 64-bit hashes of the rows, and those seen more than once are staged. Rows of
+    other hashes have no copy and stay where they lie; the rest, copies and rows of the same hash by
+    chance, is deduped by its values and rebalanced. If the hashes staged exceed ``limit_mb``, all of
+    ``df`` goes that way.
+    """
+    mark = "_row_hash"
+    hashed = df.withColumn(mark, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    again = stage(hashed.groupBy(mark).count().where("count > 1").select(mark), "repeated")
+    if layout.estimated_bytes(again) > limit_mb << 20:
+        return layout.balanced(dedupe(df))
+    again = F.broadcast(again)
+    copies = dedupe(hashed.join(again, mark, "left_semi").drop(mark))
+    return hashed.join(again, mark, "left_anti").drop(mark).unionByName(layout.balanced(copies))
+
+
 def _silver_column(name: str) -> Column:
     if name == "departure_time":
         return F.date_format(clock_time(name), TIME_FORMAT)

@@ -21,6 +21,9 @@ SNAPSHOT_CHECKS = ["airport", *dims.PROFILE_COLUMNS]
 # Digits kept of each reading in the snapshot's means, so that an unchanged aircraft compares equal.
 SNAPSHOT_SCALE = 10
 
+# How the files of the whole flights are compressed; half of a silver row is the hex text of its id.
+PACKED = {"compression": "zstd"}
+
 # Logical name to table, for code that names its sources.
 SOURCES = {"raw_flight": "flight_raw", "stage_flight": "flight"}
 
@@ -59,8 +62,9 @@ class Lake:
     def ingest(self, csv_path: str, header: bool = False, set_aside: bool = False) -> None:
         """Raw CSV to bronze; replaces what is there.
 
-        The splits of the scan become the files. Where the scan has fewer splits than its size asks
-        for, as over compressed files, which cannot be split, the rows are dealt out evenly.
+        The splits of the scan become the files, joined to the size wanted but never to fewer than there
+        are cores to read them. Where the scan has fewer splits than its size asks for, as over
+        compressed files, which cannot be split, the rows are dealt out evenly.
 
         Lines with too few or too many fields are filled up or cut off; with ``set_aside`` they go whole
         to ``flight_rejected`` instead, with why.
@@ -72,16 +76,18 @@ class Lake:
             tables.write_overwrite(layout.balanced(rejected), self.name("flight_rejected"), self.path("bronze", "rejected"))
             raw = ingest.good_lines(lines, "_line")
         wanted = layout.partitions_for(layout.estimated_bytes(raw))
-        few = raw.rdd.getNumPartitions() < wanted
-        sized = layout.sized_repartition(raw, shuffle=few)
-        tables.write_overwrite(sized, self.name("flight_raw"), self.path("bronze", "flight"))
+        splits = raw.rdd.getNumPartitions()
+        width = min(splits, self.spark.sparkContext.defaultParallelism)
+        sized = layout.sized_repartition(raw, floor=max(3, width), shuffle=splits < wanted)
+        tables.write_overwrite(sized, self.name("flight_raw"), self.path("bronze", "flight"), **PACKED)
 
     def refine(self, batch_id: str) -> None:
         """Bronze to silver as one batch; running a batch again replaces it."""
-        typed = silver.conform(silver.dedupe(self.source("raw_flight")))
-        tables.write_append(
-            layout.balanced(typed), self.name("flight"), self.path("silver", "stage_flight"), batch_id=batch_id
-        )
+        with scope(self.spark):
+            typed = silver.conform(silver.dedupe_stored(self.source("raw_flight")))
+            tables.write_append(
+                typed, self.name("flight"), self.path("silver", "stage_flight"), batch_id=batch_id, **PACKED
+            )
 
     def flights(self) -> DataFrame:
         return self.source("stage_flight").drop("batch_id")

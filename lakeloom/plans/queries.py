@@ -15,7 +15,7 @@ from lakeloom.plans.flights import flight, flight_raw, table
 from lakeloom.plans.medallion import SNAPSHOT_CHECKS, SNAPSHOT_KEY, SNAPSHOT_SCALE, Lake
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, merging, skipping, tables
-from lakeloom.sources.staging import fresh_path, scope, stage
+from lakeloom.sources.staging import fresh_path, remove, scope, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -605,11 +605,12 @@ def _lake(spark: SparkSession, sf_dir: str) -> Iterator[Lake]:
     """A new lake with every flight taken in from CSV as one batch; it is gone afterwards."""
     with scope(spark):
         path = fresh_path(spark, "csv")
-        flight_raw(spark, sf_dir).write.csv(path)
+        ingest.write_raw_csv(flight_raw(spark, sf_dir), path)
         lake = Lake(spark, fresh_path(spark, "lake"), f"lakeloom_{uuid.uuid4().hex}")
         lake.create()
         try:
             lake.ingest(path)
+            remove(spark, path)
             lake.refine("first")
             yield lake
         finally:

@@ -30,6 +30,14 @@ def read_raw_csv(
     return spark.read.options(header=header, mode="PERMISSIVE", **options).csv(path, schema=schema)
 
 
+def write_raw_csv(df: DataFrame, path: str, file_rows: int = 500_000) -> None:
+    """Rows as CSV files without a header, each compressed.
+
+    Compressed files cannot be split, so none has more than ``file_rows`` rows, whatever a task holds.
+    """
+    df.write.options(compression="gzip", maxRecordsPerFile=file_rows).csv(path)
+
+
 def _read(df: DataFrame, line: str) -> Column:
     """Always true. It has another column read besides the line, which Spark gives out on no other terms."""
     other = next(c for c in df.columns if c != line)

@@ -153,8 +153,9 @@ def write_overwrite(
     path: str | None = None,
     fmt: str = FORMAT,
     partition_by: list[str] | None = None,
+    **options: str,
 ) -> None:
-    """Replace a table's content. ``path`` makes a named table external.
+    """Replace a table's content. ``path`` makes a named table external; ``options`` go to the writer.
 
     The rows are first written beside the table and then put in its place by renaming, so a failed
     write, or a failure in renaming, leaves the old content. Renaming is not atomic in every store: a
@@ -169,7 +170,7 @@ def write_overwrite(
     """
     spark, parts = df.sparkSession, partition_by or []
     rows = df.hint("rebalance", *parts) if parts else df
-    writer = rows.write.format(fmt)
+    writer = rows.write.format(fmt).options(**options)
     if parts:
         writer = writer.partitionBy(*parts)
     folder = table if _is_path(table) else path
@@ -206,8 +207,9 @@ def write_append(
     path: str | None = None,
     fmt: str = FORMAT,
     batch_id: str | None = None,
+    **options: str,
 ) -> None:
-    """Append rows.
+    """Append rows; ``options`` go to the writer, and those of the first write of a named table stay its own.
 
     Without ``batch_id`` every call adds its rows again. With it the rows go to the partition
     ``batch_id=<value>``, and a second run of the same batch replaces that partition, also by no
@@ -215,7 +217,7 @@ def write_append(
     :class:`lakeloom.sources.ledger.Taken`; the mark that tells it lies in the table's folder.
     """
     if batch_id is None:
-        writer = df.write.format(fmt).mode("append")
+        writer = df.write.format(fmt).options(**options).mode("append")
         if _is_path(table):
             writer.save(table)
         else:
@@ -226,7 +228,9 @@ def write_append(
     name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
     if not _is_path(table) and not spark.catalog.tableExists(table):
         # Of two first writers of a named table one finds that it is there.
-        first = df.withColumn("batch_id", F.lit(batch_id)).write.format(fmt).partitionBy("batch_id")
+        # Observing the rows keeps the constant above a union, where it is known to need no sort.
+        seen = df.observe(f"batch-{uuid.uuid4().hex}", F.count("*").alias("rows"))
+        first = seen.withColumn("batch_id", F.lit(batch_id)).write.format(fmt).options(**options).partitionBy("batch_id")
         (first.option("path", path) if path else first).saveAsTable(table)
         return
     folder = (table if _is_path(table) else location(spark, table)).rstrip("/")
@@ -234,7 +238,7 @@ def write_append(
         if _is_path(table):
             fresh = f"{folder}__new-{uuid.uuid4().hex}"
             try:
-                df.write.format(fmt).save(fresh)
+                df.write.format(fmt).options(**options).save(fresh)
                 with _replacing(spark, fresh, f"{folder}/batch_id={name}"):
                     pass
             finally:

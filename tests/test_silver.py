@@ -70,3 +70,19 @@ def test_ids_are_stable_or_random(spark):
 def test_dedupe_keeps_rows_that_differ_in_a_null(spark):
     copies = raw(spark, {}, {}, {"tail_no": None}, {"tail_no": None})
     assert silver.dedupe(copies).count() == 2
+
+
+def test_dedupe_of_a_stored_table_shuffles_what_has_copies(spark, tmp_path):
+    rows = [{"flight_id": f"F{n}", "tail_no": None if n % 7 == 0 else "N1"} for n in range(300)]
+    stored = str(tmp_path / "raw")
+    raw(spark, *rows, *rows[:20], *rows[:5]).write.parquet(stored)
+    table = spark.read.parquet(stored)
+    exact = sorted(map(str, silver.dedupe(table).collect()))
+    seen = silver.dedupe_stored(table)
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" in plan and "LeftSemi" in plan
+    # Only the copies meet the exchange, so the branch of the others has none.
+    assert "Exchange" not in plan[plan.index("Union"):plan.index("LeftAnti")]
+    assert len(exact) == 300 and sorted(map(str, seen.collect())) == exact
+    # Beyond the limit every row is compared, with the same result.
+    assert sorted(map(str, silver.dedupe_stored(table, limit_mb=0).collect())) == exact

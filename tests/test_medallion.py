@@ -284,6 +284,13 @@ def test_the_raw_files_are_compressed_and_of_bounded_rows(spark, tmp_path):
     assert rows(ingest.read_raw_csv(spark, path)) == rows(df)
 
 
+def test_csv_roundtrip_writes_compressed_files(spark):
+    from lakeloom.plans.queries import QUERIES
+
+    files = QUERIES["csv_roundtrip"](spark, "/root/testdata/sf0.001").inputFiles()
+    assert files and all(f.endswith(".csv.gz") for f in files)
+
+
 def test_ingest_is_as_wide_as_the_cores(spark, tmp_path, lake):
     for n in range(30):
         write(tmp_path / f"{n}.csv", *[{"flight_id": f"F{n}-{i}"} for i in range(5)])

@@ -72,6 +72,23 @@ def test_dedupe_keeps_rows_that_differ_in_a_null(spark):
     assert silver.dedupe(copies).count() == 2
 
 
+def test_dedupe_packs_rows_of_text_whatever_they_hold(spark):
+    odd = [None, "", "\x01", "\x02", "a\x01b", "\x02\x01", "\x01\x02", "a", "ä€", "\\", "|", "."]
+    pairs = [(a, b, c) for a in odd for b in odd for c in (None, "x", "")]
+    df = spark.createDataFrame([p for p in pairs for _ in range(2)], "a string, b string, `c.d` string")
+    seen = silver.dedupe(df)
+    assert seen.schema == df.schema
+    assert sorted(map(repr, map(tuple, seen.collect()))) == sorted(map(repr, pairs))
+    # One text and its exception are what is shuffled.
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning(packed" in plan
+
+    bytes_ = spark.sql("select cast(x as string) a from values (X'C328'), (X'C328'), (X'FF'), (X'FE') t(x)")
+    assert sorted(r.h for r in silver.dedupe(bytes_).selectExpr("hex(a) h").collect()) == ["C328", "FE", "FF"]
+    mixed = spark.createDataFrame([(1, "a"), (1, "a"), (None, "a")], "k int, s string")
+    assert silver.dedupe(mixed).count() == 2
+
+
 def test_dedupe_of_a_stored_table_shuffles_what_has_copies(spark, tmp_path):
     rows = [{"flight_id": f"F{n}", "tail_no": None if n % 7 == 0 else "N1"} for n in range(300)]
     stored = str(tmp_path / "raw")

@@ -22,7 +22,7 @@ from lakeloom.llm.graphs import components, forest
 from lakeloom.llm.hashing import STEP, WordHashes, finish, windows
 from lakeloom.llm.pieces import answers
 from lakeloom.sources.layout import broadcast_within
-from lakeloom.sources.staging import stage
+from lakeloom.sources.staging import settled, spent, stage
 
 
 @dataclass(frozen=True)
@@ -221,7 +221,9 @@ def commonness(docs: DataFrame, similar: Similar, grams: int) -> Commonness:
     )
     pairs = np.zeros((buckets, (1 << map_bits) // buckets // 2), np.uint8)
     taken = np.zeros(16, np.int64)
-    for row in merged.collect():
+    with spent(docs.sparkSession):
+        segments = merged.collect()
+    for row in segments:
         pairs[row.bucket] = np.frombuffer(zlib.decompress(row.pairs), np.uint8)
         taken += row.taken
     return Commonness(pairs.ravel(), taken)
@@ -243,8 +245,8 @@ def keyed(docs: DataFrame, similar: Similar, common) -> DataFrame:
     return found.select("doc_id", F.explode("keys").alias("key"))
 
 
-def _gathered(docs: DataFrame, ids: DataFrame, similar: Similar, common) -> DataFrame:
-    """``doc_id, grams`` of the documents in ``ids``, by the global order.
+def _picked(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``doc_id, text`` of the documents in ``ids``.
 
     A bit map of the ids' lowest bits, of a fixed size, keeps most other documents from being moved.
     """
@@ -262,12 +264,93 @@ def _gathered(docs: DataFrame, ids: DataFrame, similar: Similar, common) -> Data
             is_in = sought.value[own >> np.uint64(6)] >> (own & np.uint64(63)) & np.uint64(1)
             yield batch.filter(pa.array(is_in.astype(bool)))
 
+    near = docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, text string")
+    return near.join(ids, "doc_id", "left_semi")
+
+
+def _gathered(docs: DataFrame, ids: DataFrame, similar: Similar, common) -> DataFrame:
+    """``doc_id, grams`` of the documents in ``ids``, by the global order."""
+
     def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
         sets = [common.value.ordered(gram_set(hashes, text, similar.words)).tobytes() for text in part.column(1).to_pylist()]
         return [part.column(0), pa.array(sets, pa.binary())]
 
-    near = docs.select("doc_id", "text").mapInArrow(pick, "doc_id long, text string")
-    return _mapped(near.join(ids, "doc_id", "left_semi"), "doc_id long, grams binary", answer)
+    return _mapped(_picked(docs, ids), "doc_id long, grams binary", answer)
+
+
+# -- candidates that cannot be similar -----------------------------------------------------------
+
+
+def signature(grams: np.ndarray) -> bytes:
+    """One or two bits for each n-gram: whether a slot of their hashes holds an odd number of them.
+
+    Two signatures differ in no more bits than there are n-grams in one set alone.
+    """
+    width = max(64, 1 << (len(grams) - 1).bit_length())
+    odd = np.bincount(((grams >> np.uint64(4)) & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def hopeful(sizes: list[int], signatures: list[bytes], similar: Similar) -> np.ndarray:
+    """For each set whether, by size and signature, another one may be similar to it."""
+    size = np.array(sizes, np.int64)
+    order = np.argsort(size, kind="stable")
+    words = [np.frombuffer(s, np.uint64) for s in signatures]
+    width = np.array([len(w) for w in words])
+    keep = np.zeros(len(size), bool)
+    for at, nth in enumerate(order):
+        larger = order[at + 1 :]
+        larger = larger[similar.linked(size[nth], size[nth], size[larger])]
+        for wide in np.unique(width[larger]):
+            others = larger[width[larger] == wide]
+            # A wider signature is folded: its slots fall together as the hashes do.
+            folded = np.bitwise_xor.reduce(np.stack([words[n] for n in others]).reshape(len(others), -1, width[nth]), axis=1)
+            apart = np.bitwise_count(folded ^ words[nth]).sum(1, dtype=np.int64)
+            found = similar.linked((size[nth] + size[others] - apart) // 2, size[nth], size[others])
+            keep[others[found]] = True
+            keep[nth] |= found.any()
+    return keep
+
+
+def _narrowed(docs: DataFrame, units: DataFrame, similar: Similar) -> DataFrame:
+    """``units`` without the documents of single blocks that nothing else in them can be similar to.
+
+    N-grams that are shared by chance bring most documents together where the map of common ones is full.
+    Their sets would be moved for nothing; signatures have a sixtieth of the size.
+    """
+    single = units.where("blocks = 1")
+
+    def answer(part: pa.RecordBatch, hashes: WordHashes) -> list[pa.Array]:
+        sets = [gram_set(hashes, text, similar.words) for text in part.column(1).to_pylist()]
+        return [part.column(0), pa.array([len(g) for g in sets], pa.int64()), pa.array([signature(g) for g in sets], pa.binary())]
+
+    picked = _picked(docs, single.select("doc_id").distinct())
+    signs = stage(_mapped(picked, "doc_id long, size long, signature binary", answer), "jaccard-signatures")
+    placed = signs.join(single, "doc_id").select("unit", "doc_id", "size", "signature")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, held = None, []
+
+        def kept() -> pa.RecordBatch:
+            ids, sizes, signatures = zip(*held)
+            left = sorted({ids[n] for n in np.flatnonzero(hopeful(sizes, signatures, similar))})
+            return pa.RecordBatch.from_arrays(
+                [pa.array([unit] * len(left), pa.int64()), pa.array(left, pa.int64())], ["unit", "doc_id"]
+            )
+
+        for batch in batches:
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if row[0] != unit:
+                    if held:
+                        yield kept()
+                    unit, held = row[0], []
+                held.append(row[1:])
+        if held:
+            yield kept()
+
+    left = placed.repartition("unit").sortWithinPartitions("unit").mapInArrow(run, "unit long, doc_id long")
+    one, none = F.lit(1).cast("long").alias("blocks"), F.lit(0).cast("long").alias("block")
+    return left.select("doc_id", "unit", one, none).unionByName(units.where("blocks > 1"))
 
 
 # -- the join of gathered sets -------------------------------------------------------------------
@@ -403,8 +486,9 @@ def similar_documents(docs: DataFrame, similar: Similar = Similar()) -> DataFram
     reps = classes.select(F.col("rep").alias("doc_id")).distinct()
     copies = stage(of_class.select(F.col("b").alias("doc_id")).distinct().join(reps, "doc_id", "left_anti"), "jaccard-copies")
     own = known.where("doc_id is not null").join(broadcast_within(copies), "doc_id", "left_anti")
-    links = gathered_links(own, classes, similar)
-    joined = components(stage(links.unionByName(of_class), "jaccard-links"))
+    spark = docs.sparkSession
+    links = settled(spark, "jaccard-links", lambda: gathered_links(own, classes, similar).unionByName(of_class))
+    joined = settled(spark, "jaccard-components", lambda: components(links))
     found = joined.select(F.col("node").alias("doc_id"), "component")
     return sets.join(found, "doc_id", "left").select(
         "doc_id",
@@ -416,12 +500,18 @@ def similar_documents(docs: DataFrame, similar: Similar = Similar()) -> DataFram
 def gathered_links(docs: DataFrame, classes: DataFrame, similar: Similar) -> DataFrame:
     """``a, b``: links that join all similar representatives, by blocks of gathered sets."""
     total = classes.agg(F.sum("size").alias("grams")).first()["grams"] or 0
-    common = docs.sparkSession.sparkContext.broadcast(commonness(docs, similar, total))
-    keys = stage(keyed(docs, similar, common), "jaccard-keys")
-    hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("last > hub")
-    near = keys.join(hubs.drop("last"), "key").where("doc_id <> hub").select("hub", "doc_id").distinct()
-    edges = stage(near.select(F.col("hub").alias("a"), F.col("doc_id").alias("b")), "jaccard-edges")
-    units = stage(_units(edges, classes), "jaccard-units")
+    spark = docs.sparkSession
+    common = spark.sparkContext.broadcast(commonness(docs, similar, total))
+
+    def near() -> DataFrame:
+        keys = stage(keyed(docs, similar, common), "jaccard-keys")
+        hubs = keys.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("last > hub")
+        found = keys.join(hubs.drop("last"), "key").where("doc_id <> hub").select("hub", "doc_id").distinct()
+        return found.select(F.col("hub").alias("a"), F.col("doc_id").alias("b"))
+
+    edges = settled(spark, "jaccard-edges", near)
+    together = settled(spark, "jaccard-units", lambda: _units(edges, classes))
+    units = settled(spark, "jaccard-narrowed", lambda: _narrowed(docs, together, similar))
     sets = stage(_gathered(docs, units.select("doc_id").distinct(), similar, common), "jaccard-gathered")
 
     # Every block meets the first one of its unit.

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +36,21 @@ def scope(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
+@contextmanager
+def spent(spark: SparkSession) -> Iterator[None]:
+    """Remove the shuffle files of each query as soon as it ends, of those begun within it.
+
+    Else they stay until the driver happens to collect its garbage, beside all that comes after.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
@@ -66,5 +81,15 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     the columns and rows they need.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
+    with spent(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """:func:`stage` of what ``make`` returns; what it staged itself is removed when that is written."""
+    path = fresh_path(spark, label)
+    with scope(spark), spent(spark):
+        df = make()
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

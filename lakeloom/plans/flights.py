@@ -8,8 +8,13 @@ from pyspark.sql.types import StructType
 
 from lakeloom.operators.silver import conform
 from lakeloom.schemas import FLIGHT_RAW_COLUMNS
+from lakeloom.sources import layout
 from lakeloom.sources.staging import file_system
 
+#: The flights are written in slices by order, each of so many MB of line items, at most so many. More
+#: of them would leave less on disk at a time, but each reads all line items.
+SLICE_MB, MOST_SLICES = 512, 8
+
 
 # Schemas by path and what the file system says of it: finding one out takes a job, and every query
 # reads the same few tables.
@@ -27,27 +32,40 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[key]).parquet(path)
 
 
-def flight_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def slices(spark: SparkSession, sf_dir: str) -> list[tuple[int, int]]:
+    """The parts for :func:`flight_raw` which together hold every flight once."""
+    size = layout.estimated_bytes(table(spark, sf_dir, "lineitem"))
+    count = layout.partitions_for(size, SLICE_MB, 1)
+    count = min(count, MOST_SLICES)
+    return [(nth, count) for nth in range(count)]
+
+
+def flight_raw(spark: SparkSession, sf_dir: str, part: tuple[int, int] | None = None) -> DataFrame:
     """Raw flights, all text: a line item is a flight, its part the aircraft, its customer the
     passenger, and the nations of supplier and customer the airports.
 
-    Customers are joined to the orders first, so the line items are shuffled once for both. That
-    join is sort-merge by hint: both sides grow with the data, so neither is ever broadcast.
+    ``part`` (nth, count) gives the flights of one of ``count`` slices of the orders, by their hash.
+
+    Line items meet parts and suppliers while they are narrow and the orders with their customers last, so
+    the flights of an order lie together. The last join is sort-merge by hint: both sides grow with the
+    data, so neither is ever broadcast. Suppliers are, where they are within the limit.
     """
+    items, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    if part is not None and part[1] > 1:
+        of_part = lambda key: F.pmod(F.xxhash64(key), F.lit(part[1])) == part[0]
+        items, orders = items.where(of_part("l_orderkey")), orders.where(of_part("o_orderkey"))
     nations = table(spark, sf_dir, "nation")
     home = nations.selectExpr("n_nationkey as c_nationkey", "n_name as c_nation")
     base = nations.selectExpr("n_nationkey as s_nationkey", "n_name as s_nation")
 
     passengers = table(spark, sf_dir, "customer").join(home, "c_nationkey")
-    bookings = table(spark, sf_dir, "orders").join(
-        passengers, F.col("o_custkey") == F.col("c_custkey")
-    )
-    carriers = table(spark, sf_dir, "supplier").join(base, "s_nationkey")
+    bookings = orders.join(passengers, F.col("o_custkey") == F.col("c_custkey"))
+    carriers = layout.broadcast_within(table(spark, sf_dir, "supplier"))
     legs = (
-        table(spark, sf_dir, "lineitem")
-        .join(bookings.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
+        items.join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(carriers, F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(base, "s_nationkey")
+        .join(bookings.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .selectExpr(
             "*",
             "cast(l_shipdate as date) as ship_date",

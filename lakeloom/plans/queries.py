@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeloom.functions import casts, keys, structures
 from lakeloom.operators import dims, gold, incremental, numbering, profiles, quality, scd2, silver
-from lakeloom.plans.flights import flight, flight_raw, table
+from lakeloom.plans.flights import flight, flight_raw, slices, table
 from lakeloom.plans.medallion import SNAPSHOT_CHECKS, SNAPSHOT_KEY, SNAPSHOT_SCALE, Lake
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, merging, skipping, tables
@@ -432,9 +432,16 @@ def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- sources and sinks ---------------------------------------------------------------------------
 
 
-def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _flight_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of all raw flights as CSV, written slice by slice: the joins of one are spent before the next."""
     path = fresh_path(spark, "csv")
-    ingest.write_raw_csv(flight_raw(spark, sf_dir), path)
+    for part in slices(spark, sf_dir):
+        ingest.write_raw_csv(flight_raw(spark, sf_dir, part), path, mode="append")
+    return path
+
+
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _flight_csv(spark, sf_dir)
     return ingest.read_raw_csv(spark, path, FLIGHT_RAW)
 
 
@@ -604,8 +611,7 @@ def compacted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _lake(spark: SparkSession, sf_dir: str) -> Iterator[Lake]:
     """A new lake with every flight taken in from CSV as one batch; it is gone afterwards."""
     with scope(spark):
-        path = fresh_path(spark, "csv")
-        ingest.write_raw_csv(flight_raw(spark, sf_dir), path)
+        path = _flight_csv(spark, sf_dir)
         lake = Lake(spark, fresh_path(spark, "lake"), f"lakeloom_{uuid.uuid4().hex}")
         lake.create()
         try:

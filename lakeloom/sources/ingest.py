@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.schemas import FLIGHT_RAW
+from lakeloom.sources.staging import spent
 
 
 def read_raw_csv(
@@ -30,12 +31,13 @@ def read_raw_csv(
     return spark.read.options(header=header, mode="PERMISSIVE", **options).csv(path, schema=schema)
 
 
-def write_raw_csv(df: DataFrame, path: str, file_rows: int = 500_000) -> None:
-    """Rows as CSV files without a header, each compressed.
+def write_raw_csv(df: DataFrame, path: str, file_rows: int = 500_000, mode: str = "error") -> None:
+    """Rows as CSV files without a header, each compressed; ``mode`` "append" adds files.
 
     Compressed files cannot be split, so none has more than ``file_rows`` rows, whatever a task holds.
     """
-    df.write.options(compression="gzip", maxRecordsPerFile=file_rows).csv(path)
+    with spent(df.sparkSession):
+        df.write.options(compression="gzip", maxRecordsPerFile=file_rows).mode(mode).csv(path)
 
 
 def _read(df: DataFrame, line: str) -> Column:

@@ -21,7 +21,12 @@ def class_costs(flights: DataFrame, exclude: str | None = "economy") -> DataFram
 
 def cost_by_aircraft_class(flights: DataFrame, exclude: str | None = "economy") -> DataFrame:
     """:func:`class_costs` from the dearest down."""
-    return class_costs(flights, exclude).orderBy(F.desc("avg_cost"), *_GROUP)
+    return dearest_first(class_costs(flights, exclude))
+
+
+def dearest_first(costs: DataFrame) -> DataFrame:
+    """Rows of :func:`class_costs` from the dearest down."""
+    return costs.orderBy(F.desc("avg_cost"), *_GROUP)
 
 
 def top_cost(flights: DataFrame, k: int = 5, exclude: str | None = "economy") -> DataFrame:

@@ -3,17 +3,18 @@
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.operators import dims, gold, incremental, quality, scd2, silver
+from lakeloom.operators import dims, gold, incremental, numbering, quality, scd2, silver
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, tables
 from lakeloom.sources.ledger import alone
-from lakeloom.sources.staging import remove, scope, stage
+from lakeloom.sources.staging import by_slices, file_system, remove, scope, spent, stage
 
 SNAPSHOT_KEY = "aircraft_id"
 SNAPSHOT_CHECKS = ["airport", *dims.PROFILE_COLUMNS]
@@ -24,6 +25,9 @@ SNAPSHOT_SCALE = 10
 # How the files of the whole flights are compressed; half of a silver row is the hex text of its id.
 PACKED = {"compression": "zstd"}
 
+# Flights are aggregated in slices by key, each of so many MB of the silver table, at most so many.
+SLICE_MB, MOST_SLICES = 512, 8
+
 # Logical name to table, for code that names its sources.
 SOURCES = {"raw_flight": "flight_raw", "stage_flight": "flight"}
 
@@ -83,7 +87,7 @@ class Lake:
 
     def refine(self, batch_id: str) -> None:
         """Bronze to silver as one batch; running a batch again replaces it."""
-        with scope(self.spark):
+        with scope(self.spark), spent(self.spark):
             typed = silver.conform(silver.dedupe_stored(self.source("raw_flight")))
             tables.write_append(
                 typed, self.name("flight"), self.path("silver", "stage_flight"), batch_id=batch_id, **PACKED
@@ -92,14 +96,24 @@ class Lake:
     def flights(self) -> DataFrame:
         return self.source("stage_flight").drop("batch_id")
 
+    def _by_slices(self, flights: DataFrame, keys: list[str], label: str, make: Callable[[DataFrame], DataFrame]) -> DataFrame:
+        """``make(flights)`` in slices by ``keys``, as many as the silver table's size asks for."""
+        silver_path = self.path("silver", "stage_flight")
+        files, where = file_system(self.spark, silver_path)
+        size = layout.stored_bytes(self.spark, silver_path) if files.exists(where) else 0
+        return by_slices(flights, keys, min(MOST_SLICES, layout.partitions_for(size, SLICE_MB, 1)), label, make)
+
     def build_airports(self) -> None:
-        with scope(self.spark):
+        with scope(self.spark), spent(self.spark):
             tables.write_overwrite(dims.dim_airport(self.flights()), self.name("dim_airport"))
 
     def build_aircraft(self) -> None:
-        with scope(self.spark):
-            static = dims.dim_aircraft_static(self.flights(), self.table("dim_airport"))
-            tables.write_overwrite(layout.balanced(static), self.name("dim_aircraft"))
+        airports, keys = self.table("dim_airport"), ["aircraft_id", "airplane_model"]
+        with scope(self.spark), spent(self.spark):
+            static = self._by_slices(
+                self.flights(), keys, "aircraft", lambda part: dims.dim_aircraft_static(part, airports, number=False)
+            )
+            tables.write_overwrite(layout.balanced(numbering.dense_id(static, *keys)), self.name("dim_aircraft"))
 
     def load_passengers(self, batch_id: str | None = None) -> None:
         """Append the passengers whose key is not there yet, of all flights or of one batch, of
@@ -107,12 +121,13 @@ class Lake:
         flights = self.source("stage_flight")
         if batch_id is not None:
             flights = flights.where(F.col("batch_id") == batch_id)
-        batch = dims.dim_passenger(flights.drop("batch_id"))
-        if self.exists("dim_passenger"):
-            batch = incremental.new_rows(self.table("dim_passenger"), batch, "passenger_key")
-        tables.write_append(
-            batch, self.name("dim_passenger"), self.path("gold", "dim_passenger")
-        )
+        with scope(self.spark), spent(self.spark):
+            batch = self._by_slices(flights.drop("batch_id"), dims.PASSENGER_KEY, "passengers", dims.dim_passenger)
+            if self.exists("dim_passenger"):
+                batch = incremental.new_rows(self.table("dim_passenger"), batch, "passenger_key")
+            tables.write_append(
+                batch, self.name("dim_passenger"), self.path("gold", "dim_passenger")
+            )
 
     def _published(self) -> dict[str, str]:
         """What the view of the snapshots shows: its last moment and the folder of open versions."""
@@ -159,8 +174,10 @@ class Lake:
         present = self.spark.table(self._open_table(number - 1)) if published else None
         buckets = int(published.get("buckets", self.buckets))
         source = self.flights() if flights is None else flights
-        with scope(self.spark):
-            profile = dims.dim_aircraft_profile(source, SNAPSHOT_SCALE, one_pass=False)
+        with scope(self.spark), spent(self.spark):
+            profile = self._by_slices(
+                source, [SNAPSHOT_KEY], "profile", lambda part: dims.dim_aircraft_profile(part, SNAPSHOT_SCALE, one_pass=False)
+            )
             versions = stage(
                 scd2.advance(present, profile, SNAPSHOT_KEY, SNAPSHOT_CHECKS, as_of, prefix=prefix, buckets=buckets),
                 "scd-dim-aircraft",
@@ -188,7 +205,9 @@ class Lake:
             remove(self.spark, f"{home}/v-{number - 2}")
 
     def top_cost(self, k: int = 5, exclude: str | None = "economy") -> DataFrame:
-        return gold.top_cost(self.flights(), k, exclude)
+        # The dearest of all are among the dearest of their slice.
+        found = self._by_slices(self.flights(), ["aircraft_id"], "top-cost", lambda part: gold.top_cost(part, k, exclude))
+        return gold.dearest_first(found).limit(k)
 
 
 def main() -> None:

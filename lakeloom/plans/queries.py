@@ -15,7 +15,7 @@ from lakeloom.plans.flights import flight, flight_raw, slices, table
 from lakeloom.plans.medallion import SNAPSHOT_CHECKS, SNAPSHOT_KEY, SNAPSHOT_SCALE, Lake
 from lakeloom.schemas import FLIGHT_RAW
 from lakeloom.sources import ingest, layout, merging, skipping, tables
-from lakeloom.sources.staging import fresh_path, remove, scope, stage
+from lakeloom.sources.staging import fresh_path, remove, scope, spent, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -610,7 +610,7 @@ def compacted_write(spark: SparkSession, sf_dir: str) -> DataFrame:
 @contextmanager
 def _lake(spark: SparkSession, sf_dir: str) -> Iterator[Lake]:
     """A new lake with every flight taken in from CSV as one batch; it is gone afterwards."""
-    with scope(spark):
+    with scope(spark), spent(spark):
         path = _flight_csv(spark, sf_dir)
         lake = Lake(spark, fresh_path(spark, "lake"), f"lakeloom_{uuid.uuid4().hex}")
         lake.create()

@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Paths made within each open scope, the innermost last.
 _scopes: list[list[str]] = []
@@ -93,3 +94,21 @@ def settled(spark: SparkSession, label: str, make: Callable[[], DataFrame]) -> D
         df = make()
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def by_slices(
+    df: DataFrame, keys: list[str], count: int, label: str, make: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """``make(df)``, for one that treats the rows of each value of ``keys`` alone, in ``count`` slices.
+
+    The slices are by the hash of ``keys``, NULLs too. Each is written before the next one begins, so what
+    one shuffles is all that lies on disk at a time; each reads the columns of ``df`` that it needs.
+    """
+    if count < 2:
+        return make(df)
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    for nth in range(count):
+        part = make(df.where(F.pmod(F.xxhash64(*keys), F.lit(count)) == nth))
+        with spent(spark):
+            part.write.mode("append").parquet(path)
+    return spark.read.schema(part.schema).parquet(path)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.sources.ledger import alone
-from lakeloom.sources.staging import file_system, remove, stage
+from lakeloom.sources.staging import file_system, remove, spent, stage
 
 FORMAT = "parquet"
 
@@ -178,14 +178,16 @@ def write_overwrite(
     if folder is None:
         fresh = f"{table}__new_{mark}"
         try:
-            writer.saveAsTable(fresh)
+            with spent(spark):
+                writer.saveAsTable(fresh)
             _take_name(spark, fresh, table)
         finally:
             spark.sql(f"drop table if exists {fresh}")
         return
     fresh = f"{folder.rstrip('/')}__new-{mark}"
     try:
-        writer.save(fresh)
+        with spent(spark):
+            writer.save(fresh)
         with _replacing(spark, fresh, folder):
             if not _is_path(table):
                 _register(spark, table, df.schema, fmt, folder, parts)
@@ -218,10 +220,11 @@ def write_append(
     """
     if batch_id is None:
         writer = df.write.format(fmt).options(**options).mode("append")
-        if _is_path(table):
-            writer.save(table)
-        else:
-            (writer.option("path", path) if path else writer).saveAsTable(table)
+        with spent(df.sparkSession):
+            if _is_path(table):
+                writer.save(table)
+            else:
+                (writer.option("path", path) if path else writer).saveAsTable(table)
         return
 
     spark = df.sparkSession
@@ -231,14 +234,16 @@ def write_append(
         # Observing the rows keeps the constant above a union, where it is known to need no sort.
         seen = df.observe(f"batch-{uuid.uuid4().hex}", F.count("*").alias("rows"))
         first = seen.withColumn("batch_id", F.lit(batch_id)).write.format(fmt).options(**options).partitionBy("batch_id")
-        (first.option("path", path) if path else first).saveAsTable(table)
+        with spent(spark):
+            (first.option("path", path) if path else first).saveAsTable(table)
         return
     folder = (table if _is_path(table) else location(spark, table)).rstrip("/")
     with alone(spark, f"{folder}/_batches/{name}", {"batch": batch_id}):
         if _is_path(table):
             fresh = f"{folder}__new-{uuid.uuid4().hex}"
             try:
-                df.write.format(fmt).options(**options).save(fresh)
+                with spent(spark):
+                    df.write.format(fmt).options(**options).save(fresh)
                 with _replacing(spark, fresh, f"{folder}/batch_id={name}"):
                     pass
             finally:
